@@ -220,9 +220,9 @@ def bill_search(docs: DataFrame) -> DataFrame:
     df = errors.with_errors(docs.select(*_KEYS, "body"))
     items = markup.blocks(F.col("body"), "li", r"class=[\"']expanded[\"']")
     df = df.select(*_KEYS, F.explode(items).alias("item"))
-    spans = F.transform(markup.blocks(F.col("item"), "span", r"class=[\"']result-item[\"']"),
-                        markup.all_text)
-    introduced = markup.first_matching(spans, "(Introduced|Submitted)")
+    texts = F.flatten(F.transform(
+        markup.blocks(F.col("item"), "span", r"class=[\"']result-item[\"']"), markup.text_nodes))
+    introduced = markup.first_matching(texts, "(Introduced|Submitted)")
     link = markup.first_matching(markup.links(F.col("item")), r"/bill/.*/.*/[0-9]*\?")
     return df.select(*_KEYS, strip_query(link).alias("bill_url"),
                      casts.introduced_date(introduced).alias("introduced"))
