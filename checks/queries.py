@@ -502,8 +502,9 @@ def error_csv(spark, sf):
 
 @query
 def page_title(spark, sf):
-    return read(spark, sf, "pages").select(
+    df = read(spark, sf, "pages").select(
         "page_id", markup.own_text(markup.block(F.col("html"), "h1")).alias("title"))
+    return markup.unescape_columns(df, "title")
 
 
 @query

@@ -1,8 +1,12 @@
-"""HTML and XML pieces by pattern, for pages whose layout is known."""
+"""HTML pieces by pattern, for pages whose layout is known.
+
+All functions but :func:`unescape` return markup as it stands. Apply ``unescape`` in a projection of
+its own: it names its input several times.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -31,14 +35,13 @@ def block(c: Column, tag: str, with_attributes: str = "") -> Column:
 
 def attribute(start_tag: Column, name: str) -> Column:
     """Value of an attribute in markup that begins with its element."""
-    return unescape(F.nullif(
-        F.regexp_extract(start_tag, rf"(?is)^\s*<[^>]*?\s{name}\s*=\s*[\"']([^\"']*)[\"']", 1), F.lit("")))
+    return F.nullif(
+        F.regexp_extract(start_tag, rf"(?is)^\s*<[^>]*?\s{name}\s*=\s*[\"']([^\"']*)[\"']", 1), F.lit(""))
 
 
 def links(c: Column) -> Column:
     """Targets of all links, in page order."""
-    found = F.regexp_extract_all(c, F.lit(r"(?is)<a\b[^>]*?\shref\s*=\s*[\"']([^\"']*)[\"']"), 1)
-    return F.transform(found, unescape)
+    return F.regexp_extract_all(c, F.lit(r"(?is)<a\b[^>]*?\shref\s*=\s*[\"']([^\"']*)[\"']"), 1)
 
 
 def first_matching(values: Column, pattern: str) -> Column:
@@ -48,16 +51,20 @@ def first_matching(values: Column, pattern: str) -> Column:
 def text_nodes(c: Column) -> Column:
     """Non-empty texts between tags, in page order."""
     bounded = F.concat(F.lit(">"), c, F.lit("<"))
-    return F.transform(F.regexp_extract_all(bounded, F.lit(r"(?s)>([^<>]+)<"), 1), unescape)
+    return F.regexp_extract_all(bounded, F.lit(r"(?s)>([^<>]+)<"), 1)
 
 
 def own_text(c: Column) -> Column:
     """The text before the first child element; NULL when there is none."""
-    return unescape(F.nullif(F.substring_index(c, "<", 1), F.lit("")))
+    return F.nullif(F.substring_index(c, "<", 1), F.lit(""))
 
 
 def all_text(c: Column) -> Column:
-    return unescape(F.regexp_replace(c, r"(?s)<[^>]*>", ""))
+    return F.regexp_replace(c, r"(?s)<[^>]*>", "")
+
+
+def unescape_columns(df: DataFrame, *columns: str) -> DataFrame:
+    return df.withColumns({name: unescape(F.col(name)) for name in columns})
 
 
 def unescape(c: Column) -> Column:

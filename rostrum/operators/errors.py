@@ -35,10 +35,15 @@ def with_errors(df: DataFrame) -> DataFrame:
 
 
 def added(condition: Column, message: Column | str, step: str) -> Column:
-    """The error list of a row after one more check."""
+    """The error list of a row after one more check.
+
+    The list so far is named once only, so that a chain of checks stays one flat ``concat`` when
+    Spark merges it or pushes a filter on it down.
+    """
     text = F.lit(message) if isinstance(message, str) else message
-    entry = F.struct(text.cast("string").alias("error_msg"), F.lit(step).alias("ptransform"))
-    return F.when(condition, F.array_append(F.col(ERRORS), entry)).otherwise(F.col(ERRORS))
+    entry = F.array(F.struct(text.cast("string").alias("error_msg"), F.lit(step).alias("ptransform")))
+    none = F.array().cast(_TYPE)
+    return F.concat(F.col(ERRORS), F.when(condition, entry).otherwise(none))
 
 
 def flag(df: DataFrame, condition: Column, message: Column | str, step: str) -> DataFrame:

@@ -138,22 +138,24 @@ def house_roster(docs: DataFrame, run_date: date | str | None = None) -> DataFra
     df = df.filter(errors.has_errors() | is_state_table(markup.attribute(F.col("caption"), "id")))
     df = df.select(
         *_KEYS, errors.ERRORS,
-        strip_ascii(markup.own_text(markup.block(F.col("caption"), "caption"))).alias("state"),
+        markup.own_text(markup.block(F.col("caption"), "caption")).alias("state"),
         markup.blocks(F.coalesce(markup.block(F.col("table"), "tbody"), F.col("table")), "tr").alias("rows"),
     )
     df = _entries(df, F.col("rows"), "row")
     df = df.select(*_KEYS, errors.ERRORS, "state", markup.blocks(F.col("row"), "td").alias("cells"))
-    name = markup.own_text(markup.block(F.get("cells", F.lit(1)), "a"))
-    df = df.withColumns({
-        "name": name,
-        "district": strip_ascii(markup.all_text(F.get("cells", F.lit(0)))),
-        "party": strip_ascii(markup.all_text(F.get("cells", F.lit(2)))),
-    })
+    df = df.select(
+        *_KEYS, errors.ERRORS, "state",
+        markup.own_text(markup.block(F.get("cells", F.lit(1)), "a")).alias("name"),
+        markup.all_text(F.get("cells", F.lit(0))).alias("district"),
+        markup.all_text(F.get("cells", F.lit(2))).alias("party"),
+    )
+    df = markup.unescape_columns(df, "name", "district", "party", "state")
     df = errors.flag(df, ~errors.has_errors() & (F.col("name").isNull() | F.col("party").isNull()),
                      "row has no name or party", step)
     parts = split_full_name(F.col("name"))
     return df.select(*_KEYS, parts["first_name"].alias("first_name"),
-                     parts["last_name"].alias("last_name"), "party", "state", "district",
+                     parts["last_name"].alias("last_name"),
+                     *[strip_ascii(F.col(c)).alias(c) for c in ("party", "state", "district")],
                      day.alias("date"), errors.ERRORS)
 
 
@@ -169,12 +171,17 @@ def house_roll_index(docs: DataFrame, year: Column | int, run_date: date | str,
     df = df.select(*_KEYS, errors.ERRORS, "year", markup.links(F.col("row")).alias("links"),
                    markup.text_nodes(F.col("row")).alias("texts"))
     day = markup.first_matching(F.transform("texts", strip), r"^\d{1,2}-[A-Za-z]{3}$")
+    df = df.select(
+        *_KEYS, errors.ERRORS, "year", day.alias("day"),
+        markup.first_matching(F.col("links"), "rollnumber").alias("vote_url"),
+        markup.first_matching(F.col("links"), r"congress\.gov").alias("bill_url"),
+    )
+    df = markup.unescape_columns(df, "vote_url", "bill_url")
     df = df.select(
         *_KEYS, errors.ERRORS,
-        resolve_url(F.col("url"), markup.first_matching(F.col("links"), "rollnumber")).alias("vote_url"),
-        F.concat(resolve_url(F.col("url"), markup.first_matching(F.col("links"), r"congress\.gov")),
-                 F.lit("/amendments?pageSort=asc")).alias("bill_url"),
-        casts.parse_day_in_year(day, F.col("year"), casts.HOUSE_INDEX_DATE).alias("bill_date"),
+        resolve_url(F.col("url"), F.col("vote_url")).alias("vote_url"),
+        F.concat(resolve_url(F.col("url"), F.col("bill_url")), F.lit("/amendments?pageSort=asc")).alias("bill_url"),
+        casts.parse_day_in_year(F.col("day"), F.col("year"), casts.HOUSE_INDEX_DATE).alias("bill_date"),
     )
     df = errors.flag(df, ~errors.has_errors() & F.col("bill_date").isNull(), "row has no date", step)
     return df.filter(errors.has_errors() | recent(F.col("bill_date"), run_date, mode))
@@ -183,7 +190,8 @@ def house_roll_index(docs: DataFrame, year: Column | int, run_date: date | str,
 def roll_index_links(docs: DataFrame) -> DataFrame:
     """Links of the entry page to the pages that list roll calls."""
     rolls = F.filter(markup.links(F.col("body")), lambda v: F.contains(v, F.lit("ROLL")))
-    return docs.select(*_KEYS, F.explode(rolls).alias("link")) \
+    df = docs.select(*_KEYS, F.explode(rolls).alias("link"))
+    return markup.unescape_columns(df, "link") \
         .select(*_KEYS, resolve_url(F.col("url"), F.col("link")).alias("link"))
 
 
@@ -199,10 +207,14 @@ def senate_vote_menu(docs: DataFrame, year: Column | int, run_date: date | str,
                    markup.blocks(F.col("row"), "td").alias("cells"))
     # a row without cells is a header
     df = df.filter(errors.has_errors() | (F.size("cells") > 0))
-    day = transliterate(markup.all_text(F.try_element_at("cells", F.lit(-1))))
     df = df.select(
-        *_KEYS, errors.ERRORS,
-        resolve_url(F.col("url"), markup.first_matching(F.col("links"), "vote=")).alias("vote_url"),
+        *_KEYS, errors.ERRORS, "year", markup.first_matching(F.col("links"), "vote=").alias("vote_url"),
+        markup.all_text(F.try_element_at("cells", F.lit(-1))).alias("day"),
+    )
+    df = markup.unescape_columns(df, "vote_url", "day")
+    day = transliterate(F.col("day"))
+    df = df.select(
+        *_KEYS, errors.ERRORS, resolve_url(F.col("url"), F.col("vote_url")).alias("vote_url"),
         casts.parse_day_in_year(day, F.col("year"), casts.SENATE_MENU_DATE).alias("bill_date"),
     )
     df = errors.flag(df, ~errors.has_errors() & F.col("bill_date").isNull(), "row has no date", step)
@@ -212,7 +224,8 @@ def senate_vote_menu(docs: DataFrame, year: Column | int, run_date: date | str,
 def xml_edition(docs: DataFrame) -> DataFrame:
     """The link of a roll-call page to its XML edition."""
     holder = markup.block(F.col("body"), "span", r"style=[\"']float: right[\"']")
-    return docs.select(*_KEYS, resolve_url(F.col("url"), markup.first(markup.links(holder))).alias("xml_url"))
+    df = markup.unescape_columns(docs.select(*_KEYS, markup.first(markup.links(holder)).alias("xml_url")), "xml_url")
+    return df.select(*_KEYS, resolve_url(F.col("url"), F.col("xml_url")).alias("xml_url"))
 
 
 def bill_search(docs: DataFrame) -> DataFrame:
@@ -224,14 +237,16 @@ def bill_search(docs: DataFrame) -> DataFrame:
         markup.blocks(F.col("item"), "span", r"class=[\"']result-item[\"']"), markup.text_nodes))
     introduced = markup.first_matching(texts, "(Introduced|Submitted)")
     link = markup.first_matching(markup.links(F.col("item")), r"/bill/.*/.*/[0-9]*\?")
-    return df.select(*_KEYS, strip_query(link).alias("bill_url"),
-                     casts.introduced_date(introduced).alias("introduced"))
+    df = df.select(*_KEYS, strip_query(link).alias("bill_url"), introduced.alias("introduced"))
+    return markup.unescape_columns(df, "bill_url") \
+        .withColumn("introduced", casts.introduced_date(F.col("introduced")))
 
 
 def next_page(docs: DataFrame) -> DataFrame:
     link = F.regexp_extract("body", r"(?is)(<a\b[^>]*?class=[\"']next[\"'][^>]*>)", 1)
-    href = markup.attribute(link, "href")
-    return docs.select(*_KEYS, F.when(href.isNotNull(), resolve_url(F.col("url"), href)).alias("next_url"))
+    df = markup.unescape_columns(docs.select(*_KEYS, markup.attribute(link, "href").alias("href")), "href")
+    return df.select(*_KEYS, F.when(F.col("href").isNotNull(),
+                                    resolve_url(F.col("url"), F.col("href"))).alias("next_url"))
 
 
 _LEGEND = r"class=[\"']legDetail[\"']"
@@ -256,6 +271,7 @@ def bill_details(docs: DataFrame) -> DataFrame:
         markup.first(F.regexp_extract_all("body", F.lit(
             r"(?is)<a\b[^>]*?\shref\s*=\s*[\"']([^\"']*)[\"'][^>]*>[^<]*Cosponsors"), 1)).alias("cosponsors"),
     )
+    df = markup.unescape_columns(df, "heading", "subtitle", "sponsor", "bill_summary", "cosponsors")
     bill, sponsor = parse_bill(F.col("heading")), parse_politician(F.col("sponsor"))
     df = df.select(
         *_KEYS, errors.ERRORS, bill["bill_id"].alias("bill_id"), bill["amdt_id"].alias("amdt_id"),
@@ -264,7 +280,7 @@ def bill_details(docs: DataFrame) -> DataFrame:
         sponsor["party"].alias("sponsor_party"), sponsor["state"].alias("sponsor_state"),
         F.col("url").alias("bill_url"),
         F.when(F.col("cosponsors").isNotNull(),
-               resolve_url(F.col("url"), markup.unescape(F.col("cosponsors")))).alias("cosponsors_url"),
+               resolve_url(F.col("url"), F.col("cosponsors"))).alias("cosponsors_url"),
     )
     df = errors.flag(df, F.col("bill_id").isNull(), "no bill number", step)
     return errors.flag(df, F.col("sponsor_ln").isNull(), "no sponsor", step)
@@ -278,9 +294,10 @@ def cosponsors(docs: DataFrame) -> DataFrame:
     df = docs.select(*_KEYS, markup.own_text(markup.block(F.col("body"), "h1", _LEGEND)).alias("heading"),
                      F.transform(markup.blocks(body, "a"), markup.own_text).alias("people"))
     bill = parse_bill(F.col("heading"))
+    df = markup.unescape_columns(df, "heading")
     df = errors.flag(df.withColumns({"bill_id": bill["bill_id"], "amdt_id": bill["amdt_id"]}),
                      F.col("bill_id").isNull(), "no bill number", step)
-    df = _entries(df, F.col("people"), "person")
+    df = markup.unescape_columns(_entries(df, F.col("people"), "person"), "person")
     person = parse_politician(F.col("person"))
     df = df.select(
         *_KEYS, errors.ERRORS, "bill_id", "amdt_id", "person",
@@ -302,6 +319,7 @@ def amendment_listing(docs: DataFrame, page_size: int = 100) -> DataFrame:
     listing = docs.select(F.regexp_replace("url", r"[?&]page=\d+", "").alias("bill_url"),
                           page.alias("page"), F.posexplode(items).alias("pos", "item"))
     heading = markup.block(F.col("item"), "span", r"class=[\"']result-heading amendment-heading[\"']")
-    return listing.select(
+    listing = listing.select(
         "bill_url", ((F.col("page") - 1) * page_size + F.col("pos") + 1).alias("ordinal"),
-        clean_bill(markup.own_text(markup.block(heading, "a"))).alias("amdt_id"))
+        markup.own_text(markup.block(heading, "a")).alias("amdt_id"))
+    return markup.unescape_columns(listing, "amdt_id").withColumn("amdt_id", clean_bill(F.col("amdt_id")))

@@ -19,6 +19,7 @@ COSPONSOR = {"cosponsor_fn": "first_name", "cosponsor_ln": "last_name",
              "cosponsor_party": "party", "cosponsor_state": "state"}
 
 RAW = "raw__"
+MOVED = "moved__"
 
 
 def filter_keys(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -32,29 +33,40 @@ def filter_keys(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def _move(df: DataFrame, names: Mapping[str, str], step: str) -> DataFrame:
     """Rename column by column as long as the values are there. At the first missing value the row
-    keeps the rest under the old names and is flagged."""
-    columns, all_there = {}, F.lit(True)
-    present = set(df.columns)
-    missing = F.lit(None).cast("string")
-    for source, target in names.items():
+    keeps the rest under the old names and is flagged.
+
+    How far a row got is kept in a column: a later move back needs no look at the values, which by
+    then are the result of long expressions.
+    """
+    df = errors.with_errors(df)
+    present, count = set(df.columns), len(names)
+    if MOVED in present:
+        moved = F.col(MOVED)
+    else:
+        moved = F.lit(count)
+        for i, source in reversed(list(enumerate(names))):
+            moved = F.when(F.col(source).isNull(), F.lit(i)).otherwise(moved)
+        df = df.withColumn(MOVED, moved)
+        moved = F.col(MOVED)
+    columns = {}
+    for i, (source, target) in enumerate(names.items()):
         old = F.col(target) if target in present else F.lit(None).cast("string")
-        missing = F.coalesce(missing, F.when(F.col(source).isNull(), F.lit(source)))
-        all_there = all_there & F.col(source).isNotNull()
-        columns[target] = F.when(all_there, F.col(source)).otherwise(old)
-        columns[source] = F.when(~all_there, F.col(source))
+        columns[target] = F.when(moved > i, F.col(source)).otherwise(old)
+        columns[source] = F.when(moved <= i, F.col(source))
+    missing = F.get(F.array(*[F.lit(source) for source in names]), moved)
     columns[errors.ERRORS] = errors.added(
-        ~all_there, F.concat(F.lit("missing value: "), missing), step)
-    return errors.with_errors(df).withColumns(columns)
+        moved < count, F.concat(F.lit("missing value: "), missing), step)
+    return df.withColumns(columns)
 
 
 def normalize(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
     """Person columns under their common names."""
-    return _move(df, names, errors.NORMALIZE)
+    return _move(df.drop(MOVED), names, errors.NORMALIZE)
 
 
 def revert(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
     """The inverse of :func:`normalize`."""
-    return _move(df, {target: source for source, target in names.items()}, errors.REVERT)
+    return _move(df, {target: source for source, target in names.items()}, errors.REVERT).drop(MOVED)
 
 
 def add_date(df: DataFrame, run_date: date | str | None = None) -> DataFrame:
