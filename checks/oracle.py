@@ -305,6 +305,10 @@ ORACLE["landed_bills"] = "SELECT " + ", ".join(f"coalesce({c}, '') AS {c}" for c
     f", {_NULL} AS error_msg, {_NULL} AS ptransform FROM {f('bills')}")
 
 
+ORACLE["landed_index"] = f"""
+SELECT row_number() OVER (ORDER BY bill_id) - 1 AS idx, bill_id FROM {f('bills')}"""
+
+
 def _resolved_members(source: str, strip_quotes: bool = False) -> str:
     first = scrubbed(source, "first_name", "s1", strip_quotes)
     last = scrubbed(nicknamed(first), "last_name", "s2", strip_quotes)
@@ -517,4 +521,11 @@ ORACLE["stream_votes_clean"] = ORACLE["votes_clean"]
 # NULL, and a text None, are left out of these messages
 ORACLE["stream_cosponsors_errors"] = ORACLE["cosponsors_errors"]
 ORACLE["stream_house_new"] = ORACLE["house_new"]
+ORACLE["stream_bills_clean"] = ORACLE["bills_clean"]
+ORACLE["stream_senate_clean"] = ORACLE["senate_clean"]
+_TEXT_ROWS = scrubbed(nicknamed(scrubbed(f"""SELECT bill_id, amdt_id, coalesce({_F}, '') AS first_name,
+  coalesce({_L}, '') AS last_name, coalesce({_P}, '') AS party, coalesce({_S}, '') AS state
+  FROM {f('cosponsors')}""", "first_name", "s1")), "last_name", "s2")
+ORACLE["stream_csv_cosponsors"] = f"""
+SELECT {none('bill_id', 'amdt_id', 'first_name', 'last_name', 'party', 'state')} FROM ({_TEXT_ROWS})"""
 ORACLE["stream_error_topics"] = ORACLE["cosponsors_errors"]

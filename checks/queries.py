@@ -11,7 +11,7 @@ from checks.fixtures import RUN_DATE, documents, feed, read
 from rostrum.functions import casts, markup, names, text
 from rostrum.operators import errors, extract, filters, lookup, project, scrub
 from rostrum.plans import crawl, feeds
-from rostrum.schemas import FEEDS, TABLES
+from rostrum.schemas import FEEDS, TABLES, csv_schema
 from rostrum.session import shared_dir
 from rostrum.sources import feeds as csv_feeds
 from rostrum.sources import messages, sinks, tables
@@ -467,6 +467,15 @@ def landed_bills(spark, sf):
     return with_status(csv_feeds.read_feed(spark, path, "bill_info"))
 
 
+@query
+def landed_index(spark, sf):
+    """Landed bills with their running number, by bill number as text."""
+    path = shared_dir(spark, "landing")
+    csv_feeds.land_feed(feed(spark, sf, "bills"), "bill_info", path, order_by=("bill_id",))
+    landed = spark.read.schema(csv_schema("bill_info")).option("header", True).option("escape", '"').csv(path)
+    return landed.select(F.col("idx").cast("bigint").alias("idx"), "bill_id")
+
+
 @query
 def landed_members(spark, sf):
     """Members landed as text without commas and accents, one index per row, then loaded."""
@@ -721,6 +730,30 @@ def stream_house_new(spark, sf):
     return spark.read.parquet(f"{root}/politicians").drop(streams.BATCH)
 
 
+@query
+def stream_bills_clean(spark, sf):
+    root = shared_dir(spark, "stream")
+    _run(spark, sf, "bill_info", feed(spark, sf, "bills").drop("bill_key"), (), root, absent=True)
+    return spark.read.parquet(f"{root}/bill_info").drop(streams.BATCH)
+
+
+@query
+def stream_senate_clean(spark, sf):
+    root = shared_dir(spark, "stream")
+    _run(spark, sf, "senate_members", feed(spark, sf, "members").drop("member_id"), ("politicians",), root)
+    return spark.read.parquet(f"{root}/senate").drop(streams.BATCH)
+
+
+@query
+def stream_csv_cosponsors(spark, sf):
+    """Landed CSV files as a stream; empty fields are empty text, so only broken rows would fail."""
+    landed, root = shared_dir(spark, "landing"), shared_dir(spark, "stream")
+    csv_feeds.land_feed(feed(spark, sf, "cosponsors"), "cosponsors", landed)
+    streams.stream_feed(csv_feeds.read_feed_stream(spark, landed, "cosponsors"), "cosponsors",
+                        lambda: dims(spark, sf), root, shared_dir(spark, "checkpoint")).awaitTermination()
+    return spark.read.parquet(f"{root}/bill_cosponsors").drop(streams.BATCH)
+
+
 @query
 def stream_error_topics(spark, sf):
     """Failed cosponsors and bills as messages of one stream; the files of the cosponsor topic."""

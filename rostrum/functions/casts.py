@@ -20,8 +20,16 @@ INTRODUCED_DATE = "M/d/yyyy"
 
 
 def to_int(c: Column) -> Column:
-    """NULL where Python's ``int()`` would fail on the text."""
-    return c.try_cast("int")
+    """NULL where Python's ``int()`` would fail on the text.
+
+    Texts of another form never reach the cast: a failing cast costs an exception per row.
+    """
+    return F.when(c.rlike(r"^\s*[+-]?[0-9]+\s*$"), c.try_cast("int"))
+
+
+def to_date(c: Column) -> Column:
+    """ISO dates; NULL for other text."""
+    return F.when(c.rlike(r"^\s*\d{4}-\d{1,2}-\d{1,2}"), c.try_cast("date"))
 
 
 def none_to_null(c: Column) -> Column:
@@ -36,7 +44,7 @@ def recode_vote(c: Column, votes: Mapping[str, int]) -> Column:
 
 def parse_date(c: Column, layout: str) -> Column:
     """NULL for text that does not fit; runs of whitespace count as one space."""
-    return F.try_to_date(F.regexp_replace(F.btrim(c), r"\s+", " "), layout)
+    return F.try_to_date(F.nullif(F.regexp_replace(F.btrim(c), r"\s+", " "), F.lit("")), layout)
 
 
 def parse_day_in_year(c: Column, year: Column, layout: str) -> Column:

@@ -9,6 +9,7 @@ from rostrum.functions.text import blank_to_null, strip, strip_ascii, transliter
 
 # Fixed values. (?d) makes "." stop at \n only, as it does in the source's dialect.
 INITIAL = r" [A-Z]\."
+LONE_INITIAL = r"(?s)^(?!.* [A-Z]\..* [A-Z]\.)(.*?) [A-Z]\.(.*)$"
 INITIAL_ANYWHERE = r"[A-Z]\."
 QUOTED = r'(?d) ".*"'
 QUOTED_ANYWHERE = r'(?d)".*"'
@@ -20,19 +21,14 @@ POLITICIAN = r"^[^ ,]* ([^,]*),([^\[]*)\[([^-\]]*)-([^-\]]*)(?:-[^-\]]*)?\].*$"
 _MARK = "\x01"
 
 
-def _drop(c: Column, pattern: str, needs: str) -> Column:
-    """Remove a pattern; the literal it needs is looked for first, which is far cheaper."""
-    return F.when(F.contains(c, F.lit(needs)), F.regexp_replace(c, pattern, "")).otherwise(c)
-
-
 def without_initial(c: Column) -> Column:
-    """Drop a middle initial, unless the name has several."""
-    lone = F.contains(c, F.lit(".")) & (F.regexp_count(c, F.lit(INITIAL)) == 1)
-    return F.when(lone, F.regexp_replace(c, INITIAL, "")).otherwise(c)
+    """Drop a middle initial, unless the name has several. One expression that names its input once:
+    counting first would name it three times."""
+    return F.regexp_replace(c, LONE_INITIAL, "$1$2")
 
 
 def without_quoted(c: Column, strip_quotes: bool = False) -> Column:
-    out = _drop(c, QUOTED, '"')
+    out = F.regexp_replace(c, QUOTED, "")
     return F.translate(out, '"', "") if strip_quotes else out
 
 
@@ -40,12 +36,9 @@ def suffix_of(c: Column) -> Column:
     return blank_to_null(strip(F.regexp_extract(c, SUFFIX, 0)))
 
 
-def without_suffix(c: Column) -> Column:
-    return F.regexp_replace(c, SUFFIX, "")
-
-
-def without_parenthesis(c: Column) -> Column:
-    return _drop(c, PARENTHESIS, "(")
+def bare_name(c: Column) -> Column:
+    """Without suffixes, parentheses and commas."""
+    return strip(F.replace(F.regexp_replace(F.regexp_replace(c, SUFFIX, ""), PARENTHESIS, ""), F.lit(","), F.lit("")))
 
 
 def find_suffix(first: Column, last: Column) -> Column:

@@ -18,8 +18,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rostrum.functions.text import blank_to_null
-from rostrum.functions.casts import none_to_null
+from rostrum.functions.casts import to_date
 from rostrum.operators import errors
 
 BROADCAST_LIMIT = 64 << 20
@@ -31,12 +30,12 @@ _PIECES = 4
 
 
 def measured_bytes(df: DataFrame) -> int:
-    """An upper estimate of the size in memory, from one pass over the table."""
-    width = F.lit(16)
+    """An upper estimate of the size in memory, from one pass over flat columns, two words each."""
+    width = F.lit(16 + 16 * len(df.columns)).cast("long")
     for field in df.schema.fields:
-        text = F.octet_length(F.col(field.name).cast("string"))
-        width = width + F.lit(16) + F.coalesce(text, F.lit(0))
-    return int(df.agg(F.coalesce(F.sum(width.cast("long")), F.lit(0))).first()[0])
+        if field.dataType.typeName() in ("string", "binary"):
+            width = width + F.coalesce(F.octet_length(field.name), F.lit(0))
+    return int(df.agg(F.coalesce(F.sum(width), F.lit(0))).first()[0])
 
 
 def fits_broadcast(df: DataFrame, limit: int) -> bool:
@@ -88,7 +87,7 @@ def keyed_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str,
 
 def count_matches(df: DataFrame, dim: DataFrame, on: Mapping[str, Column | str], value: str,
                   broadcast_limit: int = BROADCAST_LIMIT) -> DataFrame:
-    """Add the number of matches in ``dim`` and the smallest matching ``value``.
+    """Add the number of matches in ``dim``, NULL for none, and the smallest matching ``value``.
 
     ``on`` maps each key column of ``dim`` to a column of ``df``. NULL keys match nothing.
     """
@@ -99,11 +98,11 @@ def count_matches(df: DataFrame, dim: DataFrame, on: Mapping[str, Column | str],
     small = fits_broadcast(narrow, broadcast_limit)
     single = narrow.groupBy(*temp).agg(F.count(F.lit(1)).alias(MATCHES), F.min(FOUND).alias(FOUND))
     with_keys = df.withColumns({name: c for name, (c, _) in temp.items()})
-    return (
-        keyed_join(with_keys, single, list(temp), "left", small)
-        .withColumn(MATCHES, F.coalesce(MATCHES, F.lit(0)))
-        .drop(*temp)
-    )
+    return keyed_join(with_keys, single, list(temp), "left", small).drop(*temp)
+
+
+def _sole() -> Column:
+    return F.col(MATCHES).eqNullSafe(F.lit(1))
 
 
 def _done(df: DataFrame) -> DataFrame:
@@ -114,7 +113,7 @@ def fix_nickname(df: DataFrame, nicknames: DataFrame, keep_nickname: bool = Fals
                  broadcast_limit: int = BROADCAST_LIMIT) -> DataFrame:
     """A first name listed exactly once as a nickname becomes the full name."""
     df = count_matches(df, nicknames, {"nickname": "first_name"}, "full_name", broadcast_limit)
-    sole = F.col(MATCHES) == 1
+    sole = _sole()
     columns = {"first_name": F.when(sole, F.col(FOUND)).otherwise(F.col("first_name"))}
     if keep_nickname:
         columns["nickname"] = F.when(sole, F.col("first_name"))
@@ -125,7 +124,7 @@ def first_nickname(df: DataFrame, nicknames: DataFrame,
                    broadcast_limit: int = BROADCAST_LIMIT) -> DataFrame:
     """A listed nickname becomes the full name, the smallest one where several are listed."""
     df = count_matches(df, nicknames, {"nickname": "first_name"}, "full_name", broadcast_limit)
-    listed = F.col(MATCHES) > 0
+    listed = F.col(MATCHES).isNotNull()
     kept = F.col("nickname") if "nickname" in df.columns else F.lit(None).cast("string")
     return _done(df.withColumns({
         "first_name": F.when(listed, F.col(FOUND)).otherwise(F.col("first_name")),
@@ -137,13 +136,13 @@ def fix_house_first_name(df: DataFrame, house: DataFrame,
                          broadcast_limit: int = BROADCAST_LIMIT) -> DataFrame:
     """Fill a missing first name from the one member with that last name, party and state listed on
     the day of the vote."""
-    missing = blank_to_null(none_to_null(F.col("first_name"))).isNull()
+    missing = F.col("first_name").isNull() | F.col("first_name").isin("", "None")
     # rows that have a first name get a NULL key: they match nothing and are spread like any row
     df = count_matches(df, house, {
         "last_name": F.when(missing, F.col("last_name")),
         "party": "party",
         "state": "state",
-        "date": F.col("vote_date").try_cast("date"),
+        "date": to_date(F.col("vote_date").cast("string")),
     }, "first_name", broadcast_limit)
     # Messages of the error branch.
     message = (
@@ -151,8 +150,8 @@ def fix_house_first_name(df: DataFrame, house: DataFrame,
                F.lit("There are multiple politicians with that name active on that day."))
         .otherwise(F.lit("There are no politicians with that name active on that day."))
     )
-    df = errors.flag(df, missing & (F.col(MATCHES) != 1), message, errors.HOUSE_NAME)
-    filled = F.when(missing & (F.col(MATCHES) == 1), F.col(FOUND)).otherwise(F.col("first_name"))
+    df = errors.flag(df, missing & ~_sole(), message, errors.HOUSE_NAME)
+    filled = F.when(missing & _sole(), F.col(FOUND)).otherwise(F.col("first_name"))
     return _done(df.withColumn("first_name", filled))
 
 
@@ -165,8 +164,8 @@ def map_state(df: DataFrame, states: DataFrame, broadcast_limit: int = BROADCAST
                F.lit("There are multiple states in the database that match the given state."))
         .otherwise(F.lit("There are no states in the database that match the given state."))
     )
-    df = errors.flag(df, F.col(MATCHES) != 1, message, errors.STATE)
-    mapped = F.when(F.col(MATCHES) == 1, F.col(FOUND)).otherwise(F.col("state"))
+    df = errors.flag(df, ~_sole(), message, errors.STATE)
+    mapped = F.when(_sole(), F.col(FOUND)).otherwise(F.col("state"))
     return _done(df.withColumn("state", mapped))
 
 

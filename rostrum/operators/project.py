@@ -51,7 +51,9 @@ def _move(df: DataFrame, names: Mapping[str, str], step: str) -> DataFrame:
     columns = {}
     for i, (source, target) in enumerate(names.items()):
         old = F.col(target) if target in present else F.lit(None).cast("string")
-        columns[target] = F.when(moved > i, F.col(source)).otherwise(old)
+        # a row that stopped at the first column has nothing there to move
+        columns[target] = F.col(source) if i == 0 and target not in present else \
+            F.when(moved > i, F.col(source)).otherwise(old)
         columns[source] = F.when(moved <= i, F.col(source))
     missing = F.get(F.array(*[F.lit(source) for source in names]), moved)
     columns[errors.ERRORS] = errors.added(

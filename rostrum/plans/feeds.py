@@ -12,7 +12,7 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rostrum.functions.casts import none_to_null
+from rostrum.functions.casts import to_date
 from rostrum.operators import lookup, project, scrub
 from rostrum.operators.errors import ERRORS, Branches, split_errors, with_errors
 from rostrum.operators.lookup import BROADCAST_LIMIT
@@ -41,7 +41,7 @@ def resolve_votes(df: DataFrame, dims: Dimensions) -> DataFrame:
     df = lookup.fix_nickname(df, dims.nicknames, broadcast_limit=dims.broadcast_limit)
     df = scrub.scrub_last_name(df, keep_suffix=False)
     df = project.fix_none(df)
-    return df.withColumn("vote_date", F.col("vote_date").try_cast("date"))
+    return df.withColumn("vote_date", to_date(F.col("vote_date").cast("string")))
 
 
 def resolve_bills(df: DataFrame, dims: Dimensions) -> DataFrame:
@@ -106,7 +106,7 @@ def new_rows(clean: DataFrame, dims: Dimensions) -> DataFrame:
 def house_rows(clean: DataFrame, run_date: date | str | None = None) -> DataFrame:
     """The fork to the house table. A feed that brings its date keeps it."""
     if "date" in clean.columns:
-        dated = clean.withColumn("date", F.col("date").try_cast("date"))
+        dated = clean.withColumn("date", to_date(F.col("date").cast("string")))
     else:
         dated = project.add_date(clean, run_date)
     return project.filter_keys(dated, TABLES["house"])
@@ -138,12 +138,13 @@ RESOLVERS = {
 
 
 def outputs(feed: str, df: DataFrame, dims: Dimensions, run_date: date | str | None = None,
-            add_politicians: bool = True) -> tuple[dict[str, DataFrame], DataFrame]:
+            add_politicians: bool = True,
+            staging: str | None = None) -> tuple[dict[str, DataFrame], DataFrame]:
     """Everything one feed writes: rows by target table, and the error rows.
 
     The resolved feed is staged once, since several branches read it.
     """
-    clean, failed = staged_branches(stage(RESOLVERS[feed](df, dims), feed), feed)
+    clean, failed = staged_branches(stage(RESOLVERS[feed](df, dims), feed, staging), feed)
     table, _ = TARGETS[feed]
     if table == "house":
         rows = {table: house_rows(clean, run_date)}

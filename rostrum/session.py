@@ -17,6 +17,8 @@ def session(app: str = "rostrum", master: str | None = None, **conf: str) -> Spa
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        # methods beyond HotSpot's limit would be interpreted; Spark then generates smaller ones
+        "spark.sql.codegen.hugeMethodLimit": "8000",
         "spark.sql.session.timeZone": "UTC",
     }
     settings.update({key.replace("_", "."): value for key, value in conf.items()})

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rostrum.operators import errors
 from rostrum.operators.project import filter_keys
 from rostrum.schemas import CORRUPT, FEEDS, INDEX, csv_schema
+from rostrum.session import shared_dir
 
 _OPTIONS = {
     "header": "true",
@@ -52,17 +55,42 @@ def split_lines(df: DataFrame, line: Column, feed: str, keep: tuple[str, ...] =
     return _split(df.select(*keep, parsed.alias("r")).select(*keep, "r.*"), feed, keep)
 
 
-def land_feed(df: DataFrame, feed: str, path: str, order_by: tuple[str, ...] = (),
-              with_index: bool = False) -> None:
+def numbered(df: DataFrame, order_by: Sequence[str], name: str = INDEX) -> DataFrame:
+    """Running numbers from 0 in the given order, counted in parallel.
+
+    The rows are written once in sorted ranges; a row's number is its place in its range plus the
+    rows of earlier ranges, of which only one count per range is needed. The range of a row is
+    stored with it, since a second range partitioning could draw other bounds. Rows that are alike
+    in all order columns are ranked by their other values and by task, so that they spread as well.
+    """
+    part, place = "numbered__part", "numbered__place"
+    rest = [F.xxhash64(*df.columns), F.spark_partition_id()]
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = {"numbered__tie0": rest[0], "numbered__tie1": rest[1]}
+    order = [*order_by, *keys]
+    path = shared_dir(df.sparkSession, "numbered")
+    df.withColumns(keys).repartitionByRange(parts, *order) \
+        .withColumn(part, F.spark_partition_id()).write.parquet(path)
+    stored = df.sparkSession.read.parquet(path)
+    counts = stored.groupBy(part).agg(F.count(F.lit(1)).alias("n"))
+    # one row per range: at most the number of shuffle partitions
+    before = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(part, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    within = Window.partitionBy(part).orderBy(*order)
+    placed = stored.withColumn(place, F.row_number().over(within) - 1)
+    return placed.join(F.broadcast(offsets), part) \
+        .withColumn(name, F.col("offset") + F.col(place)).select(name, *df.columns)
+
+
+def land_feed(df: DataFrame, feed: str, path: str, order_by: Sequence[str] = ()) -> None:
     """Write a feed as CSV files with a leading index field, replacing what was there.
 
-    The index carries no information for the readers, which drop it, so it is empty by default. A
-    running number needs a total order over the whole feed, in one task: ``with_index`` asks for it.
+    The index carries no information for the readers, which drop it: it is empty unless an order is
+    given.
     """
     columns = filter_keys(df, FEEDS[feed])
-    if with_index:
-        number = F.row_number().over(Window.orderBy(*(order_by or FEEDS[feed]))) - 1
-        landed = columns.select(number.alias(INDEX), *FEEDS[feed])
+    if order_by:
+        landed = numbered(columns, order_by)
     else:
         landed = columns.select(F.lit(None).cast("string").alias(INDEX), *FEEDS[feed])
     landed.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)

@@ -28,15 +28,15 @@ def write_error_csv(df: DataFrame, columns: Sequence[str], path: str, mode: str
     error_record(df, columns).write.mode(mode).option("header", True).option("escape", '"').csv(path)
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
+def stage(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
     """Write a resolved feed once and read it back, for branches that would each compute it again.
 
     Clean and failed rows go to separate partitions, so every branch reads its own only. The folder
-    is shared, so the result outlives any executor.
+    is shared, so the result outlives any executor. A given ``path`` is replaced.
     """
-    path = shared_dir(df.sparkSession, label)
+    path = path or shared_dir(df.sparkSession, label)
     df = errors.with_errors(df).withColumn("failed", errors.has_errors())
-    df.write.partitionBy("failed").parquet(path)
+    df.write.mode("overwrite").partitionBy("failed").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -47,22 +47,31 @@ def staged_branches(staged: DataFrame, script: str) -> errors.Branches:
 
 
 def write_topic_files(batch: DataFrame, topics: Mapping[str, Sequence[str]], root: str,
-                      batch_id: int | None = None) -> None:
+                      batch_id: int | None = None, staging: str | None = None) -> None:
     """Error records of several feeds, each topic to files of its own with that feed's columns.
 
     Records carry an ``attributes`` map with the topic under ``topic_name``. Records of topics that
     are not declared go to ``other`` as text. A batch has its own folder, which a retry replaces.
+    The batch is staged once, by topic, so no topic reads the records of another.
     """
+    path = staging or shared_dir(batch.sparkSession, "topics")
     name = F.col("attributes")["topic_name"]
+    topic = F.when(name.isin(list(topics)), name).otherwise(F.lit("other"))
+    batch.select("attributes", topic.alias("topic")) \
+        .write.mode("overwrite").partitionBy("topic").parquet(path)
+    staged = batch.sparkSession.read.schema(
+        "attributes map<string,string>, topic string").parquet(path)
     suffix = "" if batch_id is None else f"/batch_id={batch_id}"
     mode = "append" if batch_id is None else "overwrite"
-    for topic, columns in topics.items():
-        rows = batch.filter(name == topic)
-        rows.select(*[F.col("attributes")[c].alias(c) for c in columns]) \
-            .write.mode(mode).option("header", True).option("escape", '"').csv(f"{root}/{topic}{suffix}")
-    other = batch.filter(name.isNull() | ~name.isin(list(topics)))
-    other.select(name.alias("topic_name"), F.to_json("attributes").alias("record")) \
-        .write.mode(mode).option("header", True).option("escape", '"').csv(f"{root}/other{suffix}")
+
+    def write(rows: DataFrame, to: str) -> None:
+        rows.write.mode(mode).option("header", True).option("escape", '"').csv(f"{root}/{to}{suffix}")
+
+    for kind, columns in topics.items():
+        write(staged.filter(F.col("topic") == kind)
+              .select(*[F.col("attributes")[c].alias(c) for c in columns]), kind)
+    write(staged.filter(F.col("topic") == "other")
+          .select(name.alias("topic_name"), F.to_json("attributes").alias("record")), "other")
 
 
 def topic_values(attributes):

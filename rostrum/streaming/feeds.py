@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming.query import StreamingQuery
 
 from rostrum.plans.feeds import TARGETS, Dimensions, outputs
+from rostrum.session import shared_dir
 from rostrum.sources.messages import isolate_attributes
 from rostrum.sources.sinks import error_record, write_topic_files
 
@@ -27,10 +28,14 @@ def message_records(messages: DataFrame, columns: Sequence[str]) -> DataFrame:
 def stream_feed(stream: DataFrame, feed: str, dims: Callable[[], Dimensions], root: str,
                 checkpoint: str, run_date: date | str | None = None,
                 add_politicians: bool = True, trigger: Mapping | None = None) -> StreamingQuery:
-    """Start a feed: rows of each table under ``root/table``, failed rows under ``root/errors``."""
+    """Start a feed: rows of each table under ``root/table``, failed rows under ``root/errors``.
+
+    Batches are staged in two folders in turn, so staging does not grow with the stream.
+    """
+    staging = shared_dir(stream.sparkSession, f"staged-{feed}")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows, failed = outputs(feed, batch, dims(), run_date, add_politicians)
+        rows, failed = outputs(feed, batch, dims(), run_date, add_politicians, f"{staging}/{batch_id % 2}")
         for table, branch in rows.items():
             branch.write.mode("overwrite").parquet(f"{root}/{table}/{BATCH}={batch_id}")
         error_record(failed, TARGETS[feed][1]).write.mode("overwrite") \
@@ -45,9 +50,10 @@ def stream_feed(stream: DataFrame, feed: str, dims: Callable[[], Dimensions], ro
 def stream_errors(messages: DataFrame, topics: Mapping[str, Sequence[str]], root: str,
                   checkpoint: str, trigger: Mapping | None = None) -> StreamingQuery:
     """The error handler: messages of all feeds to one set of files per topic."""
+    staging = shared_dir(messages.sparkSession, "staged-topics")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_topic_files(batch, topics, root, batch_id)
+        write_topic_files(batch, topics, root, batch_id, f"{staging}/{batch_id % 2}")
 
     return (
         messages.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
