@@ -25,8 +25,9 @@ _OPTIONS = {
 def _split(df: DataFrame, feed: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """Lines with the wrong number of fields are flagged; empty fields are empty text, not NULL."""
     broken = F.col(CORRUPT).isNotNull()
-    df = errors.flag(df, broken, F.concat(F.lit("wrong number of fields: "), F.col(CORRUPT)),
-                     errors.SPLIT)
+    message = F.concat(F.lit("wrong number of fields in record "), F.coalesce(INDEX, F.lit("?")),
+                       F.lit(": "), F.col(CORRUPT))
+    df = errors.flag(df, broken, message, errors.SPLIT)
     return df.select(*keep, *[F.coalesce(F.col(c), F.lit("")).alias(c) for c in FEEDS[feed]],
                      errors.ERRORS)
 
