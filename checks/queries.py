@@ -332,16 +332,16 @@ def house_rows_before(spark, sf):
 def bill_url_carry(spark, sf):
     calls = extract.house_vote_documents(documents(spark, sf, "house_votes"))
     index = extract.house_roll_index(documents(spark, sf, "roll_index"), F.col("year"), RUN_DATE)
+    index = sinks.stored(index.select("vote_url", "bill_url"), "roll-index")
     return crawl.carry_bill_url(calls, index).select("doc_id", "bill_id", "bill_url")
 
 
 @query
 def house_votes_amended(spark, sf):
-    calls = extract.house_vote_documents(documents(spark, sf, "house_votes"))
     index = extract.house_roll_index(documents(spark, sf, "roll_index"), F.col("year"), RUN_DATE)
-    listing = extract.amendment_listing(documents(spark, sf, "amendments"), page_size=3)
-    calls = crawl.resolve_amendments(crawl.carry_bill_url(calls, index), listing)
-    return with_status(extract.house_vote_rows(calls)).drop("url")
+    votes = crawl.house_votes(documents(spark, sf, "house_votes"), index,
+                              documents(spark, sf, "amendments"), page_size=3)
+    return with_status(votes).drop("url")
 
 
 # ---- projections -----------------------------------------------------------------------------

@@ -22,9 +22,9 @@ _MARK = "\x01"
 
 
 def without_initial(c: Column) -> Column:
-    """Drop a middle initial, unless the name has several. One expression that names its input once:
-    counting first would name it three times."""
-    return F.regexp_replace(c, LONE_INITIAL, "$1$2")
+    """Drop a middle initial, unless the name has several. The input should be a plain column: names
+    without a dot skip the pattern."""
+    return F.when(F.contains(c, F.lit(".")), F.regexp_replace(c, LONE_INITIAL, "$1$2")).otherwise(c)
 
 
 def without_quoted(c: Column, strip_quotes: bool = False) -> Column:

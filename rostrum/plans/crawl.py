@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from rostrum.operators import errors, extract, lookup
 from rostrum.operators.lookup import BROADCAST_LIMIT
+from rostrum.sources.sinks import stored
 
 
 def carry_bill_url(votes: DataFrame, index: DataFrame,
@@ -25,11 +26,14 @@ def resolve_amendments(votes: DataFrame, listing: DataFrame,
 
 
 def house_votes(documents: DataFrame, index: DataFrame, listings: DataFrame,
-                broadcast_limit: int = BROADCAST_LIMIT) -> DataFrame:
-    """House votes with amendment ids.
+                page_size: int = 100, broadcast_limit: int = BROADCAST_LIMIT) -> DataFrame:
+    """House votes with amendment ids, from roll calls, the extracted index and amendment pages.
 
     The joins run on roll calls, hundreds of times fewer than votes; the votes are exploded last.
+    What is extracted from the other pages is stored first, since it is read more than once.
     """
+    index = stored(index.select("vote_url", "bill_url"), "roll-index")
+    listing = stored(extract.amendment_listing(listings, page_size), "amendments")
     calls = carry_bill_url(extract.house_vote_documents(documents), index, broadcast_limit)
-    calls = resolve_amendments(calls, extract.amendment_listing(listings), broadcast_limit)
+    calls = resolve_amendments(calls, listing, broadcast_limit)
     return extract.house_vote_rows(calls)

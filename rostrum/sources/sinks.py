@@ -40,6 +40,14 @@ def stage(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Write a table that is costly to compute and read back from now on: measuring it, aggregating
+    it and joining to it then cost a scan each."""
+    path = shared_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def staged_branches(staged: DataFrame, script: str) -> errors.Branches:
     clean = staged.filter(~F.col("failed")).drop("failed", errors.ERRORS)
     failed = errors.error_rows(staged.filter(F.col("failed")), script).drop("failed")

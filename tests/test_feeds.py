@@ -5,7 +5,8 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from conftest import SF, rows
+from checks.fixtures import feed as driver_feed
 from rostrum.plans import feeds
 from rostrum.operators import project
 from rostrum.schemas import FEEDS, TABLES, table_schema
@@ -196,3 +197,25 @@ def test_revise_names(spark, dims):
 def test_routing(spark):
     df = spark.createDataFrame([({"bill_id": "1", "x": "2"},), ({"bill_id": "1"},)], "r map<string,string>")
     assert rows(df.select(csv_feeds.belongs_to(F.map_keys("r"), ("bill_id", "amdt_id")))) == [(False,), (True,)]
+
+
+@pytest.mark.parametrize("feed", sorted(FEEDS))
+def test_every_feed_lands_and_loads(spark, feed):
+    df = spark.createDataFrame([tuple(f"{c} {i}" for c in FEEDS[feed]) for i in range(3)],
+                               ", ".join(f"{c} string" for c in FEEDS[feed]))
+    path = shared_dir(spark, "landing")
+    csv_feeds.land_feed(df, feed, path, order_by=FEEDS[feed][:1])
+    back = csv_feeds.read_feed(spark, path, feed)
+    assert rows(back, *FEEDS[feed]) == rows(df)
+    assert back.filter("size(errors) > 0").count() == 0
+
+
+@pytest.mark.parametrize("feed,name,wanted", [
+    ("bill_votes", "votes", ("house",)), ("bill_info", "bills", ()), ("cosponsors", "cosponsors", ()),
+    ("house_members", "members", ("states", "politicians")), ("senate_members", "members", ("politicians",))])
+def test_no_row_is_lost(spark, feed, name, wanted):
+    source = driver_feed(spark, SF, name)
+    dims = feeds.Dimensions(driver_feed(spark, SF, "nicknames"),
+                            **{w: driver_feed(spark, SF, w) for w in wanted})
+    produced, failed = feeds.outputs(feed, source, dims, "2018-10-24")
+    assert produced[feeds.TARGETS[feed][0]].count() + failed.count() == source.count()
