@@ -377,6 +377,12 @@ SELECT c_custkey AS doc_id, 'https://www.house.gov/representatives' AS url,
 FROM (SELECT *, unnest(range(1, 2 + c_custkey % 3)) AS i FROM customer) WHERE NOT {_NO_TABLE}
 UNION ALL SELECT c_custkey, 'https://www.house.gov/representatives', NULL, NULL, NULL, NULL, NULL,
   DATE '{RUN_DATE}', 'page has no table', 'house_roster' FROM customer WHERE {_NO_TABLE}"""
+ORACLE["landed_roster"] = f"""
+SELECT CASE WHEN i = 2 THEN 'Al' ELSE 'Kim' END AS first_name,
+  CASE WHEN i = 2 THEN 'Member' ELSE 'O''Member' END || CAST(c_custkey AS VARCHAR) AS last_name,
+  {_PARTY} AS party, 'NATION_' || CAST(c_nationkey AS VARCHAR) AS state,
+  CAST(i AS VARCHAR) || 'st' AS district, '{RUN_DATE}' AS date, {_NULL} AS error_msg, {_NULL} AS ptransform
+FROM (SELECT *, unnest(range(1, 2 + c_custkey % 3)) AS i FROM customer) WHERE NOT {_NO_TABLE}"""
 ORACLE["house_roll_index_html"] = f"""
 SELECT o_orderkey AS doc_id, 'http://clerk.house.gov/evs/1998/ROLL_' || CAST(o_orderkey AS VARCHAR) || '.asp' AS url,
   'http://clerk.house.gov/cgi-bin/vote.asp?year=1998&rollnumber=' || CAST(o_orderkey AS VARCHAR) AS vote_url,

@@ -488,6 +488,15 @@ def landed_members(spark, sf):
     return feeds.house_rows(clean, RUN_DATE)
 
 
+@query
+def landed_roster(spark, sf):
+    """Roster documents landed as a feed and read back."""
+    path = shared_dir(spark, "landing")
+    roster = extract.house_roster(documents(spark, sf, "house_roster"), RUN_DATE)
+    crawl.land(roster, "house_members_dated", path, shared_dir(spark, "errors"))
+    return with_status(csv_feeds.read_feed(spark, path, csv_feeds.house_feed_name(spark, path)))
+
+
 @query
 def append_table(spark, sf):
     """Two appends to a table that exists already."""

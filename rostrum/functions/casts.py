@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Recorded vote texts. The House list also takes the Yea/Nay spelling.
@@ -36,6 +36,12 @@ def none_to_null(c: Column) -> Column:
     return F.nullif(c, F.lit("None"))
 
 
+def date_column(df: DataFrame, name: str) -> Column:
+    """A column as dates, whether the table stores dates or their text."""
+    c = F.col(name)
+    return to_date(c) if df.schema[name].dataType.typeName() == "string" else c.cast("date")
+
+
 def recode_vote(c: Column, votes: Mapping[str, int]) -> Column:
     yes = [text for text, value in votes.items() if value == 1]
     no = [text for text, value in votes.items() if value == 0]

@@ -18,7 +18,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rostrum.functions.casts import to_date
+from rostrum.functions.casts import date_column
 from rostrum.operators import errors
 
 BROADCAST_LIMIT = 64 << 20
@@ -56,7 +56,8 @@ def _salted(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> tuple[Dat
     crowded = F.broadcast(crowded_keys(left.select(*keys), keys))
     # The salt depends on the task and the row's values, never on the order of arrival, so a task
     # that is run again sends every row where it went before. Copies of one row differ by task.
-    spread = F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in left.columns])
+    hashed = [f.name for f in left.schema.fields if f.dataType.typeName() not in ("map", "variant")]
+    spread = F.xxhash64(F.spark_partition_id(), *hashed)
     left = (
         left.withColumns({_HASH: F.xxhash64(*keys), _SALT: spread})
         .join(crowded, _HASH, "left")
@@ -138,11 +139,12 @@ def fix_house_first_name(df: DataFrame, house: DataFrame,
     the day of the vote."""
     missing = F.col("first_name").isNull() | F.col("first_name").isin("", "None")
     # rows that have a first name get a NULL key: they match nothing and are spread like any row
+    house = house.withColumn("date", date_column(house, "date"))
     df = count_matches(df, house, {
         "last_name": F.when(missing, F.col("last_name")),
         "party": "party",
         "state": "state",
-        "date": to_date(F.col("vote_date").cast("string")),
+        "date": date_column(df, "vote_date"),
     }, "first_name", broadcast_limit)
     # Messages of the error branch.
     message = (
@@ -184,7 +186,7 @@ def new_politicians(df: DataFrame, known: DataFrame, dedupe: bool = False,
 def house_before(house: DataFrame, run_date: date | str) -> DataFrame:
     """House rows dated before yesterday, the ones a vote load may look at."""
     yesterday = F.date_sub(F.lit(str(run_date)).cast("date"), 1)
-    return house.filter(F.col("date") < yesterday)
+    return house.filter(date_column(house, "date") < yesterday)
 
 
 def attach(df: DataFrame, other: DataFrame, on: Mapping[str, Column | str], value: str, name: str,

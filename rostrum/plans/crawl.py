@@ -1,13 +1,30 @@
-"""From landed documents to feeds, where several kinds of pages belong together."""
+"""From landed documents to landed feeds."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rostrum.operators import errors, extract, lookup
+from rostrum.operators import errors, extract, lookup, scrub
 from rostrum.operators.lookup import BROADCAST_LIMIT
-from rostrum.sources.sinks import stored
+from rostrum.schemas import FEEDS
+from rostrum.sources.feeds import land_feed
+from rostrum.sources.sinks import stage, staged_branches, stored, write_error_csv
+
+
+ROSTERS = ("house_members", "house_members_dated", "senate_members")
+
+
+def land(extracted: DataFrame, feed: str, path: str, error_path: str) -> None:
+    """Land the rows of extracted documents as a feed, in ASCII, and their error rows as an error
+    file. Rosters lose their commas, as their feeds have never had any."""
+    clean, failed = staged_branches(stage(extracted, feed), feed)
+    texts = clean.select(*[F.col(c).cast("string").alias(c) for c in clean.columns if c in FEEDS[feed]])
+    texts = scrub.transliterate_texts(texts)
+    if feed in ROSTERS:
+        texts = scrub.drop_commas_everywhere(texts)
+    land_feed(texts, feed, path)
+    write_error_csv(failed, ("doc_id", "url", *FEEDS[feed]), f"{error_path}/{feed}")
 
 
 def carry_bill_url(votes: DataFrame, index: DataFrame,

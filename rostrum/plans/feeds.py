@@ -9,16 +9,16 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rostrum.functions.casts import to_date
+from rostrum.functions.casts import date_column
 from rostrum.operators import lookup, project, scrub
-from rostrum.operators.errors import ERRORS, Branches, split_errors, with_errors
+from rostrum.operators.errors import Branches, split_errors, with_errors
 from rostrum.operators.lookup import BROADCAST_LIMIT
 from rostrum.schemas import TABLES
 from rostrum.sources.sinks import stage, staged_branches, write_error_csv
-from rostrum.sources.tables import append_to_table
+from rostrum.sources.tables import append_to_table, read_dimension
 
 
 @dataclass(frozen=True)
@@ -32,6 +32,23 @@ class Dimensions:
     broadcast_limit: int = BROADCAST_LIMIT
 
 
+def read_dimensions(spark: SparkSession, feed: str, run_date: date | str | None = None,
+                    broadcast_limit: int = BROADCAST_LIMIT) -> Dimensions:
+    """What a feed needs from the session catalog. With a run date, votes see the house rows before
+    yesterday only, as a batch load does; the filter reaches the scan."""
+    table, members = TARGETS[feed][0], ("house", "senate")
+    house = spark.table("house") if table == "all_votes" else None
+    if house is not None and run_date is not None:
+        house = lookup.house_before(house, run_date)
+    return Dimensions(
+        nicknames=read_dimension(spark, "nicknames"),
+        house=house,
+        states=read_dimension(spark, "state_map") if table == "house" else None,
+        politicians=read_dimension(spark, "politicians") if table in members else None,
+        broadcast_limit=broadcast_limit,
+    )
+
+
 # ---- resolving -------------------------------------------------------------------------------
 
 def resolve_votes(df: DataFrame, dims: Dimensions) -> DataFrame:
@@ -41,7 +58,7 @@ def resolve_votes(df: DataFrame, dims: Dimensions) -> DataFrame:
     df = lookup.fix_nickname(df, dims.nicknames, broadcast_limit=dims.broadcast_limit)
     df = scrub.scrub_last_name(df, keep_suffix=False)
     df = project.fix_none(df)
-    return df.withColumn("vote_date", to_date(F.col("vote_date").cast("string")))
+    return df.withColumn("vote_date", date_column(df, "vote_date"))
 
 
 def resolve_bills(df: DataFrame, dims: Dimensions) -> DataFrame:
@@ -106,7 +123,7 @@ def new_rows(clean: DataFrame, dims: Dimensions) -> DataFrame:
 def house_rows(clean: DataFrame, run_date: date | str | None = None) -> DataFrame:
     """The fork to the house table. A feed that brings its date keeps it."""
     if "date" in clean.columns:
-        dated = clean.withColumn("date", to_date(F.col("date").cast("string")))
+        dated = clean.withColumn("date", date_column(clean, "date"))
     else:
         dated = project.add_date(clean, run_date)
     return project.filter_keys(dated, TABLES["house"])

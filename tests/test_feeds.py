@@ -102,6 +102,16 @@ def test_message_without_attributes(spark, dims):
     assert isolated.select("errors.ptransform").first()[0] == ["IsolateAttrFn"]
 
 
+@pytest.fixture(scope="module")
+def catalog(spark):
+    """All stored tables, with one known politician."""
+    for table in TABLES:
+        spark.catalog.createTable(table, path=shared_dir(spark, table), source="parquet", schema=table_schema(table))
+    spark.sql("INSERT INTO politicians VALUES ('Cameron', 'Mattheson', 'R', 'MA', NULL, NULL)")
+    spark.sql("INSERT INTO nicknames VALUES ('Joe', 'Joseph')")
+    return spark
+
+
 def lines(spark, header, *body):
     path = shared_dir(spark, "lines")
     spark.createDataFrame([("\n".join([header, *body]),)], "value string").coalesce(1).write.text(path)
@@ -150,13 +160,10 @@ def test_running_numbers(spark):
     assert [r.k for r in out] == sorted(r.k for r in out)
 
 
-def test_load_and_append(spark, dims):
+def test_load_and_append(catalog, dims):
+    spark = catalog
     with pytest.raises(ValueError):
         tables.append_to_table(spark.range(1), "no_such_table")
-    for table in ("house", "politicians"):
-        spark.catalog.createTable(f"{table}", path=shared_dir(spark, table), source="parquet",
-                                  schema=table_schema(table))
-    spark.sql("INSERT INTO politicians VALUES ('Cameron', 'Mattheson', 'R', 'MA', NULL, NULL)")
     current = feeds.Dimensions(dims.nicknames, states=dims.states, politicians=spark.table("politicians"))
     feed = sent(spark, "house_members", KNOWN, NEW, {**NEW, "state": "Nowhere"})
     error_path = shared_dir(spark, "errors")
@@ -170,6 +177,21 @@ def test_load_and_append(spark, dims):
     assert rows(failed, "ptransform", "state") == [("StateMapFn", "Nowhere")] * 2
 
 
+def test_dimensions_from_the_catalog(catalog):
+    spark = catalog
+    spark.sql("INSERT INTO house VALUES ('Ann', 'Old', 'R', 'MA', '1st', date'2018-10-20')")
+    found = feeds.read_dimensions(spark, "bill_votes", "2018-10-26")
+    assert found.house is not None and found.politicians is None
+    vote = {**VOTE, "first_name": "", "last_name": "Old", "party": "R", "state": "MA", "vote_date": "2018-10-20"}
+    clean, _ = feeds.votes_feed(sent(spark, "bill_votes", vote), found)
+    assert rows(clean, "first_name") == [("Ann",)]
+    # a row is visible from the second day after its date
+    visible = [feeds.read_dimensions(spark, "bill_votes", day).house.filter("last_name = 'Old'").count()
+               for day in ("2018-10-21", "2018-10-22")]
+    assert visible == [0, 1]
+    assert feeds.read_dimensions(spark, "senate_members").politicians is not None
+
+
 def test_error_record_columns(spark):
     df = spark.createDataFrame([("a", None, "m", "p", "s")],
                                "bill_id string, amdt_id string, error_msg string, ptransform string, script string")
