@@ -56,6 +56,12 @@ def _entries(df: DataFrame, array: Column, name: str) -> DataFrame:
     return listed.filter(F.col(name).isNotNull() | errors.has_errors())
 
 
+def _linked(link: str, name: str | None = None) -> Column:
+    """A link as an absolute address; NULL where the page has none."""
+    found = F.when(F.col(link).isNotNull(), resolve_url(F.col("url"), F.col(link)))
+    return found.alias(name or link)
+
+
 # ---- XML -------------------------------------------------------------------------------------
 
 def senate_roster(docs: DataFrame) -> DataFrame:
@@ -135,7 +141,10 @@ def house_roster(docs: DataFrame, run_date: date | str | None = None) -> DataFra
     df = _entries(df, F.col("tables"), "table")
     caption = markup.first(F.regexp_extract_all("table", F.lit(r"(?is)<caption\b.*?</caption>"), 0))
     df = df.select(*_KEYS, errors.ERRORS, "table", caption.alias("caption"))
-    df = df.filter(errors.has_errors() | is_state_table(markup.attribute(F.col("caption"), "id")))
+    df = df.withColumn("caption_id", markup.attribute(F.col("caption"), "id"))
+    df = errors.flag(df, F.col("table").isNotNull() & F.col("caption_id").isNull(),
+                     "table has no caption id", step)
+    df = df.filter(errors.has_errors() | is_state_table(F.col("caption_id")))
     df = df.select(
         *_KEYS, errors.ERRORS,
         markup.own_text(markup.block(F.col("caption"), "caption")).alias("state"),
@@ -176,11 +185,11 @@ def house_roll_index(docs: DataFrame, year: Column | int, run_date: date | str,
         markup.first_matching(F.col("links"), "rollnumber").alias("vote_url"),
         markup.first_matching(F.col("links"), r"congress\.gov").alias("bill_url"),
     )
+    df = errors.flag(df, ~errors.has_errors() & F.col("vote_url").isNull(), "row has no vote link", step)
     df = markup.unescape_columns(df, "vote_url", "bill_url")
     df = df.select(
         *_KEYS, errors.ERRORS,
-        resolve_url(F.col("url"), F.col("vote_url")).alias("vote_url"),
-        F.concat(resolve_url(F.col("url"), F.col("bill_url")), F.lit("/amendments?pageSort=asc")).alias("bill_url"),
+        _linked("vote_url"), F.concat(_linked("bill_url"), F.lit("/amendments?pageSort=asc")).alias("bill_url"),
         casts.parse_day_in_year(F.col("day"), F.col("year"), casts.HOUSE_INDEX_DATE).alias("bill_date"),
     )
     df = errors.flag(df, ~errors.has_errors() & F.col("bill_date").isNull(), "row has no date", step)
@@ -211,10 +220,11 @@ def senate_vote_menu(docs: DataFrame, year: Column | int, run_date: date | str,
         *_KEYS, errors.ERRORS, "year", markup.first_matching(F.col("links"), "vote=").alias("vote_url"),
         markup.all_text(F.try_element_at("cells", F.lit(-1))).alias("day"),
     )
+    df = errors.flag(df, ~errors.has_errors() & F.col("vote_url").isNull(), "row has no vote link", step)
     df = markup.unescape_columns(df, "vote_url", "day")
     day = transliterate(F.col("day"))
     df = df.select(
-        *_KEYS, errors.ERRORS, resolve_url(F.col("url"), F.col("vote_url")).alias("vote_url"),
+        *_KEYS, errors.ERRORS, _linked("vote_url"),
         casts.parse_day_in_year(day, F.col("year"), casts.SENATE_MENU_DATE).alias("bill_date"),
     )
     df = errors.flag(df, ~errors.has_errors() & F.col("bill_date").isNull(), "row has no date", step)
@@ -225,7 +235,7 @@ def xml_edition(docs: DataFrame) -> DataFrame:
     """The link of a roll-call page to its XML edition."""
     holder = markup.block(F.col("body"), "span", r"style=[\"']float: right[\"']")
     df = markup.unescape_columns(docs.select(*_KEYS, markup.first(markup.links(holder)).alias("xml_url")), "xml_url")
-    return df.select(*_KEYS, resolve_url(F.col("url"), F.col("xml_url")).alias("xml_url"))
+    return df.select(*_KEYS, _linked("xml_url"))
 
 
 def bill_search(docs: DataFrame) -> DataFrame:
@@ -244,9 +254,8 @@ def bill_search(docs: DataFrame) -> DataFrame:
 
 def next_page(docs: DataFrame) -> DataFrame:
     link = F.regexp_extract("body", r"(?is)(<a\b[^>]*?class=[\"']next[\"'][^>]*>)", 1)
-    df = markup.unescape_columns(docs.select(*_KEYS, markup.attribute(link, "href").alias("href")), "href")
-    return df.select(*_KEYS, F.when(F.col("href").isNotNull(),
-                                    resolve_url(F.col("url"), F.col("href"))).alias("next_url"))
+    df = markup.unescape_columns(docs.select(*_KEYS, markup.attribute(link, "href").alias("next_url")), "next_url")
+    return df.select(*_KEYS, _linked("next_url"))
 
 
 _LEGEND = r"class=[\"']legDetail[\"']"
@@ -279,8 +288,7 @@ def bill_details(docs: DataFrame) -> DataFrame:
         sponsor["first_name"].alias("sponsor_fn"), sponsor["last_name"].alias("sponsor_ln"),
         sponsor["party"].alias("sponsor_party"), sponsor["state"].alias("sponsor_state"),
         F.col("url").alias("bill_url"),
-        F.when(F.col("cosponsors").isNotNull(),
-               resolve_url(F.col("url"), F.col("cosponsors"))).alias("cosponsors_url"),
+        _linked("cosponsors", "cosponsors_url"),
     )
     df = errors.flag(df, F.col("bill_id").isNull(), "no bill number", step)
     return errors.flag(df, F.col("sponsor_ln").isNull(), "no sponsor", step)

@@ -78,3 +78,15 @@ def test_unreadable_cosponsor(spark):
     found = extract.cosponsors(docs(spark, page))
     assert rows(found, "bill_id", "cosponsor_ln", F.size("errors")) == sorted(
         [("HR5", "Lee", 0), ("HR5", None, 1)], key=repr)
+
+
+def test_rows_without_links_or_captions(spark):
+    page = "<table><tr><th>h</th></tr><tr><td>1</td><td>5-Dec</td></tr></table>"
+    found = extract.house_roll_index(docs(spark, page), 2017, "2018-10-24")
+    assert rows(found, "vote_url", "errors.error_msg") == [(None, ["row has no vote link"])]
+    page = "<table><tr><td>1</td><td>Dec 05</td></tr></table>"
+    found = extract.senate_vote_menu(docs(spark, page), 2017, "2018-10-24")
+    assert rows(found, "vote_url", "errors.error_msg") == [(None, ["row has no vote link"])]
+    page = "<table class='table'><caption>Ohio</caption><tbody><tr><td>1</td><td><a>A, B</a></td><td>R</td></tr></tbody></table>"
+    found = extract.house_roster(docs(spark, page), "2018-10-24")
+    assert rows(found, "last_name", "errors.error_msg") == [("A", ["table has no caption id"])]
