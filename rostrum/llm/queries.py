@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rostrum.llm import bfd_pack, ss_pack
+from rostrum.llm import bfd_pack, merkle, simhash_pivot, ss_pack, tree_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -22,6 +22,33 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+@query
+def op1_simhash_pivot(spark, sf):
+    """Every document's fingerprint and component."""
+    return simhash_pivot.classes(table(spark, sf, "documents"))
+
+
+@query
+def op2_merkle(spark, sf):
+    """Every document's tree next to that of its edited text."""
+    return merkle.fingerprints(table(spark, sf, "documents"))
+
+
+@query
+def op4_tree_dedup(spark, sf):
+    """Every document with the one that stays of its equals."""
+    return tree_dedup.groups(table(spark, sf, "documents"))
+
+
+ORACLE["op4_tree_dedup"] = """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id DESC NULLS LAST) = 1 AS kept,
+       sha256(coalesce(text, '')) AS text_sha256
+FROM documents
+WINDOW same AS (PARTITION BY coalesce(text, ''))
+"""
+
+
 @query
 def op5_bfd_pack(spark, sf):
     """Packed id rows of all documents."""
