@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rostrum.llm import bfd_pack, merkle, simhash_pivot, ss_pack, tree_dedup
+from rostrum.llm import bfd_pack, merkle, ppm_langid, simhash_pivot, ss_pack, tree_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -34,6 +34,12 @@ def op2_merkle(spark, sf):
     return merkle.fingerprints(table(spark, sf, "documents"))
 
 
+@query
+def op3_ppm_langid(spark, sf):
+    """Every document's predicted language."""
+    return ppm_langid.predict_languages(table(spark, sf, "documents").select("doc_id", "text", "lang")).drop("text", "lang")
+
+
 @query
 def op4_tree_dedup(spark, sf):
     """Every document with the one that stays of its equals."""

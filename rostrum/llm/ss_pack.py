@@ -130,5 +130,5 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, shard_units: int =
 
 def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, shard_units: int = SHARD_UNITS) -> DataFrame:
     """One row per piece of every document; ``docs`` has ``doc_id`` and ``text``."""
-    pieces = docs.select("doc_id", text_pieces(F.col("text"), path, capacity).alias("p")).select("doc_id", F.inline("p"))
+    pieces = docs.select("doc_id", text_pieces(F.col("text"), path, capacity).alias("p")).select("doc_id", F.inline_outer("p"))  # no filter on the pieces, for which they would be made twice
     return pack_pieces(stored(pieces, "pieces"), capacity, shard_units)
