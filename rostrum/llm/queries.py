@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rostrum.llm import bfd_pack, merkle, ppm_langid, simhash_pivot, ss_pack, tree_dedup
+from rostrum.llm import bfd_pack, merkle, ordinal_quality, ppm_langid, simhash_pivot, ss_pack, string_kernel, tree_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -65,3 +65,17 @@ def op5_bfd_pack(spark, sf):
 def op6_ss_pack(spark, sf):
     """The place of every piece of all documents."""
     return ss_pack.pack(table(spark, sf, "documents"))
+
+
+@query
+def op8_string_kernel(spark, sf):
+    """Every document's toxicity."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return string_kernel.score_documents(docs, table(spark, sf, "labels")).drop("text")
+
+
+@query
+def op10_ordinal_quality(spark, sf):
+    """Every document's expected grade, tail probability and selection."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return ordinal_quality.rate_documents(docs, ordinal_quality.graded(table(spark, sf, "labels"))).drop("text")
