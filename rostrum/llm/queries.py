@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from rostrum.llm import bfd_pack, merkle, ordinal_quality, ppm_langid, simhash_pivot, ss_pack, string_kernel, tree_dedup
+from rostrum.llm import bfd_pack, license_join, merkle, ordinal_quality, ppm_langid, simhash_pivot, sp_lattice, ss_pack, string_kernel, tree_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -67,6 +68,12 @@ def op6_ss_pack(spark, sf):
     return ss_pack.pack(table(spark, sf, "documents"))
 
 
+@query
+def op7_license_join(spark, sf):
+    """Every document's license phrases and templates."""
+    return license_join.scan_documents(table(spark, sf, "documents"))
+
+
 @query
 def op8_string_kernel(spark, sf):
     """Every document's toxicity."""
@@ -74,6 +81,14 @@ def op8_string_kernel(spark, sf):
     return string_kernel.score_documents(docs, table(spark, sf, "labels")).drop("text")
 
 
+@query
+def op9_sp_lattice(spark, sf):
+    """Every document's piece ids, and whether they decode to its text."""
+    found = sp_lattice.encode_documents(table(spark, sf, "documents"))
+    same = sp_lattice.decode(F.col("ids")) == F.replace(F.coalesce("text", F.lit("")), F.lit(sp_lattice.SPACE), F.lit(" "))
+    return found.select("doc_id", F.size("ids").cast("bigint").alias("n_ids"), "ids", same.alias("decodes"))
+
+
 @query
 def op10_ordinal_quality(spark, sf):
     """Every document's expected grade, tail probability and selection."""
