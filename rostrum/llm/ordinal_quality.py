@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rostrum.llm.common import fit_in_task
 from rostrum.llm.ppm_langid import held_out
 
 BUCKETS = 4096
@@ -121,11 +122,13 @@ def train(docs: DataFrame, ratings: DataFrame, rated_docs: int = RATED_DOCS) ->
         return pa.array([features(t).astype(np.float16).tobytes() for t in texts.to_pylist()], pa.binary())
 
     found = docs.select("doc_id", "text").filter(F.col("text").isNotNull()).join(F.broadcast(sample), "doc_id")
-    found = found.select("grade", shares("text").alias("x")).toArrow().sort_by([("grade", "ascending"), ("x", "ascending")])
-    if not found.num_rows:
-        return None
-    x = np.frombuffer(b"".join(found["x"].to_pylist()), np.float16).reshape(found.num_rows, -1).astype(np.float32)
-    return fit(x, found["grade"].to_numpy())
+
+    def fitted(rows: pa.Table) -> Model | None:
+        rows = rows.sort_by([("grade", "ascending"), ("x", "ascending")])
+        x = np.frombuffer(b"".join(rows["x"].to_pylist()), np.float16).reshape(rows.num_rows, -1).astype(np.float32)
+        return fit(x, rows["grade"].to_numpy())
+
+    return fit_in_task(found.select("grade", shares("text").alias("x")), fitted)
 
 
 def quality(text: Column, model: Model | None, spark: SparkSession) -> Column:

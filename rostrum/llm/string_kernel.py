@@ -30,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rostrum.llm.common import fit_in_task
 from rostrum.llm.ppm_langid import held_out
 
 LENGTH, SPAN, DECAY = 4, 6, 0.75
@@ -280,9 +281,13 @@ def train(docs: DataFrame, labels: DataFrame, toxic_docs: int = TOXIC_DOCS, clea
     limit = F.when(F.col("toxic") == 1, rate[1]).otherwise(rate[0]) * (1 << 20)
     sample = labels.filter(F.pmod(F.xxhash64("doc_id", F.lit("toxic")), F.lit(1 << 20)) < limit)
     found = docs.select("doc_id", "text").filter(F.col("text").isNotNull()).join(F.broadcast(sample), "doc_id")
-    found = found.select("text", "toxic").toArrow().sort_by([("toxic", "ascending"), ("text", "ascending")])
-    toxic = found["toxic"].to_numpy()
-    return fit(found["text"].to_pylist(), toxic, np.where(toxic > 0, 1 / rate[1], 1 / rate[0]))
+
+    def fitted(rows: pa.Table) -> Model | None:
+        rows = rows.sort_by([("toxic", "ascending"), ("text", "ascending")])
+        toxic = rows["toxic"].to_numpy()
+        return fit(rows["text"].to_pylist(), toxic, np.where(toxic > 0, 1 / rate[1], 1 / rate[0]))
+
+    return fit_in_task(found.select("text", "toxic"), fitted)
 
 
 def toxicity(text: Column, model: Model | None, spark: SparkSession) -> Column:
