@@ -41,12 +41,13 @@ FROM {lineitem}""",
 
     "house": """
 SELECT 'F' || CAST(l_partkey AS STRING) AS first_name,
-  'Member' || CAST(l_suppkey AS STRING) || CASE WHEN l_linenumber < 3 THEN ' Jr.' ELSE '' END AS last_name,
+  'Member' || CAST(l_suppkey AS STRING) || CASE WHEN l_linenumber < 3 THEN ' Jr.' ELSE '' END ||
+    CASE WHEN l_returnflag = 'R' THEN ' Elsewhere' ELSE '' END AS last_name,
   CASE l_linestatus WHEN 'F' THEN 'D' ELSE 'R' END AS party,
   'S' || CAST(l_suppkey % 25 AS STRING) AS state,
   'D' || CAST(l_linenumber AS STRING) AS district,
   CAST(l_shipdate AS DATE) AS date
-FROM {lineitem} WHERE l_returnflag <> 'R'""",
+FROM {lineitem}""",
 
     "bills": """
 SELECT o_orderkey AS bill_key,
@@ -88,19 +89,20 @@ FROM (VALUES ('Joe', 'Joseph'), ('Carol', 'Caroline'), ('Al', 'Alan'), ('Al', 'A
   AS t(column_a, column_b)""",
 
     "states": """
-SELECT n_name AS state, 'S' || CAST(n_nationkey AS STRING) AS initials FROM {nation}
-WHERE n_nationkey <> 7
+SELECT n_name || CASE WHEN n_nationkey = 7 THEN ' (old)' ELSE '' END AS state,
+  'S' || CAST(n_nationkey AS STRING) AS initials FROM {nation}
 UNION ALL SELECT n_name AS state, 'DUP' AS initials FROM {nation} WHERE n_nationkey = 3""",
 
     # stored under the bare names and initials that cleaning arrives at
     "politicians": """
 SELECT c_custkey AS id, CASE c_custkey % 8 WHEN 0 THEN 'Joseph' WHEN 7 THEN 'Kim' ELSE 'Al' END AS first_name,
-  'Member' || CAST(c_custkey % 400 AS STRING) AS last_name,
+  'Member' || CAST(c_custkey % 400 AS STRING) ||
+    CASE WHEN c_mktsegment = 'MACHINERY' THEN ' Elsewhere' ELSE '' END AS last_name,
   CASE c_custkey % 3 WHEN 0 THEN 'D' WHEN 1 THEN 'R' ELSE 'I' END AS party,
   'S' || CAST(c_nationkey AS STRING) AS state,
   CAST(NULL AS STRING) AS suffix,
   CASE c_custkey % 8 WHEN 0 THEN 'Joe' END AS nickname
-FROM {customer} WHERE c_mktsegment <> 'MACHINERY'""",
+FROM {customer}""",
 }
 
 # One document per row. ``seq`` repeats entries within a document.
@@ -188,8 +190,8 @@ FROM {part}""",
     "bill_pages": """
 SELECT bill_key AS doc_id, 'https://www.congress.gov/bill/115th-congress/house-bill/' || bill_key AS url,
   '<h1 class="legDetail">' || raw_title || '<span>115th Congress (2017-2018)</span></h1>' ||
-  '<table class="standard01"><tr><th>Sponsor:</th><td>' || subtitle || '<a href="/member/x">' || raw_sponsor ||
-  '</a> (Introduced 01/03/2018)</td></tr></table><a href="/bill/115th-congress/house-bill/' || bill_key ||
+  '<table class="standard01"><tr><th>Sponsor:</th><td><a href="/member/x">' || raw_sponsor || '</a>' || subtitle ||
+  ' (Introduced 01/03/2018)</td></tr></table><a href="/bill/115th-congress/house-bill/' || bill_key ||
   '/cosponsors?r=1&amp;s=2">Cosponsors (2)</a><div id="bill-summary"><h3>Summary</h3>\\n<p>About ' ||
   subtitle || ' &amp; more.</p><p>Second.</p></div>' AS body
 FROM ({raw_bills})""",

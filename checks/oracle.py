@@ -389,23 +389,27 @@ SELECT o_orderkey AS doc_id, 'http://clerk.house.gov/evs/1998/ROLL_' || CAST(o_o
   {_BILL_URL} AS bill_url, {_DAY} AS bill_date, {_NULL} AS error_msg, {_NULL} AS ptransform
 FROM orders WHERE {_DAY} <= DATE '1998-05-31'"""
 ORACLE["roll_index_links_html"] = f"""
-SELECT page_id AS doc_id, url,
+WITH found AS (SELECT page_id AS doc_id, url,
   regexp_extract(url, '^(https?://[^?#]*/)', 1) || 'ROLL_' || substr(link, 3) AS link
 FROM ({_LINKS}) WHERE link LIKE '/t%'
 UNION ALL
 SELECT page_id, url, regexp_extract(url, '^(https?://[^/]*)', 1) || link FROM ({_LINKS})
-WHERE link LIKE '%ROLL%' AND link NOT LIKE '/t%'"""
+WHERE link LIKE '%ROLL%' AND link NOT LIKE '/t%')
+SELECT *, CAST(NULL AS VARCHAR) AS error_msg, CAST(NULL AS VARCHAR) AS ptransform FROM found
+UNION ALL SELECT page_id, url, NULL, 'document has no links to roll calls', 'roll_index_links' FROM pages
+WHERE page_id NOT IN (SELECT doc_id FROM found)"""
 ORACLE["senate_vote_menu_html"] = f"""
 SELECT o_orderkey AS doc_id, 'https://www.senate.gov/legislative/LIS/roll_call_lists/roll_call_vote_cfm.cfm?congress=115&vote='
   || CAST(o_orderkey AS VARCHAR) AS vote_url, {_DAY} AS bill_date, {_NULL} AS error_msg, {_NULL} AS ptransform
 FROM orders WHERE {_DAY} <= DATE '1998-05-31'"""
 ORACLE["senate_xml_edition"] = """
 SELECT page_id AS doc_id, url, regexp_extract(url, '^(https?://[^/]*)', 1) || '/xml/vote_' || CAST(page_id AS VARCHAR)
-  || '.xml' AS xml_url FROM pages"""
+  || '.xml' AS xml_url, CAST(NULL AS VARCHAR) AS error_msg, CAST(NULL AS VARCHAR) AS ptransform FROM pages"""
 _PART_URL = "'https://www.congress.gov/bill/115th-congress/house-bill/' || CAST({} AS VARCHAR)"
 ORACLE["bill_search_html"] = f"""
 SELECT p_partkey AS doc_id, {_PART_URL.format('p_partkey')} AS bill_url,
-  CASE WHEN p_size % 2 = 0 THEN make_date(2018, CAST(p_size % 12 + 1 AS BIGINT), 3) END AS introduced FROM part"""
+  CASE WHEN p_size % 2 = 0 THEN make_date(2018, CAST(p_size % 12 + 1 AS BIGINT), 3) END AS introduced,
+  CAST(NULL AS VARCHAR) AS error_msg, CAST(NULL AS VARCHAR) AS ptransform FROM part"""
 ORACLE["bill_search_next_page"] = """
 SELECT p_partkey AS doc_id,
   CASE WHEN p_size % 3 = 0 THEN 'https://www.congress.gov/search?q=x&page=2' END AS next_url FROM part"""
@@ -419,7 +423,7 @@ def _pol(i: int) -> str:
 
 ORACLE["bill_details_html"] = f"""
 SELECT bill_key AS doc_id, {_PAGE_BILL['bill_id']} AS bill_id, {_PAGE_BILL['amdt_id']} AS amdt_id,
-  {_PAGE_BILL['bill_title']} || subtitle AS bill_title, 'About ' || subtitle || ' & more.' AS bill_summary,
+  {_PAGE_BILL['bill_title']} || subtitle || ' (Introduced 01/03/2018)' AS bill_title, 'About ' || subtitle || ' & more.' AS bill_summary,
   {_pol(2)} AS sponsor_fn, {_pol(1)} AS sponsor_ln, {_pol(3)} AS sponsor_party, {_pol(4)} AS sponsor_state,
   {_PART_URL.format('bill_key')} AS bill_url,
   {_PART_URL.format('bill_key')} || '/cosponsors?r=1&s=2' AS cosponsors_url,
@@ -444,7 +448,8 @@ SELECT bill_key AS doc_id, {_PAGE_BILL['bill_id']} AS bill_id, {_PAGE_BILL['amdt
 FROM (SELECT *, unnest(range(1, 2 + bill_key % 3)) AS i FROM {f('raw_bills')})"""
 ORACLE["amendment_listing_html"] = """
 SELECT 'https://www.congress.gov/bill/115/hr/' || CAST(c_custkey AS VARCHAR) || '/amendments?pageSort=asc' AS bill_url,
-  CAST(i AS INTEGER) AS ordinal, 'HAMDT' || CAST(c_custkey * 10 + i AS VARCHAR) AS amdt_id
+  CAST(i AS INTEGER) AS ordinal, 'HAMDT' || CAST(c_custkey * 10 + i AS VARCHAR) AS amdt_id,
+  CAST(NULL AS VARCHAR) AS error_msg, CAST(NULL AS VARCHAR) AS ptransform
 FROM (SELECT c_custkey, unnest(range(1, 7)) AS i FROM customer)"""
 
 # ---- feeds -----------------------------------------------------------------------------------
@@ -535,3 +540,22 @@ _TEXT_ROWS = scrubbed(nicknamed(scrubbed(f"""SELECT bill_id, amdt_id, coalesce({
 ORACLE["stream_csv_cosponsors"] = f"""
 SELECT {none('bill_id', 'amdt_id', 'first_name', 'last_name', 'party', 'state')} FROM ({_TEXT_ROWS})"""
 ORACLE["stream_error_topics"] = ORACLE["cosponsors_errors"]
+
+ORACLE["document_files"] = """
+SELECT CAST(page_id % 40 AS BIGINT) AS file, string_agg(CAST(page_id AS VARCHAR) || chr(10), '' ORDER BY page_id) AS body
+FROM pages GROUP BY 1"""
+_NO_ERROR = "CAST(NULL AS VARCHAR) AS error_msg, CAST(NULL AS VARCHAR) AS ptransform"
+ORACLE["landed_votes"] = f"""
+SELECT bill_id, amdt_id, first_name, ' ' || last_name || chr(10) || 'x ' AS last_name, party, state, vote_cast, vote_date,
+  chamber, chamber_state, {_NO_ERROR} FROM {f("votes")}"""
+ORACLE["landed_senate"] = f"""
+SELECT first_name, last_name, party, state, {_NO_ERROR} FROM {f("members")}"""
+ORACLE["landed_layouts"] = f"""
+SELECT first_name, last_name, party, state, district, CASE WHEN member_id % 2 = 1 THEN '2018-10-20' ELSE '' END AS date,
+  {_NO_ERROR} FROM {f("members")}"""
+ORACLE["decoded_references"] = """
+SELECT p_partkey, 'O\u2019' || p_name || ' ''x'' Vel\u00e1z &lt; &amp; \u2019 &none; A&B' AS name FROM part"""
+ORACLE["votes_date_errors"] = f"""
+SELECT bill_id, amdt_id, 'Kim' AS first_name, replace(last_name, ' Jr.', '') AS last_name, party, state, '1' AS vote_cast,
+  'on ' || vote_date AS vote_date, chamber, 'invalid date: ''on ' || vote_date || '''' AS error_msg,
+  'FixTypesFn' AS ptransform, 'bill_votes' AS script FROM {f("votes")} WHERE bill_id LIKE '%7'"""

@@ -13,6 +13,7 @@ from rostrum.operators import errors, extract, filters, lookup, project, scrub
 from rostrum.plans import crawl, feeds
 from rostrum.schemas import FEEDS, TABLES, csv_schema
 from rostrum.session import shared_dir
+from rostrum.sources import documents as landed_documents
 from rostrum.sources import feeds as csv_feeds
 from rostrum.sources import messages, sinks, tables
 from rostrum.streaming import feeds as streams
@@ -142,7 +143,7 @@ def url_strip(spark, sf):
 @query
 def url_resolve(spark, sf):
     df = read(spark, sf, "pages").select("page_id", "url", F.explode(markup.links(F.col("html"))).alias("href"))
-    relative = F.substring("href", 2, 1 << 20)
+    relative = F.expr("substring(href, 2)")
     return df.select("page_id", "href", text.resolve_url(F.col("url"), F.col("href")).alias("absolute"),
                      text.resolve_url(F.col("url"), F.concat(F.lit("../x/"), relative)).alias("upward"))
 
@@ -439,7 +440,64 @@ def name_listing(spark, sf):
 
 @query
 def document_scan(spark, sf):
-    return read(spark, sf, "pages").select(F.col("page_id").alias("doc_id"), "url", F.col("html").alias("body"))
+    """Landed documents, read back."""
+    path = shared_dir(spark, "documents")
+    read(spark, sf, "pages").select(F.col("page_id").alias("doc_id"), "url", F.col("html").alias("body")).write.parquet(path)
+    return landed_documents.read_documents(spark, path)
+
+
+@query
+def document_files(spark, sf):
+    """One document per file: the pages of a host and day of the id's last digits in one file."""
+    path = shared_dir(spark, "document-files")
+    pages = read(spark, sf, "pages").select((F.col("page_id") % 40).alias("file"), F.col("page_id").cast("string").alias("value"))
+    pages.repartition(4, "file").sortWithinPartitions("file", F.col("value").cast("bigint")).write.partitionBy("file").text(path)
+    found = landed_documents.read_document_files(spark, path)
+    return found.select(F.regexp_extract("url", r"file=(\d+)", 1).cast("bigint").alias("file"), "body")
+
+
+@query
+def landed_votes(spark, sf):
+    """Votes landed as CSV and read back, with a line break and spaces in a value."""
+    path = shared_dir(spark, "landing")
+    df = feed(spark, sf, "votes").withColumn("last_name", F.concat(F.lit(" "), "last_name", F.lit("\nx ")))
+    csv_feeds.land_feed(df, "bill_votes", path)
+    return with_status(csv_feeds.read_feed(spark, path, "bill_votes"))
+
+
+@query
+def landed_senate(spark, sf):
+    path = shared_dir(spark, "landing")
+    csv_feeds.land_feed(feed(spark, sf, "members"), "senate_members", path)
+    return with_status(csv_feeds.read_feed(spark, path, "senate_members"))
+
+
+@query
+def landed_layouts(spark, sf):
+    """Members of both layouts in one folder."""
+    path = shared_dir(spark, "landing")
+    members = feed(spark, sf, "members")
+    csv_feeds.land_feed(members.filter("member_id % 2 = 0"), "house_members", f"{path}/plain")
+    dated = members.filter("member_id % 2 = 1").withColumn("date", F.lit("2018-10-20"))
+    csv_feeds.land_feed(dated, "house_members_dated", f"{path}/dated")
+    return with_status(csv_feeds.read_members(spark, f"{path}/*"))
+
+
+@query
+def votes_date_errors(spark, sf):
+    """Votes whose date cannot be read, with the text they had."""
+    votes = _votes(spark, sf).withColumn("vote_date", F.when(
+        F.col("bill_id").endswith("7"), F.concat(F.lit("on "), "vote_date")).otherwise(F.col("vote_date")))
+    votes = votes.withColumns({"vote_cast": F.lit("1"), "first_name": F.lit("Kim")})
+    failed = feeds.votes_feed(votes, dims(spark, sf, "house")).errors
+    return sinks.error_record(failed, TABLES["all_votes"])
+
+
+@query
+def decoded_references(spark, sf):
+    """Names with references by name and number, decoded once."""
+    text = F.concat(F.lit("O&#8217;"), "p_name", F.lit(" &#x27;x&#x27; Vel&aacute;z &#38;lt; &amp;amp; &rsquo; &none; A&B"))
+    return read(spark, sf, "part").select("p_partkey", markup.unescape(text).alias("name"))
 
 
 @query
@@ -568,7 +626,7 @@ def house_roll_index_html(spark, sf):
 def roll_index_links_html(spark, sf):
     docs = read(spark, sf, "pages").select(
         F.col("page_id").alias("doc_id"), "url", F.regexp_replace("html", 'href="/t', 'href="ROLL_').alias("body"))
-    return extract.roll_index_links(docs)
+    return with_status(extract.roll_index_links(docs))
 
 
 @query
@@ -582,12 +640,12 @@ def senate_xml_edition(spark, sf):
     docs = read(spark, sf, "pages").select(F.col("page_id").alias("doc_id"), "url", F.concat(
         F.lit('<span style="float: right"><a href="/xml/vote_'), F.col("page_id").cast("string"),
         F.lit('.xml">XML</a></span>'), "html").alias("body"))
-    return extract.xml_edition(docs)
+    return with_status(extract.xml_edition(docs))
 
 
 @query
 def bill_search_html(spark, sf):
-    return extract.bill_search(documents(spark, sf, "bill_search")).drop("url")
+    return with_status(extract.bill_search(documents(spark, sf, "bill_search"))).drop("url")
 
 
 @query
@@ -607,7 +665,7 @@ def cosponsors_html(spark, sf):
 
 @query
 def amendment_listing_html(spark, sf):
-    return extract.amendment_listing(documents(spark, sf, "amendments"), page_size=3)
+    return with_status(extract.amendment_listing(documents(spark, sf, "amendments"), page_size=3))
 
 
 # ---- feeds -----------------------------------------------------------------------------------
@@ -720,7 +778,7 @@ def _run(spark, sf, name: str, source: DataFrame, wanted: tuple[str, ...], root:
 def stream_votes_clean(spark, sf):
     root = shared_dir(spark, "stream")
     _run(spark, sf, "bill_votes", _votes(spark, sf), ("house",), root)
-    return spark.read.parquet(f"{root}/all_votes").drop(streams.BATCH)
+    return spark.read.parquet(f"{root}/all_votes").drop(streams.RUN, streams.BATCH)
 
 
 @query
@@ -728,7 +786,7 @@ def stream_cosponsors_errors(spark, sf):
     root = shared_dir(spark, "stream")
     _run(spark, sf, "cosponsors", feed(spark, sf, "cosponsors").drop("bill_key"), (), root,
          absent=True)
-    return spark.read.option("header", True).option("escape", '"').csv(f"{root}/errors").drop(streams.BATCH)
+    return spark.read.option("header", True).option("escape", '"').csv(f"{root}/errors").drop(streams.RUN, streams.BATCH)
 
 
 @query
@@ -736,21 +794,21 @@ def stream_house_new(spark, sf):
     root = shared_dir(spark, "stream")
     _run(spark, sf, "house_members", feed(spark, sf, "members").drop("member_id"),
          ("states", "politicians"), root)
-    return spark.read.parquet(f"{root}/politicians").drop(streams.BATCH)
+    return spark.read.parquet(f"{root}/politicians").drop(streams.RUN, streams.BATCH)
 
 
 @query
 def stream_bills_clean(spark, sf):
     root = shared_dir(spark, "stream")
     _run(spark, sf, "bill_info", feed(spark, sf, "bills").drop("bill_key"), (), root, absent=True)
-    return spark.read.parquet(f"{root}/bill_info").drop(streams.BATCH)
+    return spark.read.parquet(f"{root}/bill_info").drop(streams.RUN, streams.BATCH)
 
 
 @query
 def stream_senate_clean(spark, sf):
     root = shared_dir(spark, "stream")
     _run(spark, sf, "senate_members", feed(spark, sf, "members").drop("member_id"), ("politicians",), root)
-    return spark.read.parquet(f"{root}/senate").drop(streams.BATCH)
+    return spark.read.parquet(f"{root}/senate").drop(streams.RUN, streams.BATCH)
 
 
 @query
@@ -760,7 +818,7 @@ def stream_csv_cosponsors(spark, sf):
     csv_feeds.land_feed(feed(spark, sf, "cosponsors"), "cosponsors", landed)
     streams.stream_feed(csv_feeds.read_feed_stream(spark, landed, "cosponsors"), "cosponsors",
                         lambda: dims(spark, sf), root, shared_dir(spark, "checkpoint")).awaitTermination()
-    return spark.read.parquet(f"{root}/bill_cosponsors").drop(streams.BATCH)
+    return spark.read.parquet(f"{root}/bill_cosponsors").drop(streams.RUN, streams.BATCH)
 
 
 @query
@@ -778,4 +836,4 @@ def stream_error_topics(spark, sf):
         messages.read_message_stream(spark, landed),
         {"cosponsors": columns, "bill_info": (*TABLES["bill_info"], "error_msg", "ptransform", "script")},
         root, shared_dir(spark, "checkpoint")).awaitTermination()
-    return spark.read.option("header", True).option("escape", '"').csv(f"{root}/cosponsors").drop(streams.BATCH)
+    return spark.read.option("header", True).option("escape", '"').csv(f"{root}/cosponsors").drop(streams.RUN, streams.BATCH)

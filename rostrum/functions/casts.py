@@ -48,9 +48,20 @@ def recode_vote(c: Column, votes: Mapping[str, int]) -> Column:
     return F.when(c.isin(yes), F.lit(1)).when(c.isin(no), F.lit(0)).cast("int")
 
 
+# What text of each layout looks like: other text never reaches the parser, where it costs an exception.
+_FORMS = {
+    SENATE_VOTE_DATE: r"^[A-Za-z]{3,9} \d{1,2}, \d{4}, \d{1,2}:\d{2} [AaPp][Mm]$",
+    HOUSE_VOTE_DATE: r"^\d{1,2}-[A-Za-z]{3}-\d{4}$",
+    SENATE_MENU_DATE: r"^[A-Za-z]{3} \d{1,2}, \d{4}$",
+    HOUSE_INDEX_DATE: r"^\d{1,2}-[A-Za-z]{3}, \d{4}$",
+    INTRODUCED_DATE: r"^\d{1,2}/\d{1,2}/\d{4}$",
+}
+
+
 def parse_date(c: Column, layout: str) -> Column:
     """NULL for text that does not fit; runs of whitespace count as one space."""
-    return F.try_to_date(F.nullif(F.regexp_replace(F.btrim(c), r"\s+", " "), F.lit("")), layout)
+    text = F.regexp_replace(F.btrim(c), r"\s+", " ")
+    return F.try_to_date(F.when(text.rlike(_FORMS[layout]), text), layout)
 
 
 def parse_day_in_year(c: Column, year: Column, layout: str) -> Column:

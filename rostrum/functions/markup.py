@@ -1,14 +1,19 @@
 """HTML pieces by pattern, for pages whose layout is known.
 
-All functions but :func:`unescape` return markup as it stands. Apply ``unescape`` in a projection of
-its own: it names its input several times.
+All functions but :func:`unescape` return markup as it stands.
 """
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# A value ends at its own kind of quote; one without quotes at white space or the tag's end.
+_VALUE = r"""("[^"]*"|'[^']*'|[^\s"'>]+)"""
+_REFERENCE = r"^(#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);"
+
 
 def blocks(c: Column, tag: str, with_attributes: str = "") -> Column:
     """Inner markup of every element of a tag that does not hold itself, in page order.
@@ -19,11 +24,6 @@ def blocks(c: Column, tag: str, with_attributes: str = "") -> Column:
     return F.regexp_extract_all(c, F.lit(rf"(?is){start}(.*?)</{tag}\s*>"), 1)
 
 
-def elements(c: Column, tag: str) -> Column:
-    """As :func:`blocks`, with the tags themselves."""
-    return F.regexp_extract_all(c, F.lit(rf"(?is)<{tag}\b[^>]*>.*?</{tag}\s*>"), 0)
-
-
 def first(array: Column) -> Column:
     return F.get(array, F.lit(0))
 
@@ -35,13 +35,23 @@ def block(c: Column, tag: str, with_attributes: str = "") -> Column:
 
 def attribute(start_tag: Column, name: str) -> Column:
     """Value of an attribute in markup that begins with its element."""
-    return F.nullif(
-        F.regexp_extract(start_tag, rf"(?is)^\s*<[^>]*?\s{name}\s*=\s*[\"']([^\"']*)[\"']", 1), F.lit(""))
+    found = F.regexp_extract(start_tag, rf"(?is)^\s*<[^>]*?\s{name}\s*=\s*{_VALUE}", 1)
+    return F.nullif(unquoted(found), F.lit(""))
+
+
+def unquoted(value: Column) -> Column:
+    """An attribute's value without the quotes around it."""
+    return F.regexp_replace(value, r"""(?s)^(["'])(.*)\1$""", "$2")
+
+
+def without_comments(c: Column) -> Column:
+    return F.when(F.contains(c, F.lit("<!--")), F.regexp_replace(c, r"(?s)<!--.*?(?:-->|\z)", "")).otherwise(c)
 
 
 def links(c: Column) -> Column:
-    """Targets of all links, in page order."""
-    return F.regexp_extract_all(c, F.lit(r"(?is)<a\b[^>]*?\shref\s*=\s*[\"']([^\"']*)[\"']"), 1)
+    """Targets of all links outside comments, in page order."""
+    found = F.regexp_extract_all(without_comments(c), F.lit(rf"(?is)<a\b[^>]*?\shref\s*=\s*{_VALUE}"), 1)
+    return F.transform(found, unquoted)
 
 
 def first_matching(values: Column, pattern: str) -> Column:
@@ -55,8 +65,10 @@ def text_nodes(c: Column) -> Column:
 
 
 def own_text(c: Column) -> Column:
-    """The text before the first child element; NULL when there is none."""
-    return F.nullif(F.substring_index(c, "<", 1), F.lit(""))
+    """The first text of the element itself, before, between or after its children; NULL when there is none."""
+    before = F.substring_index(c, "<", 1)
+    bare = F.regexp_replace(c, r"(?s)<([A-Za-z][\w-]*)\b[^>]*(?<!/)>.*?</\1\s*>|<[^>]*>", "<")
+    return F.nullif(F.when(before != "", before).otherwise(F.regexp_extract(bare, r"^<*([^<]*)", 1)), F.lit(""))
 
 
 def all_text(c: Column) -> Column:
@@ -67,15 +79,26 @@ def unescape_columns(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({name: unescape(F.col(name)) for name in columns})
 
 
+def _character(code: Column) -> Column:
+    """The character of a code point; U+FFFD where there is none."""
+    fits = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+    return F.decode(F.unhex(F.lpad(F.hex(F.when(fits, code).otherwise(0xFFFD)), 8, "0")), "utf-32")
+
+
 def unescape(c: Column) -> Column:
-    """Character references of the predefined entities, &nbsp; and the Latin-1 range."""
-    numbers = F.array_distinct(F.regexp_extract_all(c, F.lit(r"&#(\d{2,3});"), 1))
-    latin1 = F.aggregate(
-        F.filter(numbers, lambda n: n.cast("int") < 256), c,
-        lambda text, n: F.replace(text, F.concat(F.lit("&#"), n, F.lit(";")), F.char(n.cast("int"))))
-    out = F.when(F.contains(c, F.lit("&#")), latin1).otherwise(c)
-    # Entity -> character; &amp; last, so that nothing is decoded twice.
-    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"),
-                         ("&nbsp;", "\xa0"), ("&amp;", "&")):
-        out = F.replace(out, F.lit(entity), F.lit(char))
-    return F.when(F.contains(c, F.lit("&")), out).otherwise(c)
+    """Character references by name, decimal or hexadecimal number, each decoded once; others stay."""
+    named = F.create_map(*[F.lit(x) for name, code in {**name2codepoint, "apos": 39}.items() for x in (name, code)])
+
+    def decoded(entry: Column) -> Column:
+        name, part = entry["name"], entry["part"]
+        digits = F.when(name.rlike("^#[0-9]{1,9}$"), F.substring(name, F.lit(2), F.length(name)).try_cast("bigint")) \
+            .when(name.rlike("^#[xX][0-9a-fA-F]{1,7}$"), F.conv(F.substring(name, F.lit(3), F.length(name)), 16, 10).try_cast("bigint")) \
+            .when(name.startswith("#"), F.lit(-1).cast("bigint")).otherwise(F.try_element_at(named, name).cast("bigint"))
+        rest = F.substring(part, F.length(name) + 2, F.length(part))
+        known = F.transform(F.array(F.when(name != "", digits)), lambda code: F.when(
+            code.isNotNull(), F.concat(_character(code), rest)).otherwise(F.concat(F.lit("&"), part)))
+        return F.get(known, F.lit(0))
+
+    parts = F.transform(F.split(c, "&"), lambda p: F.struct(p.alias("part"), F.regexp_extract(p, _REFERENCE, 1).alias("name")))
+    parts = F.transform(parts, lambda entry, i: F.when(i == 0, entry["part"]).otherwise(decoded(entry)))
+    return F.when(F.contains(c, F.lit("&")), F.array_join(parts, "")).otherwise(c)

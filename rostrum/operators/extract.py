@@ -50,8 +50,10 @@ def _flag_broken(df: DataFrame, step: str) -> DataFrame:
     return errors.flag(df, broken, "document is not well-formed", step)
 
 
-def _entries(df: DataFrame, array: Column, name: str) -> DataFrame:
-    """One row per entry; documents without entries stay only when they have errors."""
+def _entries(df: DataFrame, array: Column, name: str, what: str, step: str) -> DataFrame:
+    """One row per entry; a document without entries gives one row with an error."""
+    none = F.coalesce(F.size(array), F.lit(0)) < 1
+    df = errors.flag(df, none & ~errors.has_errors(), f"document has no {what}", step)
     listed = df.withColumn(name, F.explode_outer(array))
     return listed.filter(F.col(name).isNotNull() | errors.has_errors())
 
@@ -66,7 +68,7 @@ def _linked(link: str, name: str | None = None) -> Column:
 
 def senate_roster(docs: DataFrame) -> DataFrame:
     df = _flag_broken(docs.select(*_KEYS, "body", _xml(_ROSTER_XML)), "senate_roster")
-    df = _entries(df, F.col("x.member"), "m")
+    df = _entries(df, F.col("x.member"), "m", "members", "senate_roster")
     return df.select(*_KEYS, "m.first_name", "m.last_name", "m.party", "m.state", errors.ERRORS)
 
 
@@ -84,7 +86,7 @@ def senate_votes(docs: DataFrame) -> DataFrame:
     )
     df = errors.flag(df, F.col("bill_id").isNull(), "no bill number", step)
     df = errors.flag(df, F.col("vote_date").isNull(), "no vote date", step)
-    df = _entries(df, F.col("members"), "m")
+    df = _entries(df, F.col("members"), "m", "votes", step)
     return df.select(
         *_KEYS, "bill_id", "amdt_id", "m.first_name", "m.last_name", "m.party", "m.state",
         casts.recode_vote(F.col("m.vote_cast"), casts.SENATE_VOTES).alias("vote_cast"),
@@ -118,7 +120,7 @@ def house_vote_documents(docs: DataFrame) -> DataFrame:
 def house_vote_rows(documents: DataFrame) -> DataFrame:
     """The votes of roll calls; first names are not in the source and are looked up later."""
     amdt = F.col("amdt_id") if "amdt_id" in documents.columns else F.lit(None).cast("string")
-    df = _entries(documents, F.col("votes"), "v")
+    df = _entries(errors.with_errors(documents), F.col("votes"), "v", "votes", "house_votes")
     return df.select(
         *_KEYS, "bill_id", amdt.alias("amdt_id"), F.lit(None).cast("string").alias("first_name"),
         F.col("v.legislator._unaccented-name").alias("last_name"),
@@ -138,7 +140,10 @@ def house_roster(docs: DataFrame, run_date: date | str | None = None) -> DataFra
                         F.array().cast("array<string>"))
     df = docs.select(*_KEYS, tables.alias("tables"))
     df = errors.flag(df, F.size("tables") == 0, "page has no table", step)
-    df = _entries(df, F.col("tables"), "table")
+    caption_ids = F.transform("tables", lambda t: F.regexp_extract(t, r"(?is)<caption\b[^>]*?\sid\s*=\s*[\"']?([^\"'>\s]*)", 1))
+    other = F.forall(caption_ids, lambda c: (c != "") & ~is_state_table(c))
+    df = errors.flag(df, (F.size("tables") > 0) & other, "page has no state table", step)
+    df = _entries(df, F.col("tables"), "table", "tables", step)
     caption = markup.first(F.regexp_extract_all("table", F.lit(r"(?is)<caption\b.*?</caption>"), 0))
     df = df.select(*_KEYS, errors.ERRORS, "table", caption.alias("caption"))
     df = df.withColumn("caption_id", markup.attribute(F.col("caption"), "id"))
@@ -150,7 +155,7 @@ def house_roster(docs: DataFrame, run_date: date | str | None = None) -> DataFra
         markup.own_text(markup.block(F.col("caption"), "caption")).alias("state"),
         markup.blocks(F.coalesce(markup.block(F.col("table"), "tbody"), F.col("table")), "tr").alias("rows"),
     )
-    df = _entries(df, F.col("rows"), "row")
+    df = _entries(df, F.col("rows"), "row", "rows in its state table", step)
     df = df.select(*_KEYS, errors.ERRORS, "state", markup.blocks(F.col("row"), "td").alias("cells"))
     df = df.select(
         *_KEYS, errors.ERRORS, "state",
@@ -176,7 +181,7 @@ def house_roll_index(docs: DataFrame, year: Column | int, run_date: date | str,
     rows = without_header(markup.blocks(F.col("body"), "tr"))
     df = docs.select(*_KEYS, year.alias("year"), rows.alias("rows"))
     df = errors.flag(df, F.col("rows").isNull() | (F.size("rows") == 0), "page has no rows", step)
-    df = _entries(df, F.col("rows"), "row")
+    df = _entries(df, F.col("rows"), "row", "rows", step)
     df = df.select(*_KEYS, errors.ERRORS, "year", markup.links(F.col("row")).alias("links"),
                    markup.text_nodes(F.col("row")).alias("texts"))
     day = markup.first_matching(F.transform("texts", strip), r"^\d{1,2}-[A-Za-z]{3}$")
@@ -199,9 +204,9 @@ def house_roll_index(docs: DataFrame, year: Column | int, run_date: date | str,
 def roll_index_links(docs: DataFrame) -> DataFrame:
     """Links of the entry page to the pages that list roll calls."""
     rolls = F.filter(markup.links(F.col("body")), lambda v: F.contains(v, F.lit("ROLL")))
-    df = docs.select(*_KEYS, F.explode(rolls).alias("link"))
-    return markup.unescape_columns(df, "link") \
-        .select(*_KEYS, resolve_url(F.col("url"), F.col("link")).alias("link"))
+    df = _entries(errors.with_errors(docs.select(*_KEYS, rolls.alias("rolls"))), F.col("rolls"), "link",
+                  "links to roll calls", "roll_index_links")
+    return markup.unescape_columns(df, "link").select(*_KEYS, _linked("link"), errors.ERRORS)
 
 
 def senate_vote_menu(docs: DataFrame, year: Column | int, run_date: date | str,
@@ -211,7 +216,7 @@ def senate_vote_menu(docs: DataFrame, year: Column | int, run_date: date | str,
     year = F.lit(year) if isinstance(year, int) else year
     df = docs.select(*_KEYS, year.alias("year"), markup.blocks(F.col("body"), "tr").alias("rows"))
     df = errors.flag(df, F.col("rows").isNull() | (F.size("rows") == 0), "page has no rows", step)
-    df = _entries(df, F.col("rows"), "row")
+    df = _entries(df, F.col("rows"), "row", "rows", step)
     df = df.select(*_KEYS, errors.ERRORS, "year", markup.links(F.col("row")).alias("links"),
                    markup.blocks(F.col("row"), "td").alias("cells"))
     # a row without cells is a header
@@ -235,19 +240,22 @@ def xml_edition(docs: DataFrame) -> DataFrame:
     """The link of a roll-call page to its XML edition."""
     holder = markup.block(F.col("body"), "span", r"style=[\"']float: right[\"']")
     df = markup.unescape_columns(docs.select(*_KEYS, markup.first(markup.links(holder)).alias("xml_url")), "xml_url")
-    return df.select(*_KEYS, _linked("xml_url"))
+    df = errors.flag(df, F.col("xml_url").isNull(), "page has no link to its edition", "xml_edition")
+    return df.select(*_KEYS, _linked("xml_url"), errors.ERRORS)
 
 
 def bill_search(docs: DataFrame) -> DataFrame:
     """Bills of a search page: address and day of introduction."""
     df = errors.with_errors(docs.select(*_KEYS, "body"))
     items = markup.blocks(F.col("body"), "li", r"class=[\"']expanded[\"']")
-    df = df.select(*_KEYS, F.explode(items).alias("item"))
+    step = "bill_search"
+    df = _entries(df.select(*_KEYS, errors.ERRORS, items.alias("items")), F.col("items"), "item", "bills", step)
     texts = F.flatten(F.transform(
         markup.blocks(F.col("item"), "span", r"class=[\"']result-item[\"']"), markup.text_nodes))
     introduced = markup.first_matching(texts, "(Introduced|Submitted)")
     link = markup.first_matching(markup.links(F.col("item")), r"/bill/.*/.*/[0-9]*\?")
-    df = df.select(*_KEYS, strip_query(link).alias("bill_url"), introduced.alias("introduced"))
+    df = df.select(*_KEYS, errors.ERRORS, strip_query(link).alias("bill_url"), introduced.alias("introduced"))
+    df = errors.flag(df, ~errors.has_errors() & F.col("bill_url").isNull(), "bill has no link", step)
     return markup.unescape_columns(df, "bill_url") \
         .withColumn("introduced", casts.introduced_date(F.col("introduced")))
 
@@ -277,8 +285,8 @@ def bill_details(docs: DataFrame) -> DataFrame:
         markup.first_matching(people, r"^.*\[.*\]$").alias("sponsor"),
         markup.own_text(markup.block(F.regexp_extract(
             "body", r"(?is)<div\b[^>]*?id=[\"']bill-summary[\"'][^>]*>(.*)$", 1), "p")).alias("bill_summary"),
-        markup.first(F.regexp_extract_all("body", F.lit(
-            r"(?is)<a\b[^>]*?\shref\s*=\s*[\"']([^\"']*)[\"'][^>]*>[^<]*Cosponsors"), 1)).alias("cosponsors"),
+        markup.attribute(markup.first(F.regexp_extract_all("body", F.lit(
+            r"(?is)<a\b[^>]*>[^<]*Cosponsors"), 0)), "href").alias("cosponsors"),
     )
     df = markup.unescape_columns(df, "heading", "subtitle", "sponsor", "bill_summary", "cosponsors")
     bill, sponsor = parse_bill(F.col("heading")), parse_politician(F.col("sponsor"))
@@ -305,7 +313,7 @@ def cosponsors(docs: DataFrame) -> DataFrame:
     df = markup.unescape_columns(df, "heading")
     df = errors.flag(df.withColumns({"bill_id": bill["bill_id"], "amdt_id": bill["amdt_id"]}),
                      F.col("bill_id").isNull(), "no bill number", step)
-    df = markup.unescape_columns(_entries(df, F.col("people"), "person"), "person")
+    df = markup.unescape_columns(_entries(df, F.col("people"), "person", "cosponsors", step), "person")
     person = parse_politician(F.col("person"))
     df = df.select(
         *_KEYS, errors.ERRORS, "bill_id", "amdt_id", "person",
@@ -324,10 +332,13 @@ def amendment_listing(docs: DataFrame, page_size: int = 100) -> DataFrame:
     """
     items = markup.blocks(F.col("body"), "li", r"class=[\"']expanded[\"']")
     page = F.coalesce(casts.to_int(F.regexp_extract("url", r"[?&]page=(\d+)", 1)), F.lit(1))
-    listing = docs.select(F.regexp_replace("url", r"[?&]page=\d+", "").alias("bill_url"),
-                          page.alias("page"), F.posexplode(items).alias("pos", "item"))
-    heading = markup.block(F.col("item"), "span", r"class=[\"']result-heading amendment-heading[\"']")
+    heads = F.transform(items, lambda i: markup.block(i, "span", r"class=[\"']result-heading amendment-heading[\"']"))
+    # entries of another kind have no heading and no number
+    heads = F.coalesce(F.filter(heads, lambda h: h.isNotNull()), F.array().cast("array<string>"))
+    listing = docs.select(F.regexp_replace("url", r"[?&]page=\d+", "").alias("bill_url"), page.alias("page"), heads.alias("heads"))
+    listing = errors.flag(listing, F.size("heads") == 0, "document has no amendments", "amendment_listing")
+    listing = listing.select("bill_url", "page", errors.ERRORS, F.posexplode_outer("heads").alias("pos", "heading"))
     listing = listing.select(
         "bill_url", ((F.col("page") - 1) * page_size + F.col("pos") + 1).alias("ordinal"),
-        markup.own_text(markup.block(heading, "a")).alias("amdt_id"))
+        markup.own_text(markup.block(F.col("heading"), "a")).alias("amdt_id"), errors.ERRORS)
     return markup.unescape_columns(listing, "amdt_id").withColumn("amdt_id", clean_bill(F.col("amdt_id")))

@@ -5,9 +5,9 @@ the number of its matches, and the step decides on that number. Two physical way
 rows:
 
 * the dimension is measured, and broadcast when it is small enough: the feed is not shuffled;
-* otherwise both sides are shuffled, with keys that hold more than an even share of the feed spread
-  over several tasks. Only the dimension rows of such keys are repeated. There are fewer such keys
-  than shuffle partitions, and all their repeats together are a small multiple of the partitions.
+* otherwise both sides are shuffled, each read once. Rows with a NULL key are spread by a salt, and
+  adaptive execution splits the partitions of other crowded keys on the feed's side, which a left or
+  anti join to one row per key allows.
 """
 
 from __future__ import annotations
@@ -24,9 +24,7 @@ from rostrum.operators import errors
 BROADCAST_LIMIT = 64 << 20
 MATCHES = "lookup__matches"
 FOUND = "lookup__found"
-_HASH, _SPREAD, _SALT = "lookup__hash", "lookup__spread", "lookup__salt"
-# pieces per even share of a crowded key: several, so that two of them in one task do no harm
-_PIECES = 4
+_SALT = "lookup__salt"
 
 
 def measured_bytes(df: DataFrame) -> int:
@@ -42,35 +40,17 @@ def fits_broadcast(df: DataFrame, limit: int) -> bool:
     return limit > 0 and measured_bytes(df) <= limit
 
 
-def crowded_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Key hashes that hold more than an even share of the rows, each with the number of tasks to
-    spread it over. Fewer rows than shuffle partitions, whatever the size of ``df``."""
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    counts = df.groupBy(F.xxhash64(*keys).alias(_HASH)).agg(F.count(F.lit(1)).alias("n"))
-    total = counts.agg(F.sum("n").alias("total")).scalar()
-    share = F.col("n") * F.lit(parts) / total
-    return counts.filter(share > 1).select(_HASH, F.ceil(share * _PIECES).cast("int").alias(_SPREAD))
+def _spread_nulls(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Rows with a NULL key match nothing; they are dealt over all tasks instead of one.
 
-
-def _salted(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    crowded = F.broadcast(crowded_keys(left.select(*keys), keys))
-    # The salt depends on the task and the row's values, never on the order of arrival, so a task
-    # that is run again sends every row where it went before. Copies of one row differ by task.
+    The salt depends on the task and the row's values, never on the order of arrival, so a task that
+    is run again sends every row where it went before.
+    """
+    parts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     hashed = [f.name for f in left.schema.fields if f.dataType.typeName() not in ("map", "variant")]
-    spread = F.xxhash64(F.spark_partition_id(), *hashed)
-    left = (
-        left.withColumns({_HASH: F.xxhash64(*keys), _SALT: spread})
-        .join(crowded, _HASH, "left")
-        .withColumn(_SALT, F.pmod(F.col(_SALT), F.coalesce(_SPREAD, F.lit(1))).cast("int"))
-        .drop(_HASH, _SPREAD)
-    )
-    right = (
-        right.withColumn(_HASH, F.xxhash64(*keys))
-        .join(crowded, _HASH, "left")
-        .withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.coalesce(_SPREAD, F.lit(1)) - 1)))
-        .drop(_HASH, _SPREAD)
-    )
-    return left, right
+    missing = F.greatest(*[F.col(k).isNull() for k in keys]) if len(keys) > 1 else F.col(keys[0]).isNull()
+    salt = F.pmod(F.xxhash64(F.spark_partition_id(), *hashed), F.lit(parts)).cast("int") + 1
+    return left.withColumn(_SALT, F.when(missing, salt).otherwise(0)), right.withColumn(_SALT, F.lit(0))
 
 
 def keyed_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str,
@@ -80,7 +60,7 @@ def keyed_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str,
     if small:
         return left.join(F.broadcast(right), keys, how)
     order = left.columns
-    salted_left, salted_right = _salted(left, right, keys)
+    salted_left, salted_right = _spread_nulls(left, right, keys)
     joined = salted_left.join(salted_right, [*keys, _SALT], how)
     extra = [c for c in right.columns if c not in order]
     return joined.select(*order, *(extra if how == "left" else []))
@@ -190,7 +170,9 @@ def house_before(house: DataFrame, run_date: date | str) -> DataFrame:
 
 
 def attach(df: DataFrame, other: DataFrame, on: Mapping[str, Column | str], value: str, name: str,
-           broadcast_limit: int = BROADCAST_LIMIT) -> DataFrame:
-    """Carry one column over from a table that names it once per key; NULL where it does not."""
-    df = count_matches(df, other, on, value, broadcast_limit)
-    return _done(df.withColumn(name, F.col(FOUND)))
+           step: str, broadcast_limit: int = BROADCAST_LIMIT) -> DataFrame:
+    """Carry one column over from a table; NULL where it has no row for the key, or rows with
+    different values, which also flags the row. Equal rows count once."""
+    df = count_matches(df, other.select(*on, value).distinct(), on, value, broadcast_limit)
+    df = errors.flag(df, F.col(MATCHES) > 1, f"several values of {value} for one key", step)
+    return _done(df.withColumn(name, F.when(_sole(), F.col(FOUND))))

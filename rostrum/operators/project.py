@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rostrum.functions.casts import none_to_null, to_int
+from rostrum.functions.casts import date_column, none_to_null, to_int
 from rostrum.operators import errors
 from rostrum.schemas import TYPES
 
@@ -122,6 +122,18 @@ def fix_types(df: DataFrame, int_columns: Sequence[str]) -> DataFrame:
     return df
 
 
+def fix_dates(df: DataFrame, date_columns: Sequence[str]) -> DataFrame:
+    """Date columns; a text that is no date flags the row and is kept aside like a bad integer. Missing
+    dates are NULL."""
+    for name in date_columns:
+        text, day = F.col(name).cast("string"), date_column(df, name)
+        df = errors.with_errors(df).withColumns({RAW + name: text, name: day})
+        raw = F.col(RAW + name)
+        df = errors.flag(df, F.col(name).isNull() & ~(raw.isNull() | raw.isin("", "None")),
+                         F.concat(F.lit("invalid date: '"), raw, F.lit("'")), errors.TYPES)
+    return df
+
+
 def restore_raw(df: DataFrame) -> DataFrame:
     kept = [name for name in df.columns if name.startswith(RAW)]
     return df.withColumns({name[len(RAW):]: F.col(name) for name in kept}).drop(*kept)

@@ -30,15 +30,15 @@ def land(extracted: DataFrame, feed: str, path: str, error_path: str) -> None:
 def carry_bill_url(votes: DataFrame, index: DataFrame,
                    broadcast_limit: int = BROADCAST_LIMIT) -> DataFrame:
     """Roll calls inherit the bill address from the index row that links to them."""
-    return lookup.attach(votes, index, {"vote_url": "url"}, "bill_url", "bill_url", broadcast_limit)
+    return lookup.attach(votes, index, {"vote_url": "url"}, "bill_url", "bill_url", "carry_bill_url", broadcast_limit)
 
 
 def resolve_amendments(votes: DataFrame, listing: DataFrame,
                        broadcast_limit: int = BROADCAST_LIMIT) -> DataFrame:
     """The n-th amendment listed for the bill, for roll calls that give a number."""
     votes = lookup.attach(votes, listing, {"bill_url": "bill_url", "ordinal": "amdt_num"},
-                          "amdt_id", "amdt_id", broadcast_limit)
-    unknown = F.col("amdt_num").isNotNull() & F.col("amdt_id").isNull()
+                          "amdt_id", "amdt_id", "resolve_amendments", broadcast_limit)
+    unknown = F.col("amdt_num").isNotNull() & F.col("amdt_id").isNull() & ~errors.has_errors()
     return errors.flag(votes, unknown, "amendment is not listed", "resolve_amendments")
 
 
@@ -50,7 +50,8 @@ def house_votes(documents: DataFrame, index: DataFrame, listings: DataFrame,
     What is extracted from the other pages is stored first, since it is read more than once.
     """
     index = stored(index.select("vote_url", "bill_url"), "roll-index")
-    listing = stored(extract.amendment_listing(listings, page_size), "amendments")
+    listing = extract.amendment_listing(listings, page_size)
+    listing = stored(errors.clean_rows(listing), "amendments")
     calls = carry_bill_url(extract.house_vote_documents(documents), index, broadcast_limit)
     calls = resolve_amendments(calls, listing, broadcast_limit)
     return extract.house_vote_rows(calls)

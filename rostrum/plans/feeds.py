@@ -57,8 +57,7 @@ def resolve_votes(df: DataFrame, dims: Dimensions) -> DataFrame:
     df = scrub.scrub_first_name(df)
     df = lookup.fix_nickname(df, dims.nicknames, broadcast_limit=dims.broadcast_limit)
     df = scrub.scrub_last_name(df, keep_suffix=False)
-    df = project.fix_none(df)
-    return df.withColumn("vote_date", date_column(df, "vote_date"))
+    return project.fix_none(project.fix_dates(df, ["vote_date"]))
 
 
 def resolve_bills(df: DataFrame, dims: Dimensions) -> DataFrame:
@@ -85,6 +84,8 @@ def _resolve_members(df: DataFrame, dims: Dimensions, states: bool, keep_last_su
     df = scrub.scrub_last_name(df, keep_last_suffix, strip_quotes)
     if states:
         df = lookup.map_state(df, dims.states, dims.broadcast_limit)
+    if "date" in df.columns:
+        df = project.fix_dates(df, ["date"])
     return project.fix_none(df)
 
 
@@ -121,9 +122,10 @@ def new_rows(clean: DataFrame, dims: Dimensions) -> DataFrame:
 
 
 def house_rows(clean: DataFrame, run_date: date | str | None = None) -> DataFrame:
-    """The fork to the house table. A feed that brings its date keeps it."""
+    """The fork to the house table. A row that brings its date keeps it."""
     if "date" in clean.columns:
-        dated = clean.withColumn("date", date_column(clean, "date"))
+        own = project.add_date(clean.withColumn("own_date", date_column(clean, "date")), run_date)
+        dated = own.withColumn("date", F.coalesce("own_date", F.col("date").cast("date"))).drop("own_date")
     else:
         dated = project.add_date(clean, run_date)
     return project.filter_keys(dated, TABLES["house"])

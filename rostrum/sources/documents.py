@@ -14,6 +14,6 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
 
 def read_document_files(spark: SparkSession, path: str) -> DataFrame:
     """One document per file; the file name stands in for the address."""
-    files = spark.read.option("wholetext", True).text(path)
+    files = spark.read.text(path, wholetext=True)
     url = F.input_file_name()
     return files.select(F.xxhash64(url).alias("doc_id"), url.alias("url"), F.col("value").alias("body"))

@@ -22,6 +22,10 @@ _OPTIONS = {
 }
 
 
+#: How feeds and error files are written: spaces at the ends of values belong to them.
+CSV_WRITE = {"header": "true", "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+
 def _split(df: DataFrame, feed: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """Lines with the wrong number of fields are flagged; empty fields are empty text, not NULL."""
     broken = F.col(CORRUPT).isNotNull()
@@ -38,13 +42,30 @@ def house_feed_name(spark: SparkSession, path: str) -> str:
     return "house_members_dated" if "date" in columns else "house_members"
 
 
-def read_feed(spark: SparkSession, path: str, feed: str, multi_line: bool = False) -> DataFrame:
+def read_feed(spark: SparkSession, path: str, feed: str, multi_line: bool = True) -> DataFrame:
+    """Values may hold line breaks, for which a file is read by one task; landed feeds have many files.
+    Without ``multi_line`` a file is split, and its values must lie on one line."""
     reader = spark.read.schema(csv_schema(feed)).options(**_OPTIONS).option("multiLine", multi_line)
     return _split(reader.csv(path), feed)
 
 
-def read_feed_stream(spark: SparkSession, path: str, feed: str) -> DataFrame:
-    reader = spark.readStream.schema(csv_schema(feed)).options(**_OPTIONS)
+def read_members(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """House members of both layouts, file by file; ``date`` is NULL where the file has none."""
+    short, wide = "house_members", "house_members_dated"
+    reader = spark.read.schema(csv_schema(wide)).options(**_OPTIONS).option("multiLine", multi_line)
+    df = reader.csv(path)
+    schema = csv_schema(short)
+    options = {k: v for k, v in _OPTIONS.items() if k not in ("header", "columnPruning")}
+    line = F.from_csv(F.col(CORRUPT), F.lit(schema.simpleString()[len("struct<"):-1].replace(":", " ")), options)
+    df = df.withColumn("short", F.when(F.col(CORRUPT).isNotNull(), line))
+    fits = F.col("short").isNotNull() & F.col(f"short.{CORRUPT}").isNull()
+    df = df.withColumns({c: F.when(fits, F.col(f"short.{c}")).otherwise(F.col(c)) for c in FEEDS[short]})
+    df = df.withColumns({"date": F.when(~fits, F.col("date")), CORRUPT: F.when(~fits, F.col(CORRUPT))}).drop("short")
+    return _split(df, wide)
+
+
+def read_feed_stream(spark: SparkSession, path: str, feed: str, multi_line: bool = True) -> DataFrame:
+    reader = spark.readStream.schema(csv_schema(feed)).options(**_OPTIONS).option("multiLine", multi_line)
     return _split(reader.csv(path), feed)
 
 
@@ -94,7 +115,7 @@ def land_feed(df: DataFrame, feed: str, path: str, order_by: Sequence[str] = ())
         landed = numbered(columns, order_by)
     else:
         landed = columns.select(F.lit(None).cast("string").alias(INDEX), *FEEDS[feed])
-    landed.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    landed.write.mode("overwrite").options(**CSV_WRITE).csv(path)
 
 
 def belongs_to(keys: Column, columns: tuple[str, ...]) -> Column:

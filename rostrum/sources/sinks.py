@@ -11,6 +11,7 @@ from rostrum.operators import errors
 from rostrum.operators.project import filter_keys, make_strings, restore_raw
 from rostrum.schemas import ERROR_COLUMNS
 from rostrum.session import shared_dir
+from rostrum.sources.feeds import CSV_WRITE
 
 
 def error_record(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -25,7 +26,7 @@ def error_record(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def write_error_csv(df: DataFrame, columns: Sequence[str], path: str, mode: str = "append") -> None:
     """As many files as there are partitions, each with a header."""
-    error_record(df, columns).write.mode(mode).option("header", True).option("escape", '"').csv(path)
+    error_record(df, columns).write.mode(mode).options(**CSV_WRITE).csv(path)
 
 
 def stage(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
@@ -55,11 +56,11 @@ def staged_branches(staged: DataFrame, script: str) -> errors.Branches:
 
 
 def write_topic_files(batch: DataFrame, topics: Mapping[str, Sequence[str]], root: str,
-                      batch_id: int | None = None, staging: str | None = None) -> None:
+                      batch_id: int | None = None, staging: str | None = None, run_id: str = "") -> None:
     """Error records of several feeds, each topic to files of its own with that feed's columns.
 
     Records carry an ``attributes`` map with the topic under ``topic_name``. Records of topics that
-    are not declared go to ``other`` as text. A batch has its own folder, which a retry replaces.
+    are not declared go to ``other`` as text. A batch of a run has its own folder, which a retry replaces.
     The batch is staged once, by topic, so no topic reads the records of another.
     """
     path = staging or shared_dir(batch.sparkSession, "topics")
@@ -69,11 +70,11 @@ def write_topic_files(batch: DataFrame, topics: Mapping[str, Sequence[str]], roo
         .write.mode("overwrite").partitionBy("topic").parquet(path)
     staged = batch.sparkSession.read.schema(
         "attributes map<string,string>, topic string").parquet(path)
-    suffix = "" if batch_id is None else f"/batch_id={batch_id}"
+    suffix = "" if batch_id is None else f"/run_id={run_id}/batch_id={batch_id}"
     mode = "append" if batch_id is None else "overwrite"
 
     def write(rows: DataFrame, to: str) -> None:
-        rows.write.mode(mode).option("header", True).option("escape", '"').csv(f"{root}/{to}{suffix}")
+        rows.write.mode(mode).options(**CSV_WRITE).csv(f"{root}/{to}{suffix}")
 
     for kind, columns in topics.items():
         write(staged.filter(F.col("topic") == kind)

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rostrum.operators.lookup import BROADCAST_LIMIT, first_nickname
-from rostrum.schemas import TABLES
 
 
 def dimension(df: DataFrame) -> DataFrame:
@@ -48,7 +47,3 @@ def revise_names(politicians: DataFrame, nicknames: DataFrame,
 def rewrite_table(df: DataFrame, path: str) -> None:
     """Write a revised table as a new version; a version that is being read is never replaced."""
     df.write.mode("errorifexists").parquet(path)
-
-
-def table_columns(table: str) -> tuple[str, ...]:
-    return TABLES[table]

@@ -1,24 +1,41 @@
 """Streaming runs of the feeds and of the error handler.
 
 Every micro-batch goes through the batch plans. Dimensions are read per batch, so politicians added
-by one batch are known to the next. Results go to one folder per batch, which a retry of that batch
-replaces: no row is written twice.
+by one batch are known to the next. Results go to one folder per run and batch; a retry of a batch
+replaces its own folder, so no row is written twice, and no run replaces another's. A run is known by
+the id that its checkpoint keeps.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Mapping, Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming.query import StreamingQuery
 
 from rostrum.plans.feeds import TARGETS, Dimensions, outputs
 from rostrum.session import shared_dir
+from rostrum.sources.feeds import CSV_WRITE
 from rostrum.sources.messages import isolate_attributes
 from rostrum.sources.sinks import error_record, write_topic_files
 
-BATCH = "batch_id"
+RUN, BATCH = "run_id", "batch_id"
+
+
+def run_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark wrote to the checkpoint when the run first started."""
+    return json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0])["id"]
+
+
+def write_batch(rows: Mapping[str, DataFrame], failed: DataFrame, columns: Sequence[str], root: str, run: str,
+                batch_id: int) -> None:
+    """Everything one batch of a run writes; writing it again changes nothing."""
+    for table, branch in rows.items():
+        branch.write.mode("overwrite").parquet(f"{root}/{table}/{RUN}={run}/{BATCH}={batch_id}")
+    error_record(failed, columns).write.mode("overwrite").options(**CSV_WRITE) \
+        .csv(f"{root}/errors/{RUN}={run}/{BATCH}={batch_id}")
 
 
 def message_records(messages: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -36,10 +53,7 @@ def stream_feed(stream: DataFrame, feed: str, dims: Callable[[], Dimensions], ro
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows, failed = outputs(feed, batch, dims(), run_date, add_politicians, f"{staging}/{batch_id % 2}")
-        for table, branch in rows.items():
-            branch.write.mode("overwrite").parquet(f"{root}/{table}/{BATCH}={batch_id}")
-        error_record(failed, TARGETS[feed][1]).write.mode("overwrite") \
-            .option("header", True).option("escape", '"').csv(f"{root}/errors/{BATCH}={batch_id}")
+        write_batch(rows, failed, TARGETS[feed][1], root, run_id(batch.sparkSession, checkpoint), batch_id)
 
     return (
         stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
@@ -53,7 +67,8 @@ def stream_errors(messages: DataFrame, topics: Mapping[str, Sequence[str]], root
     staging = shared_dir(messages.sparkSession, "staged-topics")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_topic_files(batch, topics, root, batch_id, f"{staging}/{batch_id % 2}")
+        write_topic_files(batch, topics, root, batch_id, f"{staging}/{batch_id % 2}",
+                          run_id(batch.sparkSession, checkpoint))
 
     return (
         messages.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)

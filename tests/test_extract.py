@@ -64,6 +64,35 @@ def test_pages_without_tables(spark):
     assert extract.cosponsors(df).filter("size(errors) > 0").count() == 2
 
 
+def test_documents_without_entries(spark):
+    """Each gives a row with an error: none is lost."""
+    head = '<h1 class="legDetail">H.R.5 - T</h1>'
+    cases = [
+        (extract.senate_roster, "<contact_information></contact_information>"),
+        (extract.senate_roster, "<html><body>moved</body></html>"),
+        (extract.senate_votes, "<roll_call_vote><vote_date>October 3, 2018, 02:30 PM</vote_date><document><document_name>"
+                               "s. 1</document_name></document><members/></roll_call_vote>"),
+        (lambda d: extract.house_vote_rows(extract.house_vote_documents(d)),
+         "<rollcall-vote><vote-metadata><legis-num>H R 1</legis-num><action-date>5-Dec-2018</action-date></vote-metadata>"
+         "<vote-data/></rollcall-vote>"),
+        (lambda d: extract.house_roster(d, "2018-10-24"),
+         '<table class="table"><caption id="by-name">A</caption><tbody><tr><td>x</td></tr></tbody></table>'),
+        (lambda d: extract.house_roster(d, "2018-10-24"), '<table class="table"><caption id="state-oh">Ohio</caption><tbody></tbody></table>'),
+        (extract.cosponsors, head), (extract.roll_index_links, "<p>x</p>"), (extract.xml_edition, "<p>x</p>"),
+        (extract.bill_search, "<ol></ol>"), (extract.bill_search, '<ol><li class="expanded">no link</li></ol>'),
+        (extract.amendment_listing, "<ol></ol>"),
+    ]
+    for operator, body in cases:
+        found = operator(docs(spark, body))
+        assert rows(found, F.size("errors") > 0) == [(True,)], body
+
+
+def test_foreign_entries_keep_ordinals(spark):
+    head = "<li class='expanded'><span class='result-heading amendment-heading'><a href='x'>A. {}</a></span></li>"
+    page = head.format(1) + "<li class='expanded'><span>advert</span></li>" + head.format(2)
+    assert rows(extract.amendment_listing(docs(spark, page)), "ordinal", "amdt_id") == [(1, "A1"), (2, "A2")]
+
+
 def test_recency(spark):
     row = '<tr><td><a href="v?vote=1">1</a></td><td>{}</td></tr>'
     page = "<table>" + "".join(row.format(d) for d in ("Oct 22", "Oct 23", "Oct 24")) + "</table>"

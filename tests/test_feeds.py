@@ -139,6 +139,8 @@ def test_house_layouts(spark):
     assert csv_feeds.house_feed_name(spark, plain) == "house_members"
     assert csv_feeds.house_feed_name(spark, dated) == "house_members_dated"
     assert csv_feeds.read_feed(spark, dated, "house_members_dated").first().date == "2018-10-20"
+    both = csv_feeds.read_members(spark, plain)
+    assert rows(both, "first_name", "date", F.size("errors")) == [("A", "", 0)]
 
 
 def test_landing_round_trip(spark):

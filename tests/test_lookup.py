@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from rostrum.operators import errors, lookup
+from rostrum.session import shared_dir
 
 LIMITS = [lookup.BROADCAST_LIMIT, 0]
 
@@ -96,14 +97,30 @@ def test_crowded_keys_anti_join(spark, crowded):
     assert small.exceptAll(spread).count() == 0 and spread.exceptAll(small).count() == 0
 
 
-def test_crowded_keys_are_spread(spark, crowded):
-    """The two crowded values, NULL among them, are found; no task keeps a third of the rows."""
-    found = lookup.crowded_keys(crowded.select("first_name"), ["first_name"])
-    assert found.count() == 2
-    left, _ = lookup._salted(crowded, crowded.select("first_name").distinct(), ["first_name"])
-    largest = left.groupBy("first_name", lookup._SALT).count().agg(F.max("count")).first()[0]
-    # two states and six tasks make the copies of a crowded value fall into a few pieces each
-    assert largest < 3000 / 2
+def test_null_keys_are_spread(spark, crowded):
+    left, _ = lookup._spread_nulls(crowded, crowded.select("first_name").distinct(), ["first_name"])
+    pieces = left.filter("first_name is null").groupBy(lookup._SALT).count()
+    assert pieces.count() > 1 and left.filter("first_name is not null").select(lookup._SALT).distinct().count() == 1
+
+
+def test_shuffled_lookup_reads_the_feed_once(spark, crowded, nicknames):
+    """Chained lookups without broadcast: one scan of the feed, one of each dimension or two."""
+    path = shared_dir(spark, "feed")
+    crowded.write.parquet(path)
+    df = spark.read.parquet(path)
+    known = spark.createDataFrame([("Joe", "L", "R", "MA")], "first_name string, last_name string, party string, state string")
+    df = lookup.fix_nickname(df, nicknames, True, broadcast_limit=0)
+    df = lookup.new_politicians(df, known, broadcast_limit=0)
+    assert df._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+
+
+@pytest.mark.parametrize("limit", LIMITS)
+def test_attach(spark, limit):
+    other = spark.createDataFrame([("a", "1"), ("a", "1"), ("b", "1"), ("b", "2"), (None, "3")], "k string, v string")
+    df = spark.createDataFrame([("a",), ("b",), ("c",), (None,)], "x string")
+    found = lookup.attach(df, other, {"k": "x"}, "v", "w", "step", limit)
+    assert rows(found, "x", "w", F.size("errors")) == sorted(
+        [("a", "1", 0), ("b", None, 1), ("c", None, 0), (None, None, 0)], key=repr)
 
 
 def test_size_is_measured(spark, nicknames, crowded):

@@ -32,9 +32,9 @@ def test_batch_equals_stream(spark):
     batch, failed = feeds.outputs("house_members", members, dims(spark), "2018-10-24")
     assert len({r[0] for r in spark.read.parquet(f"{root}/house").select("batch_id").collect()}) == 3
     for table in ("house", "politicians"):
-        streamed = spark.read.parquet(f"{root}/{table}").drop("batch_id")
+        streamed = spark.read.parquet(f"{root}/{table}").drop("run_id", "batch_id")
         assert rows(streamed) == rows(batch[table])
-    streamed = spark.read.option("header", True).csv(f"{root}/errors").drop("batch_id")
+    streamed = spark.read.option("header", True).csv(f"{root}/errors").drop("run_id", "batch_id")
     assert rows(streamed, "last_name", "ptransform") == rows(failed, "last_name", "ptransform")
     assert batch["house"].count() + failed.count() == members.count()
 
@@ -45,7 +45,7 @@ def test_later_batches_know_earlier_politicians(spark):
 
     def stored():
         try:
-            return dims(spark, spark.read.parquet(f"{root}/politicians").drop("batch_id"))
+            return dims(spark, spark.read.parquet(f"{root}/politicians").drop("run_id", "batch_id"))
         except Exception:  # nothing written yet
             return dims(spark, known)
 
@@ -57,14 +57,27 @@ def test_later_batches_know_earlier_politicians(spark):
     assert spark.read.parquet(f"{root}/politicians").count() == 1
 
 
-def test_retry_replaces_its_batch(spark):
+def test_runs_keep_each_others_rows(spark):
+    """Two runs with checkpoints of their own write to one root; both start at batch 0."""
     members = feed(spark, SF, "members").drop("member_id")
-    landed, root = shared_dir(spark, "messages"), shared_dir(spark, "out")
-    messages.to_messages(members).write.parquet(landed)
-    for _ in range(2):  # a lost checkpoint runs batch 0 again
+    root = shared_dir(spark, "out")
+    for part in (0, 1):
+        landed = shared_dir(spark, "messages")
+        messages.to_messages(members.filter(F.length("last_name") % 2 == part)).write.parquet(landed)
         start(spark, landed, root, shared_dir(spark, "checkpoint"), lambda: dims(spark))
     expected, _ = feeds.outputs("house_members", members, dims(spark), "2018-10-24")
-    assert spark.read.parquet(f"{root}/house").count() == expected["house"].count()
+    assert rows(spark.read.parquet(f"{root}/house").drop("run_id", "batch_id")) == rows(expected["house"])
+
+
+def test_retry_replaces_its_batch(spark):
+    members = feed(spark, SF, "members").drop("member_id")
+    root = shared_dir(spark, "out")
+    written, failed = feeds.outputs("house_members", members, dims(spark), "2018-10-24")
+    for _ in range(2):
+        streams.write_batch(written, failed, FEEDS["house_members"], root, "r", 0)
+    assert spark.read.parquet(f"{root}/house").count() == written["house"].count()
+    back = spark.read.option("header", True).csv(f"{root}/errors")
+    assert back.count() == failed.count()
 
 
 def test_topics(spark):
@@ -75,7 +88,7 @@ def test_topics(spark):
         F.col("k").cast("binary").alias("data"), "attributes").write.parquet(landed)
     streams.stream_errors(messages.read_message_stream(spark, landed), {"bills": ("y", "x"), "votes": ("z",)},
                           root, shared_dir(spark, "checkpoint")).awaitTermination()
-    read = lambda topic: spark.read.option("header", True).option("escape", '"').csv(f"{root}/{topic}").drop("batch_id")
+    read = lambda topic: spark.read.option("header", True).option("escape", '"').csv(f"{root}/{topic}").drop("run_id", "batch_id")
     assert rows(read("bills")) == [("2", "1")]
     assert rows(read("votes")) == [("3",)]
     assert rows(read("other"), "topic_name") == sorted([("odd",), (None,)], key=repr)
