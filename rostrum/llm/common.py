@@ -56,4 +56,5 @@ def fit_in_task(sample: DataFrame, fit: Callable[[pa.Table], Any]) -> Any:
         model = fit(pa.Table.from_batches(found)) if found else None
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
 
-    return pickle.loads(sample.repartition(1).mapInArrow(run, "model binary").first()["model"])
+    fitted = sample.repartition(1).mapInArrow(run, "model binary").first()
+    return pickle.loads(fitted["model"]) if fitted else None

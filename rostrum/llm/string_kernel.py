@@ -14,7 +14,7 @@ in a row are one word.
 
 Fitted on about ``TOXIC_DOCS`` and ``CLEAN_DOCS`` labelled documents, chosen by a hash of the id, with
 whole texts; scoring reads whole texts of all rows. Null and empty texts score as a sentence without
-words. Without labels of both kinds every score is 0. Repeated rows are each scored; an empty table gives
+words. Where no sentences with words of both labels are given every score is 0. Repeated rows are each scored; an empty table gives
 no rows; extra columns stay.
 """
 
@@ -45,7 +45,7 @@ THRESHOLD = 0.3
 ADDED_SHARE = 0.15
 GAP, STOP = 62, 63  # symbols for the ends of words and of sentences
 STEP = 1 << 20  # letters scored at once
-SPELLED = re.compile(r"(?<!\S)\w(?:[ .*_-]\w){2,}(?!\S)")
+SPELLED = re.compile(r"(?<!\w)\w(?:[ .*_-]\w(?!\w)){2,}")
 
 
 def _symbols() -> np.ndarray:
@@ -211,6 +211,8 @@ def fit(texts: list[str], toxic: np.ndarray, weight: np.ndarray, landmarks: int
                 source.append(k)
                 seen.update(own)
         in_docs[int(toxic[k])].update(seen)
+    if len({int(toxic[k]) for k in source}) < 2:
+        return None
     names, source = list(words), np.array(source)
     n = [max(1, int((toxic == c).sum())) for c in (0, 1)]
     share = np.array([[in_docs[c][i] / n[c] for i in range(len(names))] for c in (0, 1)])
