@@ -761,7 +761,7 @@ def revise_names(spark, sf):
 # ---- streams ---------------------------------------------------------------------------------
 
 def _run(spark, sf, name: str, source: DataFrame, wanted: tuple[str, ...], root: str,
-         absent: bool = False) -> None:
+         absent: bool = False, stored: dict[str, str] | None = None) -> None:
     """Land a feed as messages, then run its stream to the end. ``absent`` leaves NULLs out of the
     messages instead of sending them as text."""
     landed = shared_dir(spark, "messages")
@@ -771,7 +771,7 @@ def _run(spark, sf, name: str, source: DataFrame, wanted: tuple[str, ...], root:
     sent.write.parquet(landed)
     stream = streams.message_records(messages.read_message_stream(spark, landed), FEEDS[name])
     streams.stream_feed(stream, name, lambda: dims(spark, sf, *wanted), root,
-                        shared_dir(spark, "checkpoint"), RUN_DATE).awaitTermination()
+                        shared_dir(spark, "checkpoint"), RUN_DATE, tables=stored).awaitTermination()
 
 
 @query
@@ -811,6 +811,22 @@ def stream_senate_clean(spark, sf):
     return spark.read.parquet(f"{root}/senate").drop(streams.RUN, streams.BATCH)
 
 
+@query
+def stream_stored_senate(spark, sf):
+    """Two runs append to one catalog table, a batch load after them; the table has the rows of all."""
+    path, root = shared_dir(spark, "senate"), shared_dir(spark, "stream")
+    name = "senate_" + path.rsplit("-", 1)[1]
+    spark.sql(f"CREATE TABLE {name} (first_name STRING, last_name STRING, party STRING, state STRING, date DATE, "
+              f"run_id STRING, batch_id BIGINT) USING parquet PARTITIONED BY (run_id, batch_id) LOCATION '{path}'")
+    members = feed(spark, sf, "members").filter("member_id % 3 < 2").drop("member_id")
+    for party in ("D", "R"):
+        _run(spark, sf, "senate_members", members.filter(F.col("party") == party), ("politicians",), root, stored={"senate": name})
+    rest = feed(spark, sf, "members").filter("member_id % 3 = 2").drop("member_id")
+    resolved = feeds.resolve_senate(rest, dims(spark, sf))
+    tables.append_to_table(feeds.senate_rows(errors.split_errors(resolved, "senate_members").clean, RUN_DATE), name)
+    return spark.table(name).drop(streams.RUN, streams.BATCH)
+
+
 @query
 def stream_csv_cosponsors(spark, sf):
     """Landed CSV files as a stream; empty fields are empty text, so only broken rows would fail."""

@@ -36,6 +36,25 @@ def append_to_table(df: DataFrame, table: str) -> None:
     ]).write.mode("append").insertInto(table)
 
 
+#: Partition columns of tables that streams write to: the run and its batch. Batch loads leave them NULL.
+RUN, BATCH = "run_id", "batch_id"
+
+
+def write_batch_rows(df: DataFrame, table: str, run: str, batch_id: int) -> None:
+    """A micro-batch's rows into a table partitioned by run and batch: writing them again replaces them."""
+    spark = df.sparkSession
+    if not spark.catalog.tableExists(table):
+        raise ValueError(f"table {table} does not exist")
+    present = set(df.columns)
+    *fields, last_but_one, last = spark.table(table).schema.fields
+    if [last_but_one.name, last.name] != [RUN, BATCH]:
+        raise ValueError(f"table {table} is not partitioned by {RUN}, {BATCH}")
+    rows = df.select(*[
+        (F.col(f.name) if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name) for f in fields])
+    spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({RUN} = :run, {BATCH} = :batch) SELECT * FROM {{rows}}",
+              args={"run": run, "batch": batch_id}, rows=rows)
+
+
 def revise_names(politicians: DataFrame, nicknames: DataFrame,
                  broadcast_limit: int = BROADCAST_LIMIT) -> DataFrame:
     """The stored politicians with nicknames replaced; every other row and column as it was."""

@@ -20,9 +20,7 @@ from rostrum.session import shared_dir
 from rostrum.sources.feeds import CSV_WRITE
 from rostrum.sources.messages import isolate_attributes
 from rostrum.sources.sinks import error_record, write_topic_files
-
-RUN, BATCH = "run_id", "batch_id"
-
+from rostrum.sources.tables import BATCH, RUN, write_batch_rows
 
 def run_id(spark: SparkSession, checkpoint: str) -> str:
     """The id that Spark wrote to the checkpoint when the run first started."""
@@ -30,9 +28,13 @@ def run_id(spark: SparkSession, checkpoint: str) -> str:
 
 
 def write_batch(rows: Mapping[str, DataFrame], failed: DataFrame, columns: Sequence[str], root: str, run: str,
-                batch_id: int) -> None:
-    """Everything one batch of a run writes; writing it again changes nothing."""
+                batch_id: int, tables: Mapping[str, str] | None = None) -> None:
+    """Everything one batch of a run writes; writing it again changes nothing. ``tables`` names the
+    catalog tables (partitioned by run and batch) that take rows instead of folders."""
     for table, branch in rows.items():
+        if table in (tables or {}):
+            write_batch_rows(branch, tables[table], run, batch_id)
+            continue
         branch.write.mode("overwrite").parquet(f"{root}/{table}/{RUN}={run}/{BATCH}={batch_id}")
     error_record(failed, columns).write.mode("overwrite").options(**CSV_WRITE) \
         .csv(f"{root}/errors/{RUN}={run}/{BATCH}={batch_id}")
@@ -44,8 +46,10 @@ def message_records(messages: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def stream_feed(stream: DataFrame, feed: str, dims: Callable[[], Dimensions], root: str,
                 checkpoint: str, run_date: date | str | None = None,
-                add_politicians: bool = True, trigger: Mapping | None = None) -> StreamingQuery:
-    """Start a feed: rows of each table under ``root/table``, failed rows under ``root/errors``.
+                add_politicians: bool = True, trigger: Mapping | None = None,
+                tables: Mapping[str, str] | None = None) -> StreamingQuery:
+    """Start a feed: rows of each table under ``root/table`` or in the catalog table that ``tables``
+    gives for it, failed rows under ``root/errors``.
 
     Batches are staged in two folders in turn, so staging does not grow with the stream.
     """
@@ -53,7 +57,7 @@ def stream_feed(stream: DataFrame, feed: str, dims: Callable[[], Dimensions], ro
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows, failed = outputs(feed, batch, dims(), run_date, add_politicians, f"{staging}/{batch_id % 2}")
-        write_batch(rows, failed, TARGETS[feed][1], root, run_id(batch.sparkSession, checkpoint), batch_id)
+        write_batch(rows, failed, TARGETS[feed][1], root, run_id(batch.sparkSession, checkpoint), batch_id, tables)
 
     return (
         stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)

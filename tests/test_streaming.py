@@ -9,7 +9,7 @@ from checks.fixtures import feed
 from rostrum.plans import feeds
 from rostrum.schemas import FEEDS, MESSAGE, table_schema
 from rostrum.session import shared_dir
-from rostrum.sources import messages, sinks
+from rostrum.sources import messages, sinks, tables
 from rostrum.streaming import feeds as streams
 
 
@@ -80,6 +80,19 @@ def test_retry_replaces_its_batch(spark):
     assert back.count() == failed.count()
 
 
+def test_stored_table_takes_each_batch_once(spark):
+    path = shared_dir(spark, "house")
+    name = "stored_" + path.rsplit("-", 1)[1]
+    spark.sql(f"CREATE TABLE {name} (first_name STRING, district STRING, run_id STRING, batch_id BIGINT) "
+              f"USING parquet PARTITIONED BY (run_id, batch_id) LOCATION '{path}'")
+    rows_of = lambda *names: spark.createDataFrame([(n, "x") for n in names], "first_name string, extra string")
+    for run, batch, names in (("a", 0, ("A", "B")), ("b", 0, ("C",)), ("a", 1, ("D",)), ("a", 0, ("A", "B"))):
+        tables.write_batch_rows(rows_of(*names), name, run, batch)
+    tables.append_to_table(rows_of("E"), name)
+    assert rows(spark.table(name), "first_name", "run_id", "batch_id") == sorted(
+        [("A", "a", 0), ("B", "a", 0), ("C", "b", 0), ("D", "a", 1), ("E", None, None)], key=repr)
+
+
 def test_topics(spark):
     sent = [("a", {"topic_name": "bills", "x": "1", "y": "2"}), ("b", {"topic_name": "votes", "z": "3"}),
             ("c", {"topic_name": "odd", "z": "4"}), ("d", {"z": "5"})]
