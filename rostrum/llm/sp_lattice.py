@@ -9,6 +9,7 @@ pieces; the edges that are found are grouped by the character that they end at,
 documents then looks its parts up in the part of the result that it needs.
 
 The vocabulary is read as a unigram model: scores are those in the file, added up; sums are doubles.
+A part's work grows with the square of its length, so unbroken words of thousands of letters are slow.
 Null and empty texts have no ids. Repeated rows are each encoded, null ids kept; an empty table gives no
 rows; extra columns are ignored.
 """
@@ -30,7 +31,7 @@ from rostrum.llm.common import KEY, with_key
 VOCABULARY = "piece_bpe_32k.model"
 SPACE = "▁"
 #: Documents of a block on average.
-BLOCK_DOCS = 4096
+BLOCK_DOCS = 2048
 UNKNOWN_PENALTY = 10.0
 WORDS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
@@ -112,16 +113,21 @@ def encode_documents(docs: DataFrame, path: str | None = None, block_docs: int =
     dealt = dealt.repartition("block")
 
     def different(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[int, set[str]] = {}
-        for batch in batches:
-            for block, text in zip(batch.column("block").to_pylist(), batch.column("text")):
-                seen.setdefault(block, set()).update(words(text.as_py()))
-        for block, own in seen.items():
+        def out(block: int, own: set[str]) -> Iterator[pa.RecordBatch]:
             parts = list({p for w in own for p in parts_of(w, spanned)})
             for at in range(0, len(parts), 50_000):
                 some = parts[at:at + 50_000]
                 yield pa.RecordBatch.from_arrays([pa.array([block] * len(some), pa.int32()), pa.array(some, pa.string())], ["block", "part"])
 
+        current, own = -1, set()
+        for batch in batches:
+            for block, text in zip(batch.column("block").to_pylist(), batch.column("text")):
+                if block != current:
+                    yield from out(current, own)
+                    current, own = block, set()
+                own.update(words(text.as_py()))
+        yield from out(current, own)
+
     def looked_up(texts: pa.Table, found: pa.Table) -> pa.Table:
         ids = found["ids"].combine_chunks()
         bounds, flat = ids.offsets.to_numpy(), ids.values.to_numpy(zero_copy_only=False).astype("<i4")
@@ -137,7 +143,7 @@ def encode_documents(docs: DataFrame, path: str | None = None, block_docs: int =
         column = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(out), "<i4")))
         return pa.table({"doc_id": texts["doc_id"], "text": texts["text"], "ids": column})
 
-    parts = dealt.mapInArrow(different, "block int, part string")
+    parts = dealt.sortWithinPartitions("block").mapInArrow(different, "block int, part string")
     found = parts.join(lattice(parts.select("part").distinct(), pieces), "part")
     return dealt.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(looked_up, "doc_id bigint, text string, ids array<int>")
 
@@ -145,6 +151,6 @@ def encode_documents(docs: DataFrame, path: str | None = None, block_docs: int =
 def decode(ids: Column, path: str | None = None) -> Column:
     """The text of a list of ids."""
     pieces = Pieces(path or public_tokenizers.path(VOCABULARY))
-    codes = F.lit([pieces.raw(i).hex() for i in range(len(pieces.texts))])
+    codes = F.split(F.lit(",".join(pieces.raw(i).hex() for i in range(len(pieces.texts)))), ",")  # folded to one constant
     text = F.decode(F.unhex(F.array_join(F.transform(ids, lambda i: F.get(codes, i)), "")), "utf-8")
     return F.substring(F.replace(text, F.lit(SPACE), F.lit(" ")), 2, (1 << 31) - 1)
