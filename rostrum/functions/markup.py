@@ -87,7 +87,8 @@ def _character(code: Column) -> Column:
 
 def unescape(c: Column) -> Column:
     """Character references by name, decimal or hexadecimal number, each decoded once; others stay."""
-    named = F.create_map(*[F.lit(x) for name, code in {**name2codepoint, "apos": 39}.items() for x in (name, code)])
+    codes = {**name2codepoint, "apos": 39}
+    named = F.expr("map(" + ", ".join(f"'{name}', {code}" for name, code in codes.items()) + ")")
 
     def decoded(entry: Column) -> Column:
         name, part = entry["name"], entry["part"]
