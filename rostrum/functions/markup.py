@@ -102,4 +102,9 @@ def unescape(c: Column) -> Column:
 
     parts = F.transform(F.split(c, "&"), lambda p: F.struct(p.alias("part"), F.regexp_extract(p, _REFERENCE, 1).alias("name")))
     parts = F.transform(parts, lambda entry, i: F.when(i == 0, entry["part"]).otherwise(decoded(entry)))
-    return F.when(F.contains(c, F.lit("&")), F.array_join(parts, "")).otherwise(c)
+    # most texts hold the commonest references only; &amp; last, so that nothing is decoded twice
+    common = c
+    for reference, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&nbsp;", "\xa0"), ("&#39;", "'"), ("&amp;", "&")):
+        common = F.replace(common, F.lit(reference), F.lit(char))
+    return F.when(~F.contains(c, F.lit("&")), c) \
+        .when(c.rlike("&(?!(?:lt|gt|quot|nbsp|#39|amp);)"), F.array_join(parts, "")).otherwise(common)
