@@ -34,7 +34,7 @@ from rostrum.llm.common import KEY, with_key
 VOCABULARY = "piece_bpe_32k.model"
 SPACE = "▁"
 #: Documents of a block on average.
-BLOCK_DOCS = 8192
+BLOCK_DOCS = 6144
 #: Words that are cut, and texts whose ids are gathered, at a time.
 WORDS_AT_ONCE, TEXTS_AT_ONCE = 65_536, 256
 UNKNOWN_PENALTY = 10.0
@@ -208,6 +208,7 @@ def encode_documents(docs: DataFrame, path: str | None = None, block_docs: int =
                 if blocks[a] != current:
                     yield from out(current, own)
                     current, own = int(blocks[a]), set()
+                    pa.default_memory_pool().release_unused()
                 own.update(numbered_words(unzipped(batch.column("text")[a:b]))[0].to_pylist())
         yield from out(current, own)
 
@@ -227,6 +228,7 @@ def encode_documents(docs: DataFrame, path: str | None = None, block_docs: int =
             own_bounds = bounds[at:at + TEXTS_AT_ONCE + 1]
             all_ids, ends = gathered(by_word, word_of[own_bounds[0]:own_bounds[-1]])
             lists.append(pa.ListArray.from_arrays(pa.array(ends[own_bounds - own_bounds[0]], pa.int32()), pa.array(all_ids, pa.int32())))
+        pa.default_memory_pool().release_unused()
         return pa.table({"doc_id": texts["doc_id"], "text": text, "ids": pa.chunked_array(lists, pa.list_(pa.int32()))})
 
     parts = dealt.sortWithinPartitions("block").mapInArrow(different, "block int, number int, part string")
