@@ -3,8 +3,11 @@
 A paragraph is a line with its line break, a section a run of up to 16 paragraphs that ends at a blank
 line at the latest. Each paragraph's SHA-256 is a leaf, a section's node hashes its paragraphs' digests,
 and the root the sections'. Roots are equal for equal texts; where they differ, following the branches
-that differ leads to the edited paragraphs. Under each paragraph lie hashes of its spans of five words;
-the likeness of two trees is the Dice coefficient of their different spans.
+that differ leads to the edited paragraphs. Under each paragraph's leaf lie hashes of its spans: every run
+of five units, overlapping, so that an edit changes the spans around it only. A unit is a word; in words of more than
+``WORD`` code points, and in those with signs of scripts that do not part words, each code point is one. The
+likeness of two trees is the Dice coefficient of their spans, each as often as it occurs. A paragraph of fewer than five units is one
+span; white space only counts where it parts units.
 
 Null texts are empty: one section with one empty paragraph. Likeness is 1 for equal texts, else 0 where
 either has no span. ``with_next`` orders by id (null first), then by text hash; equal rows follow each
@@ -19,21 +22,30 @@ from pyspark.sql import functions as F
 from rostrum.llm.common import KEY, with_key
 
 SECTION_PARAGRAPHS = 16
-SPAN_WORDS = 5
+SPAN_UNITS = 5
+WORD = 24
+#: Thai to Lao, Myanmar, Khmer, CJK and kana, compatibility forms, ideographs of the higher planes.
+UNPARTED = r"\u0E00-\u0EFF\u1000-\u109F\u1780-\u17FF\u2E80-\u9FFF\uF900-\uFAFF\x{20000}-\x{3FFFF}"
+UNIT = r"(?<!\S)[^\s%s]{1,%d}+(?!\S)|\S" % (UNPARTED, WORD)
 
 
 def tree(text: Column) -> Column:
-    """``struct<sections: array<struct<node, paragraphs: array<digest>>>, spans: array<int>>``."""
+    """``struct<sections: array<struct<node, paragraphs: array<digest>, spans: array<array<int>>>>>``."""
     def cut(block: Column) -> Column:
         lines = F.split(block, r"(?<=\n)(?!\z)")
         steps = F.sequence(F.lit(1), F.size(lines), F.lit(SECTION_PARAGRAPHS))
         return F.transform(steps, lambda at: F.slice(lines, at, F.lit(SECTION_PARAGRAPHS)))
 
     sections = F.flatten(F.transform(F.split(text, r"(?<=\n\n)(?!\z)"), cut))
-    leaves = F.transform(sections, lambda s: F.transform(s, lambda p: F.sha2(p, 256)))
-    nodes = F.transform(leaves, lambda s: F.struct(F.sha2(F.array_join(s, ""), 256).alias("node"), s.alias("paragraphs")))
-    spans = F.regexp_extract_all(text, F.lit(r"(?:[^\s]++[^\S\n]*+){1,%d}+" % SPAN_WORDS), F.lit(0))
-    return F.struct(nodes.alias("sections"), F.array_distinct(F.transform(spans, lambda s: F.hash(s))).alias("spans"))
+    def spans(units: Column) -> Column:
+        firsts = F.slice(units, F.lit(1), F.greatest(F.size(units) - (SPAN_UNITS - 1), F.lit(1)))
+        return F.transform(firsts, lambda u, i: F.hash(u, *[F.get(units, i + k) for k in range(1, SPAN_UNITS)]))
+
+    units = lambda p: F.transform(F.regexp_extract_all(p, F.lit(UNIT), F.lit(0)), lambda u: F.hash(u))
+    leaves = F.transform(sections, lambda s: F.struct(
+        F.transform(s, lambda p: F.sha2(p, 256)).alias("paragraphs"), F.transform(F.transform(s, units), spans).alias("spans")))
+    return F.struct(F.transform(leaves, lambda s: F.struct(
+        F.sha2(F.array_join(s["paragraphs"], ""), 256).alias("node"), s["paragraphs"].alias("paragraphs"), s["spans"].alias("spans"))).alias("sections"))
 
 
 def root(tree: Column) -> Column:
@@ -41,10 +53,30 @@ def root(tree: Column) -> Column:
     return F.sha2(F.array_join(F.transform(tree["sections"], lambda s: s["node"]), ""), 256)
 
 
+def spans(tree: Column) -> Column:
+    """The spans under all leaves, repeated ones numbered: the place in a run of equals is searched by halves."""
+    every = F.sort_array(F.flatten(F.flatten(F.transform(tree["sections"], lambda s: s["spans"]))))
+    steps = F.array(*[F.lit(1 << k) for k in range(23, -1, -1)])
+
+    def numbered(every: Column) -> Column:
+        def one(x: Column, i: Column) -> Column:
+            nth = F.aggregate(steps, F.lit(0), lambda n, step: F.when(F.get(every, i - n - step) == x, n + step).otherwise(n))
+            return F.when(F.get(every, i - 1) == x, F.hash(x, nth)).otherwise(x)
+
+        return F.transform(every, one)
+
+    return F.get(F.transform(F.array(every), numbered), F.lit(0))
+
+
+def dice(a: Column, b: Column) -> Column:
+    """Dice coefficient of two arrays from ``spans``."""
+    both = F.size(F.array_intersect(a, b))
+    return F.when(both > 0, 2.0 * both / (F.size(a) + F.size(b))).otherwise(F.lit(0.0))
+
+
 def likeness(a: Column, b: Column) -> Column:
     """Dice coefficient of two trees' spans."""
-    both = F.size(F.array_intersect(a["spans"], b["spans"]))
-    return F.when(both > 0, 2.0 * both / (F.size(a["spans"]) + F.size(b["spans"]))).otherwise(F.lit(0.0))
+    return dice(spans(a), spans(b))
 
 
 def differing(a: Column, b: Column) -> Column:
@@ -104,10 +136,11 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     rows = with_next(docs).withColumn("edited", edited(F.col("text"), F.col("next.text")))
     rows = rows.withColumn("edited_tree", tree(F.col("edited")))
     own, changed, following = F.col("tree"), F.col("edited_tree"), F.col("next.tree")
+    rows = rows.withColumns({"own_spans": spans(own), "edited_spans": spans(changed), "next_spans": spans(following)})
     rows = rows.select(
         "doc_id", F.char_length("text").cast("bigint").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
-        root(own).alias("fingerprint"), root(changed).alias("edited_fingerprint"), likeness(own, changed).alias("near_edited"),
-        likeness(own, following).alias("near_next"), root(following).alias("next_fingerprint"), edits(own, changed).alias("edits"))
+        root(own).alias("fingerprint"), root(changed).alias("edited_fingerprint"), dice(F.col("own_spans"), F.col("edited_spans")).alias("near_edited"),
+        dice(F.col("own_spans"), F.col("next_spans")).alias("near_next"), root(following).alias("next_fingerprint"), edits(own, changed).alias("edits"))
     same = lambda other, near: F.when(F.col("fingerprint") == F.col(other), 1.0).otherwise(F.col(near))
     return rows.select(
         "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
