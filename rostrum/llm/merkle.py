@@ -102,7 +102,10 @@ def with_next(docs: DataFrame, partitions: int | None = None) -> DataFrame:
     """``doc_id, text`` and ``next_text`` of the next document by ascending id (after the last: the first).
 
     Ids are dealt to ranges by quantiles; the first documents of a range also visit the range before
-    it, so each task sees its neighbours and the texts move once.
+    it, so each task sees its neighbours and the texts move once. ``docs`` is read twice, for the ranges
+    and for the rows, and must give the same rows both times, as a table does; rows that do not fit the
+    ranges, and rows that find none after them, are an error. All rows of one id go to one range, and to
+    the one before as well where the range begins with that id.
     """
     docs = with_key(docs.select("doc_id", "text")).withColumn("text", F.coalesce("text", F.lit("")))
     partitions = partitions or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -113,6 +116,8 @@ def with_next(docs: DataFrame, partitions: int | None = None) -> DataFrame:
     every, coarse = F.lit(bounds), F.lit(bounds[::width])
     from_block = F.size(F.filter(coarse, lambda b: b <= F.col(KEY[0]))) - 1
     place = F.size(F.filter(F.slice(every, from_block * width + 1, F.lit(width)), lambda b: b <= F.col(KEY[0]))) + from_block * width - 1
+    moved = F.raise_error(F.lit("the documents were not the same at the second reading"))
+    place = F.when(F.col(KEY[0]) < bounds[0], moved).otherwise(place)
     before = F.pmod(F.col("range") - 1, F.lit(len(bounds)))
     visits = F.when(F.get(every, F.col("range")) == F.col(KEY[0]), F.array(
         F.struct(F.col("range"), F.lit(False).alias("guest")), F.struct(before.alias("range"), F.lit(True).alias("guest")))
@@ -121,7 +126,7 @@ def with_next(docs: DataFrame, partitions: int | None = None) -> DataFrame:
     order = Window.partitionBy("range").orderBy("guest", *KEY)
     dealt = dealt.repartitionById(len(bounds), "range").withColumn("tree", tree(F.col("text")))
     following = F.lead(F.struct("text", "tree")).over(order)
-    return dealt.withColumn("next", following).filter(~F.col("guest")).select("doc_id", "text", "tree", "next")
+    return dealt.withColumn("next", following).filter(~F.col("guest")).withColumn("next", F.coalesce("next", moved)).select("doc_id", "text", "tree", "next")
 
 
 def edited(text: Column, other: Column) -> Column:

@@ -7,8 +7,10 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from rostrum.llm import graph, merkle, queries, simhash_pivot, tree_dedup
@@ -166,6 +168,37 @@ def test_next_document_whatever_the_ranges(session, odd, partitions):
     df = session.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
     found = {r.doc_id: r.following for r in merkle.with_next(df, partitions).select("doc_id", F.col("next.text").alias("following")).collect()}
     assert found == {d: rows[(i + 1) % 40][1] for i, (d, _) in enumerate(rows)}
-    one = merkle.with_next(df.limit(1), partitions).select("text", F.col("next.text").alias("n")).first()
-    assert one.text == one.n
-    assert merkle.fingerprints(odd).count() == odd.count() and merkle.fingerprints(odd.limit(0)).count() == 0
+    single = session.createDataFrame([(27, "alone")], "doc_id bigint, text string")
+    assert merkle.with_next(single, partitions).select("text", "next.text").collect() == [("alone", "alone")]
+
+
+def test_trees_of_odd_rows(session, odd, none):
+    """Nulls, empty and long texts, repeated rows: every value against the definition."""
+    rows = [(r.doc_id, r.text or "") for r in odd.collect()]
+    found = sorted(merkle.fingerprints(odd).collect(), key=lambda r: (r.doc_id is not None, r.doc_id or 0, r.n_chars))
+    assert sorted((r.doc_id is None, r.doc_id or 0, r.n_chars) for r in found) == sorted((d is None, d or 0, len(t)) for d, t in rows)
+    alike = {}
+    for r in merkle.with_next(odd).select("doc_id", "text", F.col("next.text").alias("following"), merkle.root(F.col("tree")).alias("root")).collect():
+        changed = r.text[:len(r.text) - len(r.text) // 4] + r.following[:len(r.text) // 4]
+        alike.setdefault((r.doc_id, len(r.text), hashlib.sha256(changed.encode()).hexdigest(), r.root), []).append(r.text == changed)
+    got = {}
+    for r in found:
+        got.setdefault((r.doc_id, r.n_chars, r.edited_sha256, r.fingerprint), []).append(r.fingerprint == r.edited_fingerprint)
+        assert 0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1
+    assert got == alike
+    by_text = {}
+    for r in found:
+        by_text.setdefault((r.doc_id, r.n_chars), set()).add(r.fingerprint)
+    assert by_text[(2, 23)] == by_text[(1, 23)] and by_text[(3, 0)] == by_text[(4, 0)] == by_text[(None, 0)] and len(by_text[(5, 580000)]) == 1
+    assert merkle.fingerprints(none).collect() == []
+
+
+def test_another_second_reading_is_an_error(session):
+    def fresh(batches):
+        for batch in batches:
+            ids = pa.array([random.SystemRandom().getrandbits(60) for _ in range(batch.num_rows)], pa.int64())
+            yield pa.RecordBatch.from_arrays([ids, pa.array(["text"] * batch.num_rows)], ["doc_id", "text"])
+
+    moving = session.range(50).mapInArrow(fresh, "doc_id bigint, text string")
+    with pytest.raises(PySparkException, match="second reading"):
+        merkle.with_next(moving, 4).select("doc_id", "next.text").collect()
