@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rostrum.llm import near_sets, ordinal_quality, ss_pack, string_kernel, tree_dedup
+from rostrum.llm import ordinal_quality, simhash_pivot, ss_pack, string_kernel, tree_dedup
 from rostrum.llm.common import ship
 from rostrum.sources.sinks import stored
 
@@ -34,9 +34,9 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of texts with a five-word likeness of 0.8 or more, that with the smallest id."""
+    """One document of each class of linked fingerprints (three words, two bits), that with the smallest id."""
     ship(spark)
-    return near_sets.keep_one(docs)
+    return simhash_pivot.keep_one(docs, radius=simhash_pivot.RADIUS, shingle=simhash_pivot.SHINGLE)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
