@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from rostrum_testing import rows
 from rostrum.operators import extract
 from rostrum.plans import crawl
 from rostrum.schemas import DOCUMENT

@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF, rows
+from rostrum_testing import SF, rows
 from checks.fixtures import feed as driver_feed
 from rostrum.plans import feeds
 from rostrum.operators import project

@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from rostrum_testing import rows
 from rostrum.operators import errors, lookup
 from rostrum.session import shared_dir
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import pytest
 
-from conftest import SF
+from rostrum_testing import SF
 import __spark_entry__ as driver
 from checks.compare import connect, difference
 from checks.oracle import ORACLE

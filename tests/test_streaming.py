@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from conftest import SF, rows
+from rostrum_testing import SF, rows
 from checks.fixtures import feed
 from rostrum.plans import feeds
 from rostrum.schemas import FEEDS, MESSAGE, table_schema
