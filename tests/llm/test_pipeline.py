@@ -12,7 +12,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_registered():
     names = [n for n in driver.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and driver.queries()["pipeline"] is corpus_pipeline.run
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14)) and driver.queries()["pipeline"] is corpus_pipeline.run
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality classifier", "toxicity", "exact dedup", "near dedup", "best-fit packing"]
 
 
