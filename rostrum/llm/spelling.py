@@ -76,13 +76,14 @@ def sided(listed: DataFrame) -> DataFrame:
 
 
 def nodes(paths: DataFrame) -> DataFrame:
-    """``depth, node, ways``: nodes of several words, with ``ways`` on by two letters.
+    """``depth, node`` of nodes of several words, with their ways on by two letters, empty beyond a word's end.
 
-    A way is ``first, second, tail, n``: letters are empty beyond a word's end; ``tail`` is the rest of the only
-    word that goes this way, and ``n`` its count, else NULL. Nodes hold the words that can be one
-    edit away from another one at their depth.
+    A way's ``tail`` is the rest of the only word that goes this way, and ``n`` its count, else NULL. For
+    lookups without a scan, ``pairs`` lists the two letters and ``ends`` what is at the end of each; ``seconds`` lists the
+    second letters, and ``firsts`` the ways of each by first letter; ``shared`` are the first letters of several
+    words. Nodes hold the words that can be one edit away from another one at their depth.
     """
-    depths = F.explode(F.sequence(F.greatest(F.col("half") - 1, F.lit(0)), F.length("path")))
+    depths = F.explode(F.sequence(F.greatest(F.col("half") - 1, F.lit((LEAST - 1) // 2)), F.length("path")))
     rows = paths.select("side", "path", "n", depths.alias("depth"))
     depth, path = F.col("depth"), F.col("path")
     rows = rows.select("depth", F.concat("side", F.substring(path, F.lit(1), depth)).alias("node"), letter(path, depth).alias("first"),
@@ -91,41 +92,54 @@ def nodes(paths: DataFrame) -> DataFrame:
     only = F.col("words") == 1
     way = F.struct("first", "second", F.when(only, F.col("tail")).alias("tail"), F.when(only, F.col("n")).alias("n"))
     held = ways.groupBy("depth", "node").agg(F.sum("words").alias("words"), F.collect_list(way).alias("ways"))
-    return held.filter(F.col("words") > 1).drop("words")
+    held = held.filter(F.col("words") > 1)
+    seconds = F.array_distinct(F.transform("ways", lambda w: w["second"]))
+    held = held.select("depth", "node", "ways", seconds.alias("seconds"))
+    firsts = F.transform("seconds", lambda x: F.transform(
+        F.filter("ways", lambda w: (w["second"] == x) & (w["first"] != "")), lambda w: F.struct(w["first"], w["tail"], w["n"])))
+    weight = lambda w, x: F.when(w["first"] == x, F.when(w["tail"].isNull(), 2).otherwise(1)).otherwise(0)
+    several = F.filter(F.array_distinct(F.transform("ways", lambda w: w["first"])), lambda x: F.aggregate(
+        "ways", F.lit(0), lambda total, w: total + weight(w, x)) > 1)
+    return held.select(
+        "depth", "node", F.transform("ways", lambda w: F.concat(w["first"], w["second"])).alias("pairs"),
+        F.transform("ways", lambda w: F.struct(w["tail"], w["n"])).alias("ends"), "seconds", firsts.alias("firsts"), several.alias("shared"))
+
+
+NODES = """node string, pairs array<string>, ends array<struct<tail:string,n:bigint>>, seconds array<string>,
+    firsts array<array<struct<first:string,tail:string,n:bigint>>>, shared array<string>, depth int"""
 
 
 def steps(frontier: DataFrame, held: DataFrame) -> DataFrame:
     """What becomes of states at nodes of one depth: ``path, node, at, edits`` and, with two ``edits``, the
     neighbour's remaining letters and count (``tail, n``)."""
     path, at, node = F.col("path"), F.col("at"), F.col("node")
-    joined = frontier.join(held.select("node", "ways"), "node")
-    follow = F.when(F.col("edits") == 0, at + 1).otherwise(at)
-    joined = joined.select(
-        "path", "node", "at", "edits", "ways", letter(path, at).alias("c"), follow.alias("on"),
-        letter(path, at + 1).alias("c1"), letter(path, follow).alias("on0"), letter(path, follow + 1).alias("on1"),
-        after(path, at + 2).alias("replaced"), after(path, at + 1).alias("inserted"), after(path, follow + 2).alias("followed"))
-    ends = lambda w, rest: w["tail"].isNull() | (w["tail"] == F.col(rest))
-    aside = lambda w: (w["first"] != F.col("c")) & (w["first"] != "")
-
-    def to(w: Column, place: Column) -> Column:
-        found = w["tail"].isNotNull()
-        return F.struct(F.concat(node, w["first"], w["second"]).alias("node"), place.alias("at"),
-                        F.when(found, 2).otherwise(1).alias("edits"), w["tail"].alias("tail"), w["n"].alias("n"))
-
+    joined = frontier.join(held.drop("depth"), "node")
+    fresh = F.col("edits") == 0
+    c, c1, on = letter(path, at), letter(path, at + 1), F.when(fresh, at + 1).otherwise(at)
+    joined = joined.select("path", "node", "at", "edits", "shared", "firsts", c.alias("c"), c1.alias("c1"), on.alias("on"), "ends",
+                           F.substring(path, on + 1, F.lit(2)).alias("pair"), "pairs", "seconds")
     none = F.array().cast("array<struct<node:string,at:int,edits:int,tail:string,n:bigint>>")
-    fresh, inside = F.col("edits") == 0, F.col("c") != ""
-    replaced = F.transform(F.filter("ways", lambda w: (w["second"] == F.col("c1")) & aside(w) & ends(w, "replaced")), lambda w: to(w, at + 2))
-    inserted = F.transform(F.filter("ways", lambda w: (w["second"] == F.col("c")) & aside(w) & ends(w, "inserted")), lambda w: to(w, at + 1))
-    followed = F.transform(F.filter("ways", lambda w: (w["first"] == F.col("on0")) & (w["second"] == F.col("on1")) & ends(w, "followed")),
-                           lambda w: to(w, F.col("on") + 2))
-    others = F.filter("ways", lambda w: w["first"] == F.col("c"))
-    shared = (F.size(others) > 1) | F.exists(others, lambda w: w["tail"].isNull())
+
+    def to(letters: Column, end: Column, place: Column) -> Column:
+        return F.struct(F.concat(node, letters).alias("node"), place.alias("at"), F.when(end["tail"].isNotNull(), 2).otherwise(1).alias("edits"),
+                        end["tail"].alias("tail"), end["n"].alias("n"))
+
+    def aside(second: Column, place: Column) -> Column:
+        """Another first letter than the word's, and then the word from ``place``."""
+        ways = F.get("firsts", F.array_position("seconds", second).cast("int") - 1)
+        fits = F.filter(ways, lambda w: (w["first"] != F.col("c")) & (w["tail"].isNull() | (w["tail"] == after(path, place + 1))))
+        return F.coalesce(F.transform(fits, lambda w: to(F.concat(w["first"], second), w, place + 1)), none)
+
+    end = F.get("ends", F.array_position("pairs", F.col("pair")).cast("int") - 1)
+    goes_on = end.isNotNull() & (end["tail"].isNull() | (end["tail"] == after(path, F.col("on") + 2)))
+    followed = F.when(goes_on, F.array(to(F.col("pair"), end, F.col("on") + 2))).otherwise(none)
+    inside = F.col("c") != ""
     own = F.array(F.struct(F.concat(node, F.col("c")).alias("node"), (at + 1).alias("at"), F.lit(0).alias("edits"),
                            F.lit(None).cast("string").alias("tail"), F.lit(None).cast("bigint").alias("n")))
-    made = F.concat(
-        F.when(fresh & inside, replaced).otherwise(none), F.when(fresh, inserted).otherwise(none),
-        F.when(~fresh | (inside & (F.col("c") != F.col("c1"))), followed).otherwise(none),
-        F.when(fresh & inside & shared, own).otherwise(none))
+    made = F.when(~fresh, followed).otherwise(F.concat(
+        F.when(inside, aside(F.col("c1"), at + 1)).otherwise(none), aside(F.col("c"), at),
+        F.when(inside & (F.col("c") != F.col("c1")), followed).otherwise(none),
+        F.when(inside & F.array_contains("shared", F.col("c")), own).otherwise(none)))
     return joined.select("path", F.explode(made).alias("s")).select("path", "s.*")
 
 
@@ -135,7 +149,7 @@ def trie_neighbours(listed: DataFrame) -> list[DataFrame]:
     paths = stored(sided(listed), "paths")
     root = shared_dir(spark, "trie")
     nodes(paths).write.partitionBy("depth").parquet(f"{root}/nodes")
-    held = spark.read.schema("node string, ways array<struct<first:string,second:string,tail:string,n:bigint>>, depth int").parquet(f"{root}/nodes")
+    held = spark.read.schema(NODES).parquet(f"{root}/nodes")
     least, most = held.agg(F.min("depth"), F.max("depth")).first()
     states = "path string, node string, at int, tail string, n bigint, edits int"
     read = lambda level: spark.read.schema(states).parquet(f"{root}/states/{level}")
