@@ -8,6 +8,7 @@ names stand in braces. ``DOCUMENTS`` is Spark only, since the documents exist to
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 RUN_DATE = "2018-10-24"
 
@@ -215,6 +216,22 @@ FROM {customer} LATERAL VIEW explode(array(1, 2)) t AS page""",
 }
 
 
+# The same pages as the outside sites may write them: laid out in a table, with tables in cells, lists in items,
+# cells, rows, items and paragraphs whose end tags are left out, comments, and foreign links and paragraphs.
+_LAYOUT = ('<table class="layout"><tr><td>menu<td><!-- <table class="table"><tr><td> -->', "</table>")
+NESTED: dict[str, tuple[tuple[str, str], ...]] = {
+    "house_roster": (("st </td><td>", "st <table><tr><td>x<td><a>No, One</a></table><td>"), ("</td></tr>", ""),
+                     ("<td>1 LHOB", '<td>1 LHOB<table class="room"><tbody><tr><td>a<td>b<td>c</tbody></table>')),
+    "roll_index": (("</a></td>", "</a>"), ("</font></td>", "</font><table><tr><td>1<tr><td>2</table>")),
+    "vote_menu": (("<td>x</td>", "<td>x<table><tr><td>Jan 01</td></tr></table>"), ("</td></tr>", "")),
+    "bill_search": (("</span></li></ol>", '</span><ul><li>other<li><span class="result-item">(Introduced never)</span></ul></ol>'),),
+    "bill_pages": (("<tr><th>", '<tr><th><table class="standard01"><tr><td>none</table>'), (" (Introduced 01/03/2018)</td>", ' (Introduced 01/03/2018)<table><tr><td><a>[x]</a></table>'),
+                   ("<h3>Summary</h3>", "<div><p>Not this.</p></div>"), ("</p><p>Second.</p></div>", "<p>Second.</div><p>Nor this.</p>")),
+    "cosponsor_pages": (("</td></tr>", "<table><tr><td><a>Not one</a></table>"), ("</a></td>", "</a>")),
+    "amendments": (("</span></li>", '</span><ul><li>read<li>read again</ul>'),),
+}
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
@@ -237,6 +254,16 @@ def documents(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.sql(DOCUMENTS[name].format(**_names(sf_dir)))
 
 
+def nested_documents(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Documents with their bodies rewritten; what they say is the same."""
+    body = F.col("body")
+    for old, new in NESTED[name]:
+        body = F.replace(body, F.lit(old), F.lit(new))
+    before, after = _LAYOUT
+    return documents(spark, sf_dir, name).withColumn("body", F.when(
+        F.contains("body", F.lit("moved")), F.col("body")).otherwise(F.concat(F.lit(before), body, F.lit(after))))
+
+
 def feed_sql(name: str) -> str:
     """The feed as DuckDB reads it, for use inside an oracle."""
     return FEEDS[name].format(**{t: t for t in TABLES})

@@ -452,6 +452,10 @@ SELECT 'https://www.congress.gov/bill/115/hr/' || CAST(c_custkey AS VARCHAR) ||
   CAST(NULL AS VARCHAR) AS error_msg, CAST(NULL AS VARCHAR) AS ptransform
 FROM (SELECT c_custkey, unnest(range(1, 7)) AS i FROM customer)"""
 
+# nested pages say the same
+for _name in ("house_roster", "house_roll_index", "senate_vote_menu", "bill_search", "bill_details", "cosponsors", "amendment_listing"):
+    ORACLE[f"{_name}_nested"] = ORACLE[f"{_name}_html"]
+
 # ---- feeds -----------------------------------------------------------------------------------
 
 _VOTES = f"""SELECT * REPLACE (CASE WHEN missing AND matches = 1 THEN found ELSE first_name END AS first_name),

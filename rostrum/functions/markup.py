@@ -1,10 +1,19 @@
-"""HTML pieces by pattern, for pages whose layout is known.
+"""HTML elements and texts, as far as extraction needs them.
 
-All functions but :func:`unescape` return markup as it stands.
+A page is cut into the tags of the elements asked for and the markup between them. Each tag's depth is the
+sum of its container's start and end tags before it, and an element reaches from its start tag to the
+next tag of its depth that ends it: its own end tag or, where that may be left out, a tag that HTML lets end
+it. So elements may be nested, and cells, rows, items, paragraphs and links unclosed. An element that
+nothing ends reaches to the end of the markup. Tags in comments, scripts and styles do not count. Sums
+take log n passes, so a page costs n log n in its tags, and the length of each element's markup.
+
+All functions but :func:`unescape` return markup as it stands, NULL for NULL.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
 from html.entities import name2codepoint
 
 from pyspark.sql import Column, DataFrame
@@ -13,17 +22,141 @@ from pyspark.sql import functions as F
 # A value ends at its own kind of quote; one without quotes at white space or the tag's end.
 _VALUE = r"""("[^"]*"|'[^']*'|[^\s"'>]+)"""
 _REFERENCE = r"^(#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);"
+# To the end of a tag: a quoted value may hold what would end it.
+_REST = r"""(?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')?+)*+>"""
+_HIDDEN = r"<!--.*?(?:-->|\z)|<(script|style)(?=[\s>]).*?(?:</\1\s*>|\z)"
+_ANY_TAG = rf"(?is){_HIDDEN}|</?[a-z]{_REST}"
+
+# Elements that hold nothing, and those that end a paragraph.
+_VOID = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr")
+_BLOCKS = ("address", "article", "aside", "blockquote", "div", "dl", "fieldset", "footer", "form", "h1", "h2", "h3",
+           "h4", "h5", "h6", "header", "main", "nav", "ol", "section", "table", "ul")
+_GROUPS = ("tbody", "thead", "tfoot")
+
+
+@dataclass(frozen=True)
+class _Kind:
+    """How elements of a tag end: ``within`` are the containers that hide what is inside them, ``ends`` the
+    tags that end one. ``opens``: the start of a container ends one too."""
+
+    within: tuple[str, ...]
+    ends: tuple[str, ...]
+    opens: bool = False
+
+
+# HTML's elements whose end tags may be left out. Links end where the next one begins.
+_KINDS = {
+    **dict.fromkeys(("td", "th"), _Kind(("table",), ("td", "th", "tr", *_GROUPS))),
+    "tr": _Kind(("table",), ("tr", *_GROUPS)),
+    **dict.fromkeys(_GROUPS, _Kind(("table",), _GROUPS)),
+    "caption": _Kind(("table",), ("caption", "tr", "td", "th", *_GROUPS)),
+    "li": _Kind(("ol", "ul"), ("li",)),
+    "p": _Kind(_BLOCKS, ("p",), opens=True),
+    "a": _Kind((), ("a",)),
+}
+
+
+def let(value: Column, fn: Callable[[Column], Column] | str) -> Column:
+    """``fn`` of a value that is computed once, however often ``fn`` uses it; a text is a lambda in SQL,
+    which takes one call to build instead of one per operation."""
+    made = F.transform(F.array(value), fn) if callable(fn) else F.call_function("transform", F.array(value), F.expr(fn))
+    return F.get(made, F.lit(0))
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _among(values: tuple[str, ...] | list[str]) -> str:
+    return "(" + ", ".join(map(_text, values)) + ")"
 
 
-def blocks(c: Column, tag: str, with_attributes: str = "") -> Column:
-    """Inner markup of every element of a tag that does not hold itself, in page order.
+def _bound(value: str, name: str, body: str) -> str:
+    return f"get(transform(array({value}), {name} -> {body}), 0)"
+
+
+def _sums(steps: str) -> str:
+    """Running sums, in as many passes as the length has binary digits."""
+    passes = "cast(ceil(log2(greatest(size(steps), 1))) AS int)"
+    reach = f"slice(transform(sequence(0, 30), k -> shiftleft(1, k)), 1, {passes})"
+    return _bound(steps, "steps", f"aggregate({reach}, steps, (s, by) -> transform(s, (x, i) -> x + if(i >= by, get(s, i - by), 0)))")
+
+
+def _cut(c: Column, pattern: str) -> Column:
+    """The tags that match, and the markup before, between and after them."""
+    return F.struct(F.regexp_extract_all(c, F.lit(pattern), F.lit(0)).alias("heads"), F.split(c, pattern, -1).alias("texts"))
+
+
+def elements(c: Column, tag: str, with_attributes: str = "") -> Column:
+    """``array<struct<head, inner, depth>>`` of every element of a tag in page order: its start tag, its
+    inner markup, and how many containers of its kind (:data:`_KINDS`, else its own tag) are around it.
 
     ``with_attributes`` is a pattern that the start tag must match.
     """
-    start = rf"<{tag}\b[^>]*?{with_attributes}[^>]*>" if with_attributes else rf"<{tag}\b[^>]*>"
+    kind = _KINDS.get(tag, _Kind((tag,), ()))
+    names = sorted({tag, *kind.within, *kind.ends})
+    opening, closing = _among(kind.within or ("",)), _among(["/" + t for t in kind.within] or ("",))
+    # a container's end tag counts as inside it; its start tag too, unless it ends elements itself
+    own = tag in kind.within
+    shift = f"CASE WHEN m.name IN {closing} THEN {0 if own else 1} WHEN m.name IN {opening} THEN {-1 if own or kind.opens else 0} ELSE 0 END"
+    step = f"CASE WHEN m.name IN {opening} THEN 1 WHEN m.name IN {closing} THEN -1 ELSE 0 END"
+    marks = ("filter(transform(page.heads, (h, i) -> struct(i AS pos, lower(regexp_extract(h, '^<(/?[A-Za-z][A-Za-z0-9]*)', 1)) AS name)), "
+             "m -> m.name NOT IN ('', 'script', 'style'))")
+    events = f"sort_array(transform(marks, (m, k) -> struct(get(sums, k) + {shift} AS depth, m.pos AS pos, m.name AS name)))"
+    reach = ("transform(events, (e, k) -> struct(e.pos AS pos, if(get(events, k + 1).depth = e.depth, get(events, k + 1).pos, size(page.heads)) AS stop, "
+             "e.depth AS depth, e.name AS name))")
+    wanted = f"e.name = {_text(tag)}" + (f" AND get(page.heads, e.pos) RLIKE {_text('(?is)' + with_attributes)}" if with_attributes else "")
+    inner = ("array_join(transform(slice(page.texts, e.pos + 2, e.stop - e.pos), (t, i) -> "
+             "if(i < e.stop - e.pos - 1, concat(t, get(page.heads, e.pos + 1 + i)), t)), '')")
+    found = f"transform(sort_array(filter({reach}, e -> {wanted})), e -> struct(get(page.heads, e.pos) AS head, {inner} AS inner, e.depth AS depth))"
+    body = _bound(marks, "marks", _bound(_sums(f"transform(marks, m -> {step})"), "sums", _bound(events, "events", found)))
+    pattern = rf"(?is){_HIDDEN}|</?(?:{'|'.join(names)})(?=[\s/>]){_REST}"
+    return F.when(c.isNotNull(), let(_cut(c, pattern), f"page -> {body}"))
+
+
+def is_flat(c: Column, tag: str) -> Column:
+    """Whether every element of a tag has its end tag before the next one starts, and no markup is hidden:
+    then elements are what lies between start and end tags, and patterns find them without a tree."""
+    # a pattern over the page could look for an end tag from every start anew, so the order of tags is looked at
+    order = F.array_join(F.regexp_extract_all(c, F.lit(rf"(?i)(</?){tag}(?=[\s/>])"), F.lit(1)), ",")
+    return ~c.rlike("(?i)<!--|<script|<style") & order.rlike("^(?:<,</(?:,<,</)*+)?$")
+
+
+def blocks(c: Column, tag: str, with_attributes: str = "", own: bool = False) -> Column:
+    """Inner markup of every element of a tag, in page order. ``own``: only of those in no container of
+    their kind, such as the rows of a table's markup without the rows of tables inside it."""
+    every = elements(c, tag, with_attributes)
+    if own:
+        every = F.filter(every, lambda e: e["depth"] == 0)
+    found = F.transform(every, lambda e: e["inner"])
+    kind = _KINDS.get(tag, _Kind((tag,), ()))
+    if kind.opens or (own and tag in kind.within):
+        return found
+    flat = is_flat(c, tag)
+    if own and kind.within:
+        flat = flat & ~c.rlike(rf"(?i)<(?:{'|'.join(kind.within)})[\s/>]")
+    return F.when(flat, flat_blocks(c, tag, with_attributes)).otherwise(found)
+
+
+def flat_blocks(c: Column, tag: str, with_attributes: str = "") -> Column:
+    """:func:`blocks` of markup whose elements are known to be flat."""
+    start = rf"<{tag}(?=[\s/>])" + (rf"(?=[^>]*?{with_attributes})" if with_attributes else "") + _REST
     return F.regexp_extract_all(c, F.lit(rf"(?is){start}(.*?)</{tag}\s*>"), 1)
 
 
+def _texts_at_depth_zero(step: str) -> str:
+    """Of a page cut at its tags, the texts outside all elements; ``step`` is what a tag ``h`` adds to the depth."""
+    return _bound(_sums(f"transform(page.heads, h -> {step})"), "sums",
+                  "transform(page.texts, (t, i) -> if(i = 0 OR get(sums, i - 1) <= 0, t, ''))")
+
+
+def outside(c: Column, tag: str) -> Column:
+    """The markup without the elements of a tag that it holds, such as a cell without tables in it."""
+    step = f"CASE WHEN h RLIKE '(?i)^<{tag}' THEN 1 WHEN h RLIKE '^</' THEN -1 ELSE 0 END"
+    kept = let(_cut(c, rf"(?is){_HIDDEN}|</?{tag}(?=[\s/>]){_REST}"), f"page -> array_join({_texts_at_depth_zero(step)}, '')")
+    return F.when(c.rlike("(?i)<" + tag), kept).otherwise(c)
+
+
 def first(array: Column) -> Column:
     return F.get(array, F.lit(0))
 
@@ -66,9 +199,16 @@ def text_nodes(c: Column) -> Column:
 
 def own_text(c: Column) -> Column:
     """The first text of the element itself, before, between or after its children; NULL when there is none."""
+    void = rf"(?i)^<(?:{'|'.join(_VOID)})(?=[\s/>])|/>$|^<!|^<(?:script|style)(?=[\s>])"
+    step = f"CASE WHEN h RLIKE {_text(void)} THEN 0 WHEN h RLIKE '^</' THEN -1 ELSE 1 END"
     before = F.substring_index(c, "<", 1)
-    bare = F.regexp_replace(c, r"(?s)<([A-Za-z][\w-]*)\b[^>]*(?<!/)>.*?</\1\s*>|<[^>]*>", "<")
-    return F.nullif(F.when(before != "", before).otherwise(F.regexp_extract(bare, r"^<*([^<]*)", 1)), F.lit(""))
+    later = let(_cut(c, _ANY_TAG), f"page -> get(filter({_texts_at_depth_zero(step)}, t -> t <> ''), 0)")
+    return F.when(before != "", before).when(F.contains(c, F.lit("<")), later)
+
+
+def cell_text(c: Column) -> Column:
+    """A cell's own text, or all its text where it has only children."""
+    return let(own_text(c), lambda own: F.when(F.btrim(own) != "", own).otherwise(all_text(c)))
 
 
 def all_text(c: Column) -> Column:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rostrum.functions import casts, markup
@@ -58,6 +58,12 @@ def _entries(df: DataFrame, array: Column, name: str, what: str, step: str) -> D
     return listed.filter(F.col(name).isNotNull() | errors.has_errors())
 
 
+def _once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Adds columns that are computed once: no filter or projection above is merged across a generator."""
+    made = F.explode(F.array(F.struct(*[c.alias(name) for name, c in columns.items()]))).alias("extract__once")
+    return df.select("*", made).select(*df.columns, *[F.col(f"extract__once.{name}").alias(name) for name in columns])
+
+
 def _linked(link: str, name: str | None = None) -> Column:
     """A link as an absolute address; NULL where the page has none."""
     found = F.when(F.col(link).isNotNull(), resolve_url(F.col("url"), F.col(link)))
@@ -132,37 +138,51 @@ def house_vote_rows(documents: DataFrame) -> DataFrame:
 
 # ---- HTML ------------------------------------------------------------------------------------
 
+def _linked_rows(body: Column, link: str) -> Column:
+    """The rows of the tables, however deep, whose rows hold a link that matches; the outermost rows where none does.
+
+    A row is its markup without the tables in it, so a row that only lays out a page with tables counts
+    as little as the rows of a table within a cell.
+    """
+    bare = lambda r: F.struct(r["depth"].alias("depth"), markup.outside(r["inner"], "table").alias("own"))
+    tested = lambda r: r.withField("linked", F.exists(markup.links(r["own"]), lambda v: v.rlike(link)))
+    depth, own = (lambda r: r["depth"]), (lambda r: r["own"])
+
+    def chosen(rows: Column) -> Column:
+        linked = F.array_distinct(F.transform(F.filter(rows, lambda r: r["linked"]), depth))
+        depths = markup.let(linked, lambda d: F.when(F.size(d) > 0, d).otherwise(F.array(F.array_min(F.transform(rows, depth)))))
+        return markup.let(depths, lambda at: F.transform(F.filter(rows, lambda r: F.array_contains(at, r["depth"])), own))
+
+    found = markup.let(F.transform(F.transform(markup.elements(body, "tr"), bare), tested), chosen)
+    return F.when(markup.is_flat(body, "table") & markup.is_flat(body, "tr"), markup.flat_blocks(body, "tr")).otherwise(found)
+
+
 def house_roster(docs: DataFrame, run_date: date | str | None = None) -> DataFrame:
     """Tables with a state caption; cells are district, name and party."""
     step = "house_roster"
     day = F.current_date() if run_date is None else F.lit(str(run_date)).cast("date")
+    own_caption = lambda t: markup.first(F.filter(markup.elements(t, "caption"), lambda c: c["depth"] == 0))
     tables = F.coalesce(markup.blocks(F.col("body"), "table", r"class=[\"']table[\"']"),
                         F.array().cast("array<string>"))
-    df = docs.select(*_KEYS, tables.alias("tables"))
+    tables = F.transform(tables, lambda t: F.struct(t.alias("inner"), own_caption(t).alias("caption")))
+    df = _once(docs.select(*_KEYS, "body"), tables=tables).drop("body")
     df = errors.flag(df, F.size("tables") == 0, "page has no table", step)
-    caption_ids = F.transform("tables", lambda t: F.regexp_extract(t, r"(?is)<caption\b[^>]*?\sid\s*=\s*[\"']?([^\"'>\s]*)", 1))
+    caption_ids = F.transform("tables", lambda t: F.coalesce(markup.attribute(t["caption"]["head"], "id"), F.lit("")))
     other = F.forall(caption_ids, lambda c: (c != "") & ~is_state_table(c))
     df = errors.flag(df, (F.size("tables") > 0) & other, "page has no state table", step)
     df = _entries(df, F.col("tables"), "table", "tables", step)
-    caption = markup.first(F.regexp_extract_all("table", F.lit(r"(?is)<caption\b.*?</caption>"), 0))
-    df = df.select(*_KEYS, errors.ERRORS, "table", caption.alias("caption"))
-    df = df.withColumn("caption_id", markup.attribute(F.col("caption"), "id"))
+    df = df.withColumn("caption_id", markup.attribute(F.col("table.caption.head"), "id"))
     df = errors.flag(df, F.col("table").isNotNull() & F.col("caption_id").isNull(),
                      "table has no caption id", step)
     df = df.filter(errors.has_errors() | is_state_table(F.col("caption_id")))
-    df = df.select(
-        *_KEYS, errors.ERRORS,
-        markup.own_text(markup.block(F.col("caption"), "caption")).alias("state"),
-        markup.blocks(F.coalesce(markup.block(F.col("table"), "tbody"), F.col("table")), "tr").alias("rows"),
-    )
-    df = _entries(df, F.col("rows"), "row", "rows in its state table", step)
-    df = df.select(*_KEYS, errors.ERRORS, "state", markup.blocks(F.col("row"), "td").alias("cells"))
-    df = df.select(
-        *_KEYS, errors.ERRORS, "state",
-        markup.own_text(markup.block(F.get("cells", F.lit(1)), "a")).alias("name"),
-        markup.all_text(F.get("cells", F.lit(0))).alias("district"),
-        markup.all_text(F.get("cells", F.lit(2))).alias("party"),
-    )
+    bodies = markup.let(markup.blocks(F.col("table.inner"), "tbody", own=True),
+                        lambda b: F.when(F.size(b) > 0, b).otherwise(F.array("table.inner")))
+    rows = F.flatten(F.transform(bodies, lambda b: markup.blocks(b, "tr", own=True)))
+    df = _once(df, state=markup.own_text(F.col("table.caption.inner")), rows=rows)
+    df = _entries(df.select(*_KEYS, errors.ERRORS, "state", "rows"), F.col("rows"), "row", "rows in its state table", step)
+    df = _once(df, cells=markup.blocks(F.col("row"), "td", own=True))
+    df = _once(df, name=markup.own_text(markup.block(F.get("cells", F.lit(1)), "a")),
+               district=markup.cell_text(F.get("cells", F.lit(0))), party=markup.cell_text(F.get("cells", F.lit(2))))
     df = markup.unescape_columns(df, "name", "district", "party", "state")
     df = errors.flag(df, ~errors.has_errors() & (F.col("name").isNull() | F.col("party").isNull()),
                      "row has no name or party", step)
@@ -178,12 +198,11 @@ def house_roll_index(docs: DataFrame, year: Column | int, run_date: date | str,
     """Links to roll calls and their bills, from the rows after the header."""
     step = "house_roll_index"
     year = F.lit(year) if isinstance(year, int) else year
-    rows = without_header(markup.blocks(F.col("body"), "tr"))
-    df = docs.select(*_KEYS, year.alias("year"), rows.alias("rows"))
+    rows = markup.let(_linked_rows(F.col("body"), "rollnumber"), without_header)
+    df = _once(docs.select(*_KEYS, year.alias("year"), "body"), rows=rows).drop("body")
     df = errors.flag(df, F.col("rows").isNull() | (F.size("rows") == 0), "page has no rows", step)
     df = _entries(df, F.col("rows"), "row", "rows", step)
-    df = df.select(*_KEYS, errors.ERRORS, "year", markup.links(F.col("row")).alias("links"),
-                   markup.text_nodes(F.col("row")).alias("texts"))
+    df = _once(df, links=markup.links(F.col("row")), texts=markup.text_nodes(F.col("row")))
     day = markup.first_matching(F.transform("texts", strip), r"^\d{1,2}-[A-Za-z]{3}$")
     df = df.select(
         *_KEYS, errors.ERRORS, "year", day.alias("day"),
@@ -214,19 +233,17 @@ def senate_vote_menu(docs: DataFrame, year: Column | int, run_date: date | str,
     """Links to roll calls with their day, from the rows of the session's menu."""
     step = "senate_vote_menu"
     year = F.lit(year) if isinstance(year, int) else year
-    df = docs.select(*_KEYS, year.alias("year"), markup.blocks(F.col("body"), "tr").alias("rows"))
+    df = _once(docs.select(*_KEYS, year.alias("year"), "body"), rows=_linked_rows(F.col("body"), "vote=")).drop("body")
     df = errors.flag(df, F.col("rows").isNull() | (F.size("rows") == 0), "page has no rows", step)
     df = _entries(df, F.col("rows"), "row", "rows", step)
-    df = df.select(*_KEYS, errors.ERRORS, "year", markup.links(F.col("row")).alias("links"),
-                   markup.blocks(F.col("row"), "td").alias("cells"))
+    df = _once(df, links=markup.links(F.col("row")), cells=markup.blocks(F.col("row"), "td"))
     # a row without cells is a header
     df = df.filter(errors.has_errors() | (F.size("cells") > 0))
-    df = df.select(
-        *_KEYS, errors.ERRORS, "year", markup.first_matching(F.col("links"), "vote=").alias("vote_url"),
-        markup.all_text(F.try_element_at("cells", F.lit(-1))).alias("day"),
-    )
+    df = _once(df, vote_url=markup.first_matching(F.col("links"), "vote="),
+               day=markup.unescape(markup.cell_text(F.try_element_at("cells", F.lit(-1)))))
+    df = df.select(*_KEYS, errors.ERRORS, "year", "vote_url", "day")
     df = errors.flag(df, ~errors.has_errors() & F.col("vote_url").isNull(), "row has no vote link", step)
-    df = markup.unescape_columns(df, "vote_url", "day")
+    df = markup.unescape_columns(df, "vote_url")
     day = transliterate(F.col("day"))
     df = df.select(
         *_KEYS, errors.ERRORS, _linked("vote_url"),
@@ -249,7 +266,7 @@ def bill_search(docs: DataFrame) -> DataFrame:
     df = errors.with_errors(docs.select(*_KEYS, "body"))
     items = markup.blocks(F.col("body"), "li", r"class=[\"']expanded[\"']")
     step = "bill_search"
-    df = _entries(df.select(*_KEYS, errors.ERRORS, items.alias("items")), F.col("items"), "item", "bills", step)
+    df = _entries(_once(df, items=items).drop("body"), F.col("items"), "item", "bills", step)
     texts = F.flatten(F.transform(
         markup.blocks(F.col("item"), "span", r"class=[\"']result-item[\"']"), markup.text_nodes))
     introduced = markup.first_matching(texts, "(Introduced|Submitted)")
@@ -273,21 +290,18 @@ _FACTS = r"class=[\"']standard01[\"']"
 def bill_details(docs: DataFrame) -> DataFrame:
     """Number, title, sponsor and summary of a bill page."""
     step = "bill_details"
-    df = errors.with_errors(docs.select(
-        *_KEYS, "body",
-        markup.own_text(markup.block(F.col("body"), "h1", _LEGEND)).alias("heading"),
-        markup.block(F.col("body"), "table", _FACTS).alias("facts"),
-    ))
-    people = F.transform(markup.blocks(F.col("facts"), "a"), markup.own_text)
-    df = df.select(
-        *_KEYS, errors.ERRORS, "heading",
-        markup.own_text(markup.block(F.col("facts"), "td")).alias("subtitle"),
-        markup.first_matching(people, r"^.*\[.*\]$").alias("sponsor"),
-        markup.own_text(markup.block(F.regexp_extract(
-            "body", r"(?is)<div\b[^>]*?id=[\"']bill-summary[\"'][^>]*>(.*)$", 1), "p")).alias("bill_summary"),
-        markup.attribute(markup.first(F.regexp_extract_all("body", F.lit(
-            r"(?is)<a\b[^>]*>[^<]*Cosponsors"), 0)), "href").alias("cosponsors"),
-    )
+    body = F.col("body")
+    df = _once(errors.with_errors(docs.select(*_KEYS, "body")),
+               heading=markup.own_text(markup.block(body, "h1", _LEGEND)),
+               facts=markup.blocks(markup.block(body, "table", _FACTS), "td", own=True),
+               summaries=markup.blocks(markup.block(body, "div", r"\sid=[\"']bill-summary[\"']"), "p", own=True),
+               cosponsors=F.regexp_substr(markup.without_comments(body), F.lit(r"(?is)<a\b[^>]*>[^<]*Cosponsors")))
+    texts = lambda parts: F.transform(parts, markup.own_text)
+    people = F.flatten(F.transform("facts", lambda cell: texts(markup.blocks(markup.outside(cell, "table"), "a"))))
+    some = lambda parts: markup.first(F.filter(texts(parts), lambda t: t.isNotNull()))
+    df = _once(df, subtitle=some(F.col("facts")), sponsor=markup.first_matching(people, r"^.*\[.*\]$"),
+               bill_summary=some(F.col("summaries")))
+    df = df.withColumn("cosponsors", markup.attribute(F.col("cosponsors"), "href"))
     df = markup.unescape_columns(df, "heading", "subtitle", "sponsor", "bill_summary", "cosponsors")
     bill, sponsor = parse_bill(F.col("heading")), parse_politician(F.col("sponsor"))
     df = df.select(
@@ -306,9 +320,9 @@ def cosponsors(docs: DataFrame) -> DataFrame:
     """One row per cosponsor, with the bill of the page."""
     step = "cosponsors"
     table = markup.block(F.col("body"), "table", r"class\s?=\s?[\"']item_table[\"']")
-    body = F.coalesce(markup.block(table, "tbody"), table)
-    df = docs.select(*_KEYS, markup.own_text(markup.block(F.col("body"), "h1", _LEGEND)).alias("heading"),
-                     F.transform(markup.blocks(body, "a"), markup.own_text).alias("people"))
+    people = markup.let(markup.outside(table, "table"), lambda own: F.transform(
+        markup.blocks(F.coalesce(markup.block(own, "tbody"), own), "a"), markup.own_text))
+    df = _once(docs.select(*_KEYS, "body"), heading=markup.own_text(markup.block(F.col("body"), "h1", _LEGEND)), people=people).drop("body")
     bill = parse_bill(F.col("heading"))
     df = markup.unescape_columns(df, "heading")
     df = errors.flag(df.withColumns({"bill_id": bill["bill_id"], "amdt_id": bill["amdt_id"]}),
@@ -325,8 +339,8 @@ def cosponsors(docs: DataFrame) -> DataFrame:
     return df.drop("person")
 
 
-def amendment_listing(docs: DataFrame, page_size: int = 100) -> DataFrame:
-    """Amendments of a bill with their number in the whole listing.
+def amendment_pages(docs: DataFrame) -> DataFrame:
+    """One row per page of a bill's amendments: ``bill_url, page, heads, errors``, the headings as markup.
 
     The page number is in the address; the first page has none.
     """
@@ -335,10 +349,34 @@ def amendment_listing(docs: DataFrame, page_size: int = 100) -> DataFrame:
     heads = F.transform(items, lambda i: markup.block(i, "span", r"class=[\"']result-heading amendment-heading[\"']"))
     # entries of another kind have no heading and no number
     heads = F.coalesce(F.filter(heads, lambda h: h.isNotNull()), F.array().cast("array<string>"))
-    listing = docs.select(F.regexp_replace("url", r"[?&]page=\d+", "").alias("bill_url"), page.alias("page"), heads.alias("heads"))
-    listing = errors.flag(listing, F.size("heads") == 0, "document has no amendments", "amendment_listing")
-    listing = listing.select("bill_url", "page", errors.ERRORS, F.posexplode_outer("heads").alias("pos", "heading"))
+    pages = docs.select(F.regexp_replace("url", r"[?&]page=\d+", "").alias("bill_url"), page.alias("page"), "body")
+    pages = _once(pages, heads=heads).drop("body")
+    return errors.flag(pages, F.size("heads") == 0, "document has no amendments", "amendment_listing")
+
+
+def amendment_listing(docs: DataFrame) -> DataFrame:
+    """Amendments of a bill with their number in the whole listing: their place on their page, after all
+    entries of the bill's earlier pages, however many each holds.
+
+    A page that landed several times counts once. Where an earlier page is missing, or one
+    landed with different entries, numbers are unknown: such rows have none, and an error. One shuffle, by bill.
+    """
+    step = "amendment_listing"
+    pages = amendment_pages(docs).groupBy("bill_url", "page").agg(
+        F.collect_set("heads").alias("versions"), F.flatten(F.collect_list(errors.ERRORS)).alias("all_errors"))
+    versions = F.filter("versions", lambda v: F.size(v) > 0)
+    sole, some = F.size(versions) == 1, F.size(versions) > 0
+    pages = pages.select("bill_url", "page", F.when(some, F.get(versions, F.lit(0))).alias("heads"), sole.alias("sole"),
+                         F.when(some, F.array().cast(pages.schema["all_errors"].dataType)).otherwise(F.slice("all_errors", 1, 1)).alias(errors.ERRORS),
+                         F.explode(F.when(some, versions).otherwise(F.array(F.array().cast("array<string>")))).alias("version"))
+    earlier = Window.partitionBy("bill_url").orderBy("page").rangeBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum(F.when(F.col("sole"), F.size("heads"))).over(earlier), F.lit(0))
+    listed = F.count_if("sole").over(earlier)
+    known = pages.withColumns({"before": before, "known": F.col("sole") & (listed == F.col("page") - 1)})
+    flagged = errors.flag(known, F.col("sole") & ~F.col("known"), "an earlier page is missing", step)
+    flagged = errors.flag(flagged, (F.size("version") > 0) & ~F.col("sole"), "page landed with different entries", step)
+    listing = flagged.select("bill_url", "before", "known", errors.ERRORS, F.posexplode_outer("version").alias("pos", "heading"))
     listing = listing.select(
-        "bill_url", ((F.col("page") - 1) * page_size + F.col("pos") + 1).alias("ordinal"),
+        "bill_url", F.when(F.col("known"), F.col("before") + F.col("pos") + 1).cast("int").alias("ordinal"),
         markup.own_text(markup.block(F.col("heading"), "a")).alias("amdt_id"), errors.ERRORS)
     return markup.unescape_columns(listing, "amdt_id").withColumn("amdt_id", clean_bill(F.col("amdt_id")))

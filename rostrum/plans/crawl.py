@@ -43,14 +43,14 @@ def resolve_amendments(votes: DataFrame, listing: DataFrame,
 
 
 def house_votes(documents: DataFrame, index: DataFrame, listings: DataFrame,
-                page_size: int = 100, broadcast_limit: int = BROADCAST_LIMIT) -> DataFrame:
+                broadcast_limit: int = BROADCAST_LIMIT) -> DataFrame:
     """House votes with amendment ids, from roll calls, the extracted index and amendment pages.
 
     The joins run on roll calls, hundreds of times fewer than votes; the votes are exploded last.
     What is extracted from the other pages is stored first, since it is read more than once.
     """
     index = stored(index.select("vote_url", "bill_url"), "roll-index")
-    listing = extract.amendment_listing(listings, page_size)
+    listing = extract.amendment_listing(listings)
     listing = stored(errors.clean_rows(listing), "amendments")
     calls = carry_bill_url(extract.house_vote_documents(documents), index, broadcast_limit)
     calls = resolve_amendments(calls, listing, broadcast_limit)

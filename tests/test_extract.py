@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import functions as F
 
 from rostrum_testing import rows
+from rostrum.functions import markup
 from rostrum.operators import extract
 from rostrum.plans import crawl
 from rostrum.schemas import DOCUMENT
@@ -119,3 +122,101 @@ def test_rows_without_links_or_captions(spark):
     page = "<table class='table'><caption>Ohio</caption><tbody><tr><td>1</td><td><a>A, B</a></td><td>R</td></tr></tbody></table>"
     found = extract.house_roster(docs(spark, page), "2018-10-24")
     assert rows(found, "last_name", "errors.error_msg") == [("A", ["table has no caption id"])]
+
+
+# ---- nested and unclosed elements ------------------------------------------------------------
+
+def value(spark, html, column):
+    return spark.createDataFrame([(html,)], "c string").select(column(F.col("c")).alias("x")).first().x
+
+
+PAGE = "<table id=1><tr><td>a<table id=2><tr><td>b<td>c</table>after</td><td>d<tr><td>e</table><table><td>z"
+
+
+def test_elements_reach_to_what_ends_them(spark):
+    cell = "a<table id=2><tr><td>b<td>c</table>after"
+    cases = [
+        (PAGE, "table", False, [f"<tr><td>{cell}</td><td>d<tr><td>e", "<tr><td>b<td>c", "<td>z"]),
+        (PAGE, "td", False, [cell, "b", "c", "d", "e", "z"]),
+        (PAGE, "tr", False, [f"<td>{cell}</td><td>d", "<td>b<td>c", "<td>e"]),
+        (f"<tr><td>{cell}</td><td>d<tr><td>e", "tr", True, [f"<td>{cell}</td><td>d", "<td>e"]),
+        (f"<td>{cell}</td><td>d", "td", True, [cell, "d"]),
+        ("<ul><li>1<ul><li>x<li>y</ul>2<li>3</ul>", "li", False, ["1<ul><li>x<li>y</ul>2", "x", "y", "3"]),
+        ("<ul><li>1<ul><li>x<li>y</ul>2<li>3</ul>", "li", True, []),
+        ("<p>one<p>two<div><p>in</p></div>x<p>out", "p", False, ["one", "two", "in", "out"]),
+        ("<p>one<p>two<div><p>in</p></div>x<p>out", "p", True, ["one", "two", "out"]),
+        ("<div>n<!-- <div> --></div><script>'<div>'</script><div a='x>y'>k</div><div title=5\">z", "div", False, ["n<!-- <div> -->", "k", "z"]),
+        ("</div><div>a<div>b</div></div></div><div>c</div>", "div", False, ["a<div>b</div>", "b", "c"]),
+        ("<SPAN\nid=1>a<span>b</SPAN >c</span><spanner>d</spanner>", "span", False, ["a<span>b</SPAN >c", "b"]),
+        ("no tags", "td", False, []), ("", "td", False, []), (None, "td", False, None),
+    ]
+    for html, tag, own, expected in cases:
+        assert value(spark, html, lambda c: markup.blocks(c, tag, own=own)) == expected, (html, tag)
+
+
+def test_tree_agrees_with_patterns_on_flat_pages(spark):
+    html = "<tr><td class='x'>1</td><TD>2<br></TD ></tr>\n<tr><td class=x>3</td><td></td></tr>"
+    for tag, attributes in (("td", ""), ("td", "class="), ("tr", ""), ("th", "")):
+        tree = value(spark, html, lambda c: F.transform(markup.elements(c, tag, attributes), lambda e: e["inner"]))
+        assert tree == value(spark, html, lambda c: markup.flat_blocks(c, tag, attributes)) == value(spark, html, lambda c: markup.blocks(c, tag, attributes))
+
+
+def test_own_text_and_outside(spark):
+    assert value(spark, "x<b>1<b>2</b>3</b>y", markup.own_text) == "x"
+    assert value(spark, "<b>1<b>2</b>3</b>y<br>z", markup.own_text) == "y"
+    assert value(spark, "<b>1</b><img src='a'><!-- <i> -->z", markup.own_text) == "z"
+    assert value(spark, "<b>1</b>", markup.own_text) is None and value(spark, "", markup.own_text) is None
+    assert value(spark, "q<table>1<TABLE>2</table>3</table>y", lambda c: markup.outside(c, "table")) == "qy"
+    assert value(spark, "<b>R</b>", markup.cell_text) == "R" and value(spark, "D<table>x</table>", markup.cell_text) == "D"
+
+
+def test_trees_grow_with_the_page(spark):
+    """Thirty thousand unclosed elements and a thousand nested ones: far beyond what work in the square of the number allows."""
+    deep = "<div>" * 1_000 + "x" + "</div>" * 1_000
+    flat = "<table>" + "<tr><td>a<td>b" * 10_000 + "</table>"
+    start = time.perf_counter()
+    assert value(spark, deep, lambda c: F.size(F.filter(markup.elements(c, "div"), lambda e: e["depth"] < 0))) == 0
+    found = value(spark, flat, lambda c: markup.blocks(c, "td"))
+    assert len(found) == 20_000 and set(found) == {"a", "b"} and time.perf_counter() - start < 120
+
+
+def test_summary_is_bound_to_its_element(spark):
+    head = '<h1 class="legDetail">H.R.5 - T</h1><table class="standard01"><tr><td><a>Rep. Lee, Al [D-MA]</a>Sub</table>'
+    pages = {'<div id="bill-summary"></div><p>Foreign.</p>': None, '<div id="bill-summary"><div><p>In.</p></div></div><p>Foreign.</p>': None,
+             '<div id="bill-summary"><div>x</div><p>Own <i>it</i>.<p>Next.</div><p>Foreign.</p>': "Own ", "": None,
+             '<div><div class=a id="bill-summary"><h3>S</h3><p><b>Bold</b> first.</p></div></div>': " first."}
+    found = extract.bill_details(docs(spark, *[head + p for p in pages]))
+    assert rows(found, "doc_id", "bill_summary", "bill_title") == [(i, s, "TSub") for i, s in enumerate(pages.values())]
+
+
+def listing_page(numbers, n=1):
+    items = "".join(f"<li class='expanded'><span class='result-heading amendment-heading'><a href='x'>A. {i}</a></span></li>" for i in numbers)
+    return "http://c/a?pageSort=asc" + (f"&page={n}" if n > 1 else ""), items
+
+
+def numbered(spark, *pages):
+    df = spark.createDataFrame([(i, url, body) for i, (url, body) in enumerate(pages)], DOCUMENT)
+    return rows(extract.amendment_listing(df), "amdt_id", "ordinal", F.coalesce(F.get("errors", F.lit(0))["error_msg"], F.lit("")))
+
+
+def test_ordinals_over_pages_of_any_size(spark):
+    assert numbered(spark, listing_page((1, 2)), listing_page((3, 4, 5), 2), listing_page((6,), 3)) == [(f"A{i}", i, "") for i in range(1, 7)]
+    # landed twice alike: once
+    assert numbered(spark, listing_page((1, 2)), listing_page((1, 2)), listing_page((3,), 2)) == [(f"A{i}", i, "") for i in range(1, 4)]
+    missing = "an earlier page is missing"
+    assert numbered(spark, listing_page((1,)), listing_page((3,), 3), listing_page((4,), 4)) == sorted(
+        [("A1", 1, ""), ("A3", None, missing), ("A4", None, missing)], key=repr)
+    assert numbered(spark, listing_page((2,), 2)) == [("A2", None, missing)]
+    differ = "page landed with different entries"
+    assert numbered(spark, listing_page((1,)), listing_page((2,)), listing_page((3,), 2)) == sorted(
+        [("A1", None, differ), ("A2", None, differ), ("A3", None, missing)], key=repr)
+    # a page without entries is an error, and what follows has no number
+    assert numbered(spark, listing_page(()), listing_page((1,), 2)) == sorted(
+        [(None, None, "document has no amendments"), ("A1", None, missing)], key=repr)
+
+
+def test_index_rows_within_layout_tables(spark):
+    row = '<tr><td><a href="vote.asp?rollnumber={0}">{0}</a><td>{0}-Dec<table><tr><td>detail</table>'
+    page = "<table><tr><td><a href='/home'>menu</a><td><table><tr><th>Roll" + "".join(map(row.format, (5, 6))) + "</table></table>"
+    found = extract.house_roll_index(docs(spark, page), 2017, "2018-10-24")
+    assert rows(found, F.col("bill_date").cast("string"), F.size("errors")) == [("2017-12-05", 0), ("2017-12-06", 0)]
