@@ -59,9 +59,15 @@ _FORMS = {
 
 
 def parse_date(c: Column, layout: str) -> Column:
-    """NULL for text that does not fit; runs of whitespace count as one space."""
-    text = F.regexp_replace(F.btrim(c), r"\s+", " ")
-    return F.try_to_date(F.when(text.rlike(_FORMS[layout]), text), layout)
+    """NULL for text that does not fit; runs of whitespace count as one space.
+
+    Most texts fit as they are; only texts with unusual white space are rewritten first.
+    """
+    def read(text: Column) -> Column:
+        return F.try_to_date(F.regexp_substr(text, F.lit(_FORMS[layout])), layout)
+
+    spaced = F.when(c.rlike(r"\s\s|[^\S ]|^ | $"), F.regexp_replace(F.btrim(c), r"\s+", " ")).otherwise(c)
+    return read(spaced)
 
 
 def parse_day_in_year(c: Column, year: Column, layout: str) -> Column:

@@ -122,18 +122,27 @@ def fix_types(df: DataFrame, int_columns: Sequence[str]) -> DataFrame:
     return df
 
 
-def fix_dates(df: DataFrame, date_columns: Sequence[str]) -> DataFrame:
-    """Date columns; a text that is no date flags the row and is kept aside like a bad integer. Missing
-    dates are NULL."""
+def parse_dates(df: DataFrame, date_columns: Sequence[str]) -> DataFrame:
+    """Date columns, their texts kept aside; what cannot be read is NULL until :func:`flag_dates`."""
+    return df.withColumns({
+        **{RAW + name: F.col(name).cast("string") for name in date_columns},
+        **{name: date_column(df, name) for name in date_columns}})
+
+
+def flag_dates(df: DataFrame, date_columns: Sequence[str]) -> DataFrame:
+    """Flags parsed dates whose text is no date. Missing dates are NULL."""
     for name in date_columns:
-        text, day = F.col(name).cast("string"), date_column(df, name)
-        df = errors.with_errors(df).withColumns({RAW + name: text, name: day})
         raw = F.col(RAW + name)
         df = errors.flag(df, F.col(name).isNull() & ~(raw.isNull() | raw.isin("", "None")),
                          F.concat(F.lit("invalid date: '"), raw, F.lit("'")), errors.TYPES)
     return df
 
 
+def fix_dates(df: DataFrame, date_columns: Sequence[str]) -> DataFrame:
+    """Date columns; a text that is no date flags the row and is kept aside like a bad integer."""
+    return flag_dates(parse_dates(df, date_columns), date_columns)
+
+
 def restore_raw(df: DataFrame) -> DataFrame:
     kept = [name for name in df.columns if name.startswith(RAW)]
     return df.withColumns({name[len(RAW):]: F.col(name) for name in kept}).drop(*kept)

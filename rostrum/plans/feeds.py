@@ -52,12 +52,13 @@ def read_dimensions(spark: SparkSession, feed: str, run_date: date | str | None
 # ---- resolving -------------------------------------------------------------------------------
 
 def resolve_votes(df: DataFrame, dims: Dimensions) -> DataFrame:
-    df = project.fix_types(with_errors(df), ["vote_cast"])
+    # dates are parsed once, for the lookup and the table; what is no date is flagged last
+    df = project.parse_dates(project.fix_types(with_errors(df), ["vote_cast"]), ["vote_date"])
     df = lookup.fix_house_first_name(df, dims.house, dims.broadcast_limit)
     df = scrub.scrub_first_name(df)
     df = lookup.fix_nickname(df, dims.nicknames, broadcast_limit=dims.broadcast_limit)
     df = scrub.scrub_last_name(df, keep_suffix=False)
-    return project.fix_none(project.fix_dates(df, ["vote_date"]))
+    return project.fix_none(project.flag_dates(df, ["vote_date"]))
 
 
 def resolve_bills(df: DataFrame, dims: Dimensions) -> DataFrame:
