@@ -564,3 +564,4 @@ SELECT bill_id, amdt_id, 'Kim' AS first_name, replace(last_name, ' Jr.', '') AS
   'on ' || vote_date AS vote_date, chamber, 'invalid date: ''on ' || vote_date || '''' AS error_msg,
   'FixTypesFn' AS ptransform, 'bill_votes' AS script FROM {f("votes")} WHERE bill_id LIKE '%7'"""
 ORACLE["stream_stored_senate"] = ORACLE["senate_clean"]
+ORACLE["landed_votes_split"] = ORACLE["landed_votes"]

@@ -465,6 +465,15 @@ def landed_votes(spark, sf):
     return with_status(csv_feeds.read_feed(spark, path, "bill_votes"))
 
 
+@query
+def landed_votes_split(spark, sf):
+    """The same votes in one file, which is split."""
+    path = shared_dir(spark, "landing")
+    df = feed(spark, sf, "votes").withColumn("last_name", F.concat(F.lit(" "), "last_name", F.lit("\nx ")))
+    csv_feeds.land_feed(df.coalesce(1), "bill_votes", path)
+    return with_status(csv_feeds.read_split_feed(spark, path, "bill_votes"))
+
+
 @query
 def landed_senate(spark, sf):
     path = shared_dir(spark, "landing")

@@ -29,8 +29,9 @@ _ANY_TAG = rf"(?is){_HIDDEN}|</?[a-z]{_REST}"
 
 # Elements that hold nothing, and those that end a paragraph.
 _VOID = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr")
-_BLOCKS = ("address", "article", "aside", "blockquote", "div", "dl", "fieldset", "footer", "form", "h1", "h2", "h3",
-           "h4", "h5", "h6", "header", "main", "nav", "ol", "section", "table", "ul")
+_BLOCKS = ("address", "article", "aside", "blockquote", "div", "dl", "fieldset", "footer", "form", "header", "main", "nav",
+           "ol", "section", "table", "ul")
+_HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
 _GROUPS = ("tbody", "thead", "tfoot")
 
 
@@ -51,7 +52,7 @@ _KINDS = {
     **dict.fromkeys(_GROUPS, _Kind(("table",), _GROUPS)),
     "caption": _Kind(("table",), ("caption", "tr", "td", "th", *_GROUPS)),
     "li": _Kind(("ol", "ul"), ("li",)),
-    "p": _Kind(_BLOCKS, ("p",), opens=True),
+    "p": _Kind(_BLOCKS, ("p", *_HEADINGS), opens=True),
     "a": _Kind((), ("a",)),
 }
 
@@ -125,17 +126,37 @@ def is_flat(c: Column, tag: str) -> Column:
 def blocks(c: Column, tag: str, with_attributes: str = "", own: bool = False) -> Column:
     """Inner markup of every element of a tag, in page order. ``own``: only of those in no container of
     their kind, such as the rows of a table's markup without the rows of tables inside it."""
-    every = elements(c, tag, with_attributes)
-    if own:
-        every = F.filter(every, lambda e: e["depth"] == 0)
-    found = F.transform(every, lambda e: e["inner"])
+    def found(c: Column) -> Column:
+        every = elements(c, tag, with_attributes)
+        if own:
+            every = F.filter(every, lambda e: e["depth"] == 0)
+        return F.when(_is_plain(c, tag, own), flat_blocks(c, tag, with_attributes)).otherwise(F.transform(every, lambda e: e["inner"]))
+
+    return let(c, found)
+
+
+def own_element(c: Column, tag: str) -> Column:
+    """``struct<head, inner>`` of the first element of a tag in no container of its kind, else NULL."""
+    def found(c: Column) -> Column:
+        every = first(F.filter(elements(c, tag), lambda e: e["depth"] == 0))
+        plain = F.struct(F.regexp_substr(c, F.lit(rf"(?is)<{tag}(?=[\s/>]){_REST}")).alias("head"), first(flat_blocks(c, tag)).alias("inner"))
+        tree = F.struct(every["head"].alias("head"), every["inner"].alias("inner"))
+        return let(F.when(_is_plain(c, tag, True), plain).otherwise(tree), lambda e: F.when(e["head"].isNotNull(), e))
+
+    return let(c, found)
+
+
+def _is_plain(c: Column, tag: str, own: bool) -> Column:
+    """Whether patterns find a tag's elements, or its ``own`` ones."""
     kind = _KINDS.get(tag, _Kind((tag,), ()))
-    if kind.opens or (own and tag in kind.within):
-        return found
-    flat = is_flat(c, tag)
-    if own and kind.within:
-        flat = flat & ~c.rlike(rf"(?i)<(?:{'|'.join(kind.within)})[\s/>]")
-    return F.when(flat, flat_blocks(c, tag, with_attributes)).otherwise(found)
+    if own and tag in kind.within:
+        return F.lit(False)
+    plain = is_flat(c, tag)
+    if (own and kind.within) or kind.opens:
+        plain = plain & ~c.rlike(rf"(?i)<(?:{'|'.join(kind.within)})[\s/>]")
+    if kind.opens:
+        plain = plain & ~F.array_join(flat_blocks(c, tag), "").rlike(rf"(?i)</?(?:{'|'.join(kind.ends)})[\s/>]")
+    return plain
 
 
 def flat_blocks(c: Column, tag: str, with_attributes: str = "") -> Column:
@@ -153,8 +174,8 @@ def _texts_at_depth_zero(step: str) -> str:
 def outside(c: Column, tag: str) -> Column:
     """The markup without the elements of a tag that it holds, such as a cell without tables in it."""
     step = f"CASE WHEN h RLIKE '(?i)^<{tag}' THEN 1 WHEN h RLIKE '^</' THEN -1 ELSE 0 END"
-    kept = let(_cut(c, rf"(?is){_HIDDEN}|</?{tag}(?=[\s/>]){_REST}"), f"page -> array_join({_texts_at_depth_zero(step)}, '')")
-    return F.when(c.rlike("(?i)<" + tag), kept).otherwise(c)
+    kept = lambda c: let(_cut(c, rf"(?is){_HIDDEN}|</?{tag}(?=[\s/>]){_REST}"), f"page -> array_join({_texts_at_depth_zero(step)}, '')")
+    return let(c, lambda c: F.when(c.rlike("(?i)<" + tag), kept(c)).otherwise(c))
 
 
 def first(array: Column) -> Column:
@@ -201,14 +222,19 @@ def own_text(c: Column) -> Column:
     """The first text of the element itself, before, between or after its children; NULL when there is none."""
     void = rf"(?i)^<(?:{'|'.join(_VOID)})(?=[\s/>])|/>$|^<!|^<(?:script|style)(?=[\s>])"
     step = f"CASE WHEN h RLIKE {_text(void)} THEN 0 WHEN h RLIKE '^</' THEN -1 ELSE 1 END"
-    before = F.substring_index(c, "<", 1)
-    later = let(_cut(c, _ANY_TAG), f"page -> get(filter({_texts_at_depth_zero(step)}, t -> t <> ''), 0)")
-    return F.when(before != "", before).when(F.contains(c, F.lit("<")), later)
+    # before all children, or after children that hold nothing but text
+    simple = rf"(?is)^(?:<([a-z][a-z0-9]*)(?=[\s>]){_REST}[^<]*</\1\s*>)*+([^<]+)"
+
+    def found(c: Column) -> Column:
+        later = let(_cut(c, _ANY_TAG), f"page -> get(filter({_texts_at_depth_zero(step)}, t -> t <> ''), 0)")
+        return F.coalesce(F.nullif(F.regexp_extract(c, simple, 2), F.lit("")), F.when(F.contains(c, F.lit("<")), later))
+
+    return let(c, found)
 
 
 def cell_text(c: Column) -> Column:
     """A cell's own text, or all its text where it has only children."""
-    return let(own_text(c), lambda own: F.when(F.btrim(own) != "", own).otherwise(all_text(c)))
+    return let(c, lambda c: let(own_text(c), lambda own: F.when(F.btrim(own) != "", own).otherwise(all_text(c))))
 
 
 def all_text(c: Column) -> Column:

@@ -161,10 +161,9 @@ def house_roster(docs: DataFrame, run_date: date | str | None = None) -> DataFra
     """Tables with a state caption; cells are district, name and party."""
     step = "house_roster"
     day = F.current_date() if run_date is None else F.lit(str(run_date)).cast("date")
-    own_caption = lambda t: markup.first(F.filter(markup.elements(t, "caption"), lambda c: c["depth"] == 0))
     tables = F.coalesce(markup.blocks(F.col("body"), "table", r"class=[\"']table[\"']"),
                         F.array().cast("array<string>"))
-    tables = F.transform(tables, lambda t: F.struct(t.alias("inner"), own_caption(t).alias("caption")))
+    tables = F.transform(tables, lambda t: F.struct(t.alias("inner"), markup.own_element(t, "caption").alias("caption")))
     df = _once(docs.select(*_KEYS, "body"), tables=tables).drop("body")
     df = errors.flag(df, F.size("tables") == 0, "page has no table", step)
     caption_ids = F.transform("tables", lambda t: F.coalesce(markup.attribute(t["caption"]["head"], "id"), F.lit("")))
@@ -293,9 +292,10 @@ def bill_details(docs: DataFrame) -> DataFrame:
     body = F.col("body")
     df = _once(errors.with_errors(docs.select(*_KEYS, "body")),
                heading=markup.own_text(markup.block(body, "h1", _LEGEND)),
-               facts=markup.blocks(markup.block(body, "table", _FACTS), "td", own=True),
-               summaries=markup.blocks(markup.block(body, "div", r"\sid=[\"']bill-summary[\"']"), "p", own=True),
+               facts=markup.block(body, "table", _FACTS),
+               summaries=markup.block(body, "div", r"\sid=[\"']bill-summary[\"']"),
                cosponsors=F.regexp_substr(markup.without_comments(body), F.lit(r"(?is)<a\b[^>]*>[^<]*Cosponsors")))
+    df = df.withColumns({"facts": markup.blocks(F.col("facts"), "td", own=True), "summaries": markup.blocks(F.col("summaries"), "p", own=True)})
     texts = lambda parts: F.transform(parts, markup.own_text)
     people = F.flatten(F.transform("facts", lambda cell: texts(markup.blocks(markup.outside(cell, "table"), "a"))))
     some = lambda parts: markup.first(F.filter(texts(parts), lambda t: t.isNotNull()))

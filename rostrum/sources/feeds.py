@@ -11,6 +11,7 @@ from rostrum.operators import errors
 from rostrum.operators.project import filter_keys
 from rostrum.schemas import CORRUPT, FEEDS, INDEX, csv_schema
 from rostrum.session import shared_dir
+from rostrum.sources.records import read_records
 
 _OPTIONS = {
     "header": "true",
@@ -43,12 +44,18 @@ def house_feed_name(spark: SparkSession, path: str) -> str:
 
 
 def read_feed(spark: SparkSession, path: str, feed: str, multi_line: bool = True) -> DataFrame:
-    """Values may hold line breaks, for which a file is read by one task; landed feeds have many files.
+    """Values may hold line breaks, for which a file is read by one task; landed feeds have many files, and
+    :func:`read_split_feed` splits large ones.
     Without ``multi_line`` a file is split, and its values must lie on one line."""
     reader = spark.read.schema(csv_schema(feed)).options(**_OPTIONS).option("multiLine", multi_line)
     return _split(reader.csv(path), feed)
 
 
+def read_split_feed(spark: SparkSession, path: str, feed: str) -> DataFrame:
+    """The rows of :func:`read_feed`, with line breaks in values, from files of any size: every file is read by many tasks."""
+    return split_lines(read_records(spark, path), F.col("record"), feed)
+
+
 def read_members(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """House members of both layouts, file by file; ``date`` is NULL where the file has none."""
     short, wide = "house_members", "house_members_dated"

@@ -243,3 +243,40 @@ def test_no_row_is_lost(spark, feed, name, wanted):
                             **{w: driver_feed(spark, SF, w) for w in wanted})
     produced, failed = feeds.outputs(feed, source, dims, "2018-10-24")
     assert produced[feeds.TARGETS[feed][0]].count() + failed.count() == source.count()
+
+
+def test_split_files_give_the_rows_of_whole_ones(spark, tmp_path):
+    """Breaks, quotes, commas and CRLF in values, records over several splits, at splits of 1 KB."""
+    import random
+
+    rng = random.Random(3)
+    pieces = ['a', ',', '"', '\n', '\r\n', ' ', 'word ' * 40, 'é', '""', '\n\n', 'None']
+    text = lambda: "".join(rng.choice(pieces) for _ in range(rng.randrange(6)))
+    values = [(f"HR{i}", text(), text(), text() * rng.choice((1, 1, 1, 30)), "F", "L", "D", "S", "u") for i in range(400)]
+
+    def quoted(v):
+        return '"' + v.replace('"', '""') + '"' if set(v) & set(',"\n\r') or v != v.strip() else v
+
+    for ending in ("\n", "\r\n"):
+        lines = [",".join(("", "bill_id", "amdt_id", "bill_title", "bill_summary", "sponsor_fn", "sponsor_ln", "sponsor_party", "sponsor_state", "bill_url"))]
+        lines += [",".join((str(i), *map(quoted, v))) for i, v in enumerate(values)] + ["7,too,few", "", '9,"open to the end\n of the file']
+        folder = tmp_path / f"csv{len(ending)}"
+        folder.mkdir()
+        for k in range(2):
+            (folder / f"{k}.csv").write_bytes(ending.join(lines[:1] + lines[1 + k::2]).encode())
+        whole = with_errors_text(csv_feeds.read_feed(spark, str(folder), "bill_info"))
+        held = {c: spark.conf.get(c) for c in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+        try:
+            for c in held:
+                spark.conf.set(c, "1024")
+            assert spark.read.text(str(folder)).rdd.getNumPartitions() > 100
+            assert with_errors_text(csv_feeds.read_split_feed(spark, str(folder), "bill_info")) == whole and len(whole) > 400
+        finally:
+            for c, v in held.items():
+                spark.conf.set(c, v)
+
+
+def with_errors_text(df):
+    """Good rows as they are, of broken ones that they are broken."""
+    broken = F.size("errors") > 0
+    return rows(df, broken, *[F.when(~broken, F.col(c)) for c in df.columns if c != "errors"])
