@@ -26,6 +26,12 @@ SELECT c_custkey AS member_id,
   c_mktsegment AS district
 FROM {customer}""",
 
+    "foreign_names": """
+SELECT c_custkey AS member_id, CASE c_custkey % 8 WHEN 0 THEN 'Щукин Илья' WHEN 1 THEN 'Παπαδόπουλος' WHEN 2 THEN 'שלום'
+    WHEN 3 THEN 'خالد بن شاكر' WHEN 4 THEN 'きょうとっしょ カッター' WHEN 5 THEN '한국 김' WHEN 6 THEN 'Łukasz Ægir' ELSE 'Плохой Ёж 中' END ||
+  ' ' || CAST(c_custkey AS STRING) AS name
+FROM {customer}""",
+
     "votes": """
 SELECT l_orderkey * 10 + l_linenumber AS vote_id,
   'HR' || CAST(l_partkey AS STRING) AS bill_id,

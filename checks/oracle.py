@@ -565,3 +565,19 @@ SELECT bill_id, amdt_id, 'Kim' AS first_name, replace(last_name, ' Jr.', '') AS
   'FixTypesFn' AS ptransform, 'bill_votes' AS script FROM {f("votes")} WHERE bill_id LIKE '%7'"""
 ORACLE["stream_stored_senate"] = ORACLE["senate_clean"]
 ORACLE["landed_votes_split"] = ORACLE["landed_votes"]
+ORACLE["house_first_name_intervals"] = ORACLE["house_first_name"]
+ORACLE["member_intervals"] = f"""
+WITH days AS (SELECT first_name, last_name, party, state, date, count(*) AS copies FROM {f('house')} GROUP BY ALL),
+marked AS (SELECT *, lag(date) OVER member IS DISTINCT FROM CAST(date - INTERVAL 1 DAY AS DATE) AS starts FROM days
+  WINDOW member AS (PARTITION BY first_name, last_name, party, state, copies ORDER BY date)),
+runs AS (SELECT *, sum(CAST(starts AS INTEGER)) OVER (PARTITION BY first_name, last_name, party, state, copies ORDER BY date) AS run FROM marked)
+SELECT first_name, last_name, party, state, copies, min(date) AS from_date, max(date) AS to_date
+FROM runs GROUP BY first_name, last_name, party, state, copies, run"""
+ORACLE["transliterate_scripts"] = """
+SELECT c_custkey AS member_id, CASE c_custkey % 8 WHEN 0 THEN 'Shchukin Il''ia' WHEN 1 THEN 'Papadopoylos' WHEN 2 THEN 'shlvm'
+    WHEN 3 THEN 'khald bn shakr' WHEN 4 THEN 'kyoutossho katta' WHEN 5 THEN 'hanguk gim' WHEN 6 THEN 'Lukasz AEgir' ELSE 'Plokhoi Ezh 中' END ||
+  ' ' || CAST(c_custkey AS VARCHAR) AS name
+FROM customer"""
+ORACLE["load_repeated"] = f"""
+SELECT first_name, last_name, party, state, district, date, CASE party WHEN 'D' THEN 'first' ELSE 'second' END AS run_id
+FROM ({ORACLE['house_clean']}) WHERE party IN ('D', 'R')"""

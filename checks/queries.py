@@ -102,6 +102,12 @@ def transliterate(spark, sf):
     return read(spark, sf, "documents").select("doc_id", text.transliterate(F.col("text")).alias("text"))
 
 
+@query
+def transliterate_scripts(spark, sf):
+    """Customers under names in seven scripts."""
+    return feed(spark, sf, "foreign_names").select("member_id", text.transliterate(F.col("name")).alias("name"))
+
+
 @query
 def comma_strip(spark, sf):
     df = read(spark, sf, "documents").select("doc_id", "text", "lang", "source")
@@ -301,6 +307,20 @@ def house_first_name_shuffled(spark, sf):
     return _house_lookup(spark, sf, 0)
 
 
+@query
+def house_first_name_intervals(spark, sf):
+    """The same from runs of days, of the days that the votes ask for."""
+    df = feed(spark, sf, "votes").select("vote_id", "first_name", "last_name", "party", "state", "vote_date")
+    intervals = sinks.stored(lookup.validity_intervals(lookup.within_feed(feed(spark, sf, "house"), df)), "intervals")
+    return with_status(lookup.fix_house_first_name_by_interval(df, intervals))
+
+
+@query
+def member_intervals(spark, sf):
+    """The house table as runs of days."""
+    return lookup.validity_intervals(feed(spark, sf, "house"))
+
+
 @query
 def state_map(spark, sf):
     df = lookup.map_state(feed(spark, sf, "members"), feed(spark, sf, "states"))
@@ -575,6 +595,25 @@ def append_table(spark, sf):
     return spark.table(name)
 
 
+@query
+def load_repeated(spark, sf):
+    """Members loaded twice under one load and once under another; the politicians that the tables show."""
+    path = shared_dir(spark, "load")
+    suffix = path.rsplit("-", 1)[1]
+    made = {name: f"{name}_{suffix}" for name in ("house", "politicians")}
+    for name, columns in (("house", TABLES["house"]), ("politicians", TABLES["politicians"])):
+        fields = ", ".join(f"{c} {'DATE' if c == 'date' else 'STRING'}" for c in columns)
+        spark.sql(f"CREATE TABLE {made[name]} ({fields}, run_id STRING, batch_id BIGINT) USING parquet "
+                  f"PARTITIONED BY (run_id, batch_id) LOCATION '{path}/tables/{name}'")
+    members = feed(spark, sf, "members").drop("member_id")
+    known = tables.read_published(spark, made["politicians"], f"{path}/published")
+    for load, party in (("first", "D"), ("first", "D"), ("second", "R")):
+        feeds.load_feed_once("house_members", members.filter(F.col("party") == party), feeds.Dimensions(
+            nicknames=feed(spark, sf, "nicknames"), states=feed(spark, sf, "states"), politicians=known), load, path, f"{path}/errors",
+            RUN_DATE, targets=made)
+    return tables.read_published(spark, made["house"], f"{path}/published").drop("batch_id")
+
+
 @query
 def error_csv(spark, sf):
     path = shared_dir(spark, "errors")

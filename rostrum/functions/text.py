@@ -38,12 +38,47 @@ def blank_to_null(c: Column) -> Column:
     return F.nullif(c, F.lit(""))
 
 
+# Letters of other scripts, by the romanizations of ALA-LC (Cyrillic, Hebrew, Arabic without marks),
+# ISO 843 (Greek) and Hepburn (kana), in ASCII.
+_CYRILLIC = dict(zip("абвгдежзийклмнопрстуфхцчшщъыьэюяіїєґёўјљњћђџ", (
+    "a b v g d e zh z i i k l m n o p r s t u f kh ts ch sh shch ' y ' e iu ia i i ie g e u j lj nj c dj dz").split()))
+_GREEK = dict(zip("αβγδεζηθικλμνξοπρσςτυφχψω", "a v g d e z i th i k l m n x o p r s s t y f ch ps o".split()))
+_HEBREW = dict(zip("אבגדהוזחטיכךלמםנןסעפףצץקרשת", "' b g d h v z h t y k k l m m n n s ' p p ts ts k r sh t".split()))
+_ARABIC = dict(zip("ابتثجحخدذرزسشصضطظعغفقكلمنهويىةءپچژگ", (
+    "a b t th j h kh d dh r z s sh s d t z ' gh f q k l m n h w y a h ' p ch zh g").split()))
+_KANA = {"": "あいうえお", "k": "かきくけこ", "g": "がぎぐげご", "s": "さしすせそ", "z": "ざじずぜぞ", "t": "たちつてと", "d": "だぢづでど",
+         "n": "なにぬねの", "h": "はひふへほ", "b": "ばびぶべぼ", "p": "ぱぴぷぺぽ", "m": "まみむめも", "r": "らりるれろ"}
+_KANA_OTHERS = {"し": "shi", "ち": "chi", "つ": "tsu", "ふ": "fu", "じ": "ji", "ぢ": "ji", "づ": "zu", "や": "ya", "ゆ": "yu", "よ": "yo", "わ": "wa",
+                "を": "o", "ん": "n", "ゔ": "vu", "ゃ": "+ya", "ゅ": "+yu", "ょ": "+yo", "っ": "+", "ー": ""}
+# Hangul's initial, middle and final letters, by the Revised Romanization.
+_HANGUL = ("g kk n d tt r m b pp s ss - j jj ch k t p h".split(),
+           "a ae ya yae eo e yeo ye o wa wae oe yo u wo we wi yu eu ui i".split(),
+           "- k k k n n n t l k m l l l p l m p p t t ng t t k t p t".split())
+#: Stands before what a small kana sign gives until its neighbours are known; of no script.
+_SMALL = "\ue000"
+_OTHER_SCRIPTS = r"[\u0370-\u052F\u0590-\u06FF\u1F00-\u1FFF\u3041-\u30FC\uAC00-\uD7A3]"
+
+
+def _letters() -> dict[str, str]:
+    """Every letter of the scripts above with its ASCII form: upper case, kana of both kinds, digits and marks too."""
+    table = {**_CYRILLIC, **_GREEK, **_HEBREW, **_ARABIC}
+    table.update({a.upper(): x.capitalize() for a, x in {**_CYRILLIC, **_GREEK}.items() if a != "ς"})
+    kana = {sign: row + vowel for row, signs in _KANA.items() for sign, vowel in zip(signs, "aiueo")} | _KANA_OTHERS
+    kana = {sign: x.replace("+", _SMALL) for sign, x in kana.items()}
+    table.update(kana)
+    table.update({chr(ord(sign) + 0x60): x for sign, x in kana.items() if sign != "ー"})
+    table.update({chr(0x660 + n): str(n) for n in range(10)})
+    table.update({chr(code): "" for code in (*range(0x591, 0x5C8), *range(0x64B, 0x653), 0x640) if unicodedata.category(chr(code)) in ("Mn", "Lm")})
+    return table
+
+
 def _accent_table() -> tuple[str, str]:
-    """Accented Latin letters to their base letter, by canonical decomposition; marks to nothing."""
+    """Accented letters to their base letter, by canonical decomposition; marks to nothing."""
     source, target = [], []
-    for code in (*range(0xC0, 0x250), *range(0x1E00, 0x1F00)):
+    letters = _letters()
+    for code in (*range(0xC0, 0x250), *range(0x1E00, 0x1F00), *range(0x370, 0x530), *range(0x620, 0x6D4), *range(0x1F00, 0x2000)):
         base = unicodedata.normalize("NFD", chr(code))[0]
-        if base != chr(code) and base.isascii():
+        if base != chr(code) and chr(code) not in letters and (base.isascii() or base in letters):
             source.append(chr(code))
             target.append(base)
     source.extend(SINGLES)
@@ -55,13 +90,29 @@ def _accent_table() -> tuple[str, str]:
 _ACCENTED, _PLAIN = _accent_table()
 
 
+def _romanized(c: Column) -> Column:
+    """Letters by table, Hangul syllables by their place in the code, kana's small signs by their neighbours."""
+    quoted = lambda x: "'" + x.replace("'", "\\'") + "'"
+    table = "map(" + ", ".join(f"{quoted(a)}, {quoted(x)}" for a, x in _letters().items()) + ")"
+    first, middle, last = ("array(" + ", ".join(quoted(x.replace("-", "")) for x in part) + ")" for part in _HANGUL)
+    n = "(ascii(ch) - 44032)"
+    syllable = f"concat(get({first}, {n} DIV 588), get({middle}, ({n} % 588) DIV 28), get({last}, {n} % 28))"
+    one = f"CASE WHEN ascii(ch) BETWEEN 44032 AND 55203 THEN {syllable} ELSE coalesce(try_element_at({table}, ch), ch) END"
+    text = F.array_join(F.call_function("transform", F.split(c, ""), F.expr(f"ch -> {one}")), "")
+    text = F.regexp_replace(F.regexp_replace(text, f"(sh|ch|j)i{_SMALL}y", "$1"), f"i{_SMALL}y", "y")
+    text = F.regexp_replace(F.regexp_replace(text, f"{_SMALL}(?=ch)", "t"), f"{_SMALL}([a-z])", "$1$1")
+    return F.replace(text, F.lit(_SMALL), F.lit(""))
+
+
 def transliterate(c: Column) -> Column:
-    """Latin script to ASCII. Other scripts are left alone."""
+    """Latin, Cyrillic, Greek, Hebrew, Arabic, kana and Hangul to ASCII. Other scripts, such as Chinese
+    characters and those of India and South-East Asia, are left alone."""
     out = F.translate(c, _ACCENTED, _PLAIN)
     for letter, ascii_form in EXPANSIONS.items():
         out = F.replace(out, F.lit(letter), F.lit(ascii_form))
-    # pure-ASCII values (one byte per character) need no table walk
-    return F.when(F.octet_length(c) == F.char_length(c), c).otherwise(out)
+    # pure-ASCII values (one byte per character) need no table walk, others only that of their scripts
+    return F.when(F.octet_length(c) == F.char_length(c), c) \
+        .when(c.rlike(_OTHER_SCRIPTS), _romanized(out)).otherwise(out)
 
 
 def drop_commas(c: Column) -> Column:

@@ -15,7 +15,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rostrum.functions.casts import date_column
@@ -126,6 +126,11 @@ def fix_house_first_name(df: DataFrame, house: DataFrame,
         "state": "state",
         "date": date_column(df, "vote_date"),
     }, "first_name", broadcast_limit)
+    return _fill_first_name(df, missing)
+
+
+def _fill_first_name(df: DataFrame, missing: Column) -> DataFrame:
+    """Decide on the number of matches of rows whose first name is missing."""
     # Messages of the error branch.
     message = (
         F.when(F.col(MATCHES) > 1,
@@ -137,6 +142,71 @@ def fix_house_first_name(df: DataFrame, house: DataFrame,
     return _done(df.withColumn("first_name", filled))
 
 
+# ---- validity intervals ----------------------------------------------------------------------
+
+MEMBER = ("last_name", "party", "state")
+#: Days per bucket of the interval lookup: an interval is filed once per bucket that it touches.
+BUCKET_DAYS = 64
+
+
+def validity_intervals(house: DataFrame) -> DataFrame:
+    """``first_name, last_name, party, state, copies, from_date, to_date``: the house table's rows of a member per
+    day as runs of days, on each of which the member has ``copies`` rows.
+
+    Two shuffles: days are counted, then numbered within their member and count; the difference of day and
+    number is the same throughout a run. Rows without a name, party, state or date can match nothing and are left out.
+    """
+    member = ["first_name", *MEMBER]
+    rows = house.select(*member, date_column(house, "date").alias("date")).dropna(subset=[*MEMBER, "date"])
+    days = rows.groupBy(*member, "date").agg(F.count(F.lit(1)).alias("copies"))
+    nth = F.row_number().over(Window.partitionBy(*member, "copies").orderBy("date"))
+    runs = days.withColumn("run", F.date_sub("date", nth))
+    return runs.groupBy(*member, "copies", "run").agg(F.min("date").alias("from_date"), F.max("date").alias("to_date")).drop("run")
+
+
+def _bucket(day: Column) -> Column:
+    return F.floor(F.unix_date(day) / BUCKET_DAYS).cast("int")
+
+
+def in_buckets(intervals: DataFrame) -> DataFrame:
+    return intervals.withColumn("bucket", F.explode(F.sequence(_bucket(F.col("from_date")), _bucket(F.col("to_date")))))
+
+
+def filed_intervals(intervals: DataFrame) -> DataFrame:
+    """One row per member key and bucket of days, with the intervals that touch the bucket: what a feed's
+    row is joined to, so that it stays one row."""
+    interval = F.struct("from_date", "to_date", "copies", "first_name")
+    return in_buckets(intervals).groupBy(*MEMBER, "bucket").agg(F.collect_list(interval).alias("intervals"))
+
+
+def within_feed(house: DataFrame, df: DataFrame, day: str = "vote_date") -> DataFrame:
+    """The house rows of the days that a feed asks for, from the first to the last: the bounds are
+    values, so they reach the scan and leave out files and partitions of other days."""
+    first, last = df.agg(F.min(date_column(df, day)), F.max(date_column(df, day))).first()
+    days = date_column(house, "date")
+    return house.filter(days.between(F.lit(first), F.lit(last)) if first is not None else F.lit(False))
+
+
+def fix_house_first_name_by_interval(df: DataFrame, intervals: DataFrame,
+                                     broadcast_limit: int = BROADCAST_LIMIT) -> DataFrame:
+    """:func:`fix_house_first_name` from ``validity_intervals``: the same rows and errors from a dimension with a
+    row per run of days instead of one per day."""
+    missing = F.col("first_name").isNull() | F.col("first_name").isin("", "None")
+    day = date_column(df, "vote_date")
+    keys = {"lookup__last": F.when(missing, F.col("last_name")), "lookup__party": F.col("party"), "lookup__state": F.col("state"),
+            "lookup__bucket": _bucket(day)}
+    filed = filed_intervals(intervals)
+    filed = filed.select(*[F.col(c).alias(k) for k, c in zip(keys, (*MEMBER, "bucket"))], F.col("intervals").alias("lookup__intervals"))
+    small = fits_broadcast(in_buckets(intervals), broadcast_limit)
+    joined = keyed_join(df.withColumns({**keys, "lookup__day": day}), filed, list(keys), "left", small)
+    valid = F.filter("lookup__intervals", lambda i: F.col("lookup__day").between(i["from_date"], i["to_date"]))
+    joined = joined.withColumn("lookup__intervals", valid)
+    matches = F.aggregate("lookup__intervals", F.lit(0).cast("bigint"), lambda n, i: n + i["copies"])
+    found = F.array_min(F.transform("lookup__intervals", lambda i: i["first_name"]))
+    joined = joined.withColumns({MATCHES: F.nullif(matches, F.lit(0)), FOUND: found})
+    return _fill_first_name(joined.drop(*keys, "lookup__day", "lookup__intervals"), missing)
+
+
 def map_state(df: DataFrame, states: DataFrame, broadcast_limit: int = BROADCAST_LIMIT) -> DataFrame:
     """State names become initials; unknown and ambiguous names are errors."""
     df = count_matches(df, states, {"state": "state"}, "initials", broadcast_limit)

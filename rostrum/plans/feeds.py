@@ -6,8 +6,10 @@ plain DataFrames, so batch and micro-batch runs share them.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 from datetime import date
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,8 +19,9 @@ from rostrum.operators import lookup, project, scrub
 from rostrum.operators.errors import Branches, split_errors, with_errors
 from rostrum.operators.lookup import BROADCAST_LIMIT
 from rostrum.schemas import TABLES
-from rostrum.sources.sinks import stage, staged_branches, write_error_csv
-from rostrum.sources.tables import append_to_table, read_dimension
+from rostrum.sources.feeds import CSV_WRITE
+from rostrum.sources.sinks import error_record, stage, staged_branches, write_error_csv
+from rostrum.sources.tables import append_to_table, is_published, path_exists, publish, read_dimension, write_batch_rows
 
 
 @dataclass(frozen=True)
@@ -184,3 +187,32 @@ def load_feed(feed: str, df: DataFrame, dims: Dimensions, error_path: str,
     for table, branch in rows.items():
         append_to_table(branch, table)
     write_error_csv(failed, TARGETS[feed][1], f"{error_path}/{feed}")
+
+
+def load_feed_once(feed: str, df: DataFrame, dims: Dimensions, load_id: str, folder: str, error_path: str,
+                   run_date: date | str | None = None, add_politicians: bool = True,
+                   targets: Mapping[str, str] | None = None) -> None:
+    """A batch run that may fail anywhere and be repeated under its ``load_id``: no row is lost or doubled.
+
+    First every branch is written below ``folder``, once: a repetition takes what is there, so politicians
+    that an earlier attempt stored are not taken for known ones. Then each branch replaces the load's own
+    partition of its table (partitioned by run and batch, like those of streams) and the load's error files.
+    Last, one file in the manifest (``folder/published``) shows the rows of all tables at once to
+    readers of ``read_published``. ``targets`` gives tables of other names. A load that is published already does nothing.
+    """
+    spark = df.sparkSession
+    manifest, root = f"{folder}/published", f"{folder}/loads/{feed}/load={quote(load_id, safe='')}"
+    if is_published(spark, manifest, load_id):
+        return
+    table, columns = TARGETS[feed]
+    names = [table, "politicians"] if add_politicians and table in ("house", "senate") else [table]
+    if not path_exists(spark, f"{root}/prepared/_SUCCESS"):
+        rows, failed = outputs(feed, df, dims, run_date, add_politicians)
+        for name in names:
+            rows[name].write.mode("overwrite").parquet(f"{root}/{name}")
+        error_record(failed, columns).write.mode("overwrite").parquet(f"{root}/errors")
+        spark.range(1).write.mode("overwrite").parquet(f"{root}/prepared")
+    for name in names:
+        write_batch_rows(spark.read.parquet(f"{root}/{name}"), (targets or {}).get(name, name), load_id, 0)
+    spark.read.parquet(f"{root}/errors").write.mode("overwrite").options(**CSV_WRITE).csv(f"{error_path}/{feed}/load={quote(load_id, safe='')}")
+    publish(spark, manifest, load_id)

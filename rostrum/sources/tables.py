@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import quote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,6 +57,31 @@ def write_batch_rows(df: DataFrame, table: str, run: str, batch_id: int) -> None
               args={"run": run, "batch": batch_id}, rows=rows)
 
 
+def publish(spark: SparkSession, manifest: str, run: str) -> None:
+    """Make a load's rows visible, in all tables at once: one small file, which a repetition replaces."""
+    spark.range(1).select(F.lit(run).alias("published")).coalesce(1) \
+        .write.mode("overwrite").parquet(f"{manifest}/load={quote(run, safe='')}")
+
+
+def is_published(spark: SparkSession, manifest: str, run: str) -> bool:
+    return path_exists(spark, f"{manifest}/load={quote(run, safe='')}/_SUCCESS")
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file is there, in whatever store Spark reads."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
+def read_published(spark: SparkSession, table: str, manifest: str) -> DataFrame:
+    """A table's rows of published loads, and those that belong to no load."""
+    rows = spark.table(table)
+    if not path_exists(spark, manifest):
+        return rows.filter(F.col(RUN).isNull())
+    loads = spark.read.schema("published string").parquet(manifest).select(F.col("published").alias(RUN)).distinct()
+    return rows.filter(F.col(RUN).isNull()).unionByName(rows.join(loads, RUN, "left_semi"))
+
+
 def revise_names(politicians: DataFrame, nicknames: DataFrame,
                  broadcast_limit: int = BROADCAST_LIMIT) -> DataFrame:
     """The stored politicians with nicknames replaced; every other row and column as it was."""

@@ -280,3 +280,49 @@ def with_errors_text(df):
     """Good rows as they are, of broken ones that they are broken."""
     broken = F.size("errors") > 0
     return rows(df, broken, *[F.when(~broken, F.col(c)) for c in df.columns if c != "errors"])
+
+
+@pytest.mark.parametrize("stop", ["prepare", "first table", "second table", "errors", "publish", "never"])
+def test_a_load_that_stops_anywhere_can_be_repeated(spark, tmp_path, monkeypatch, stop):
+    """No row is lost or doubled, readers see all tables or none, new politicians stay new."""
+    suffix = "once_" + stop.replace(" ", "_")
+    made = {name: f"{name}_{suffix}" for name in ("senate", "politicians")}
+    for name in made:
+        fields = ", ".join(f"{c} {'DATE' if c == 'date' else 'STRING'}" for c in TABLES[name])
+        spark.sql(f"CREATE TABLE {made[name]} ({fields}, run_id STRING, batch_id BIGINT) USING parquet PARTITIONED BY (run_id, batch_id) LOCATION '{tmp_path}/{name}'")
+    members = spark.createDataFrame([("Al", "Lee", "D", "MA"), ("Kim", "Ng", "R", "OH"), ("Kim", "Ng", "R", "OH")], "first_name string, last_name string, party string, state string")
+    nicknames = spark.createDataFrame([("Bo", "Bob")], "nickname string, full_name string")
+    seen = lambda name: tables.read_published(spark, made[name], f"{tmp_path}/published").count()
+
+    def load():
+        dims = feeds.Dimensions(nicknames, politicians=spark.table(made["politicians"]))
+        feeds.load_feed_once("senate_members", members, dims, "2018/10 a", str(tmp_path), f"{tmp_path}/errors", "2018-10-24", targets=made)
+
+    class Stop(Exception):
+        pass
+
+    def stopping(module, name, at):
+        calls, whole = [], getattr(module, name)
+
+        def run(*args, **kwargs):
+            calls.append(1)
+            if len(calls) == at:
+                raise Stop
+            return whole(*args, **kwargs)
+        monkeypatch.setattr(module, name, run)
+
+    if stop != "never":
+        stopping(feeds, *{"prepare": ("error_record", 1), "first table": ("write_batch_rows", 1), "second table": ("write_batch_rows", 2),
+                          "errors": ("write_batch_rows", 3), "publish": ("publish", 1)}[stop])
+        if stop == "errors":
+            load()
+        else:
+            with pytest.raises(Stop):
+                load()
+            assert seen("senate") == seen("politicians") == 0
+    monkeypatch.undo()
+    load()
+    load()
+    assert seen("senate") == seen("politicians") == 3
+    assert rows(tables.read_published(spark, made["senate"], f"{tmp_path}/published"), "last_name", "run_id") == [("Lee", "2018/10 a"), ("Ng", "2018/10 a"), ("Ng", "2018/10 a")]
+    assert spark.read.option("header", True).csv(f"{tmp_path}/errors/senate_members").count() == 0

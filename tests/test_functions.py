@@ -158,3 +158,16 @@ def test_markup(spark):
     assert one(spark, html, F.size(markup.blocks(F.col("c"), "td"))) == [2]
     assert one(spark, html, markup.block(F.col("c"), "th")) == [None]
     assert one(spark, ["&amp;lt;"], markup.unescape(F.col("c"))) == ["&lt;"]
+
+
+def test_scripts_to_ascii(spark):
+    cases = {
+        "Чайковский, Щусев": "Chaikovskii, Shchusev", "Їжак Ґалаґан": "Izhak Galagan", "Ђорђе Њ": "Djordje Nj", "съезд ель": "s'ezd el'",
+        "Θεόδωρος Ψ": "Theodoros Ps", "ΐώ": "io", "שָׁלוֹם": "shlvm", "مُحَمَّد ٢٠": "mhmd 20", "آب": "ab", "しゃしん": "shashin", "じょうほう": "jouhou", "マッチ": "matchi",
+        "ニッポン": "nippon", "コーヒー": "kohi", "きゃく": "kyaku", "한글": "hangeul", "값 서울": "gap seoul", "中文 हिन्दी": "中文 हिन्दी", "Ünïcödé ß": None, "plain ~ text": "plain ~ text", "": "", None: None,
+    }
+    found = spark.createDataFrame([(k,) for k in cases], "c string").select("c", text.transliterate(F.col("c")).alias("x")).collect()
+    for r in found:
+        assert r.x == cases[r.c] or (r.c is not None and cases[r.c] is None and r.x.isascii()), (r.c, r.x)
+    # a sign of the text's own stays
+    assert spark.createDataFrame([("Юрий ~tilde",)], "c string").select(text.transliterate(F.col("c"))).first()[0] == "Iurii ~tilde"

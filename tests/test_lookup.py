@@ -133,3 +133,29 @@ def test_size_is_measured(spark, nicknames, crowded):
 def test_dates_before_yesterday(spark):
     house = spark.sql("SELECT date'2018-10-01' AS date UNION ALL SELECT date'2018-10-02'")
     assert lookup.house_before(house, "2018-10-03").count() == 1
+
+
+def test_intervals_say_what_days_say(spark, tmp_path):
+    """Gaps, members of one name, repeated rows, missing names and dates, runs over buckets, both ways to join."""
+    import random
+    from datetime import date, timedelta
+
+    rng = random.Random(2)
+    start = date(2018, 1, 1)
+    house = [(f"F{k}", f"L{k % 3}", "D", "MA" if k < 5 else None, start + timedelta(d)) for k in range(6) for d in range(200) if rng.random() < 0.97 and not 80 <= d - k < 90]
+    house += [r for r in house if r[4].day == 7] + [(None, "L1", "D", "MA", start), ("F9", "L1", "D", "MA", None)]
+    house = spark.createDataFrame(house, "first_name string, last_name string, party string, state string, date date").repartition(3)
+    votes = [(rng.choice(("", "None", None, "Kim")), f"L{rng.randrange(4)}", rng.choice("DR"), rng.choice(("MA", None)), str(start + timedelta(rng.randrange(-5, 210)))) for _ in range(400)]
+    votes = spark.createDataFrame([*votes, ("", "L1", "D", "MA", "no day")], "first_name string, last_name string, party string, state string, vote_date string")
+    want = rows(lookup.fix_house_first_name(votes, house))
+    intervals = lookup.validity_intervals(lookup.within_feed(house, votes)).cache()
+    assert intervals.count() * 4 < house.count()
+    for limit in (lookup.BROADCAST_LIMIT, 0):
+        assert rows(lookup.fix_house_first_name_by_interval(votes, intervals, limit)) == want
+    # the feed's days prune the stored table's partitions
+    house.write.partitionBy("date").parquet(str(tmp_path / "house"))
+    few = votes.filter(F.col("vote_date").between("2018-02-01", "2018-02-03"))
+    pruned = lookup.within_feed(spark.read.schema(house.schema).parquet(str(tmp_path / "house")), few)
+    assert "PartitionFilters: [isnotnull(date" in pruned._jdf.queryExecution().executedPlan().toString()
+    assert 0 < pruned.select(F.input_file_name().alias("f")).distinct().count() <= 9
+    assert lookup.within_feed(house, votes.limit(0)).count() == 0
