@@ -581,3 +581,4 @@ FROM customer"""
 ORACLE["load_repeated"] = f"""
 SELECT first_name, last_name, party, state, district, date, CASE party WHEN 'D' THEN 'first' ELSE 'second' END AS run_id
 FROM ({ORACLE['house_clean']}) WHERE party IN ('D', 'R')"""
+ORACLE["stream_redelivered"] = ORACLE["house_clean"]

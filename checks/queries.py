@@ -883,6 +883,20 @@ def stream_house_new(spark, sf):
     return spark.read.parquet(f"{root}/politicians").drop(streams.RUN, streams.BATCH)
 
 
+@query
+def stream_redelivered(spark, sf):
+    """Members whose messages arrive twice, in batches of their own, with a restart before the second delivery."""
+    landed, root, checkpoint = (shared_dir(spark, name) for name in ("messages", "stream", "checkpoint"))
+    members = feed(spark, sf, "members").withColumns({
+        messages.MESSAGE_ID: F.col("member_id"), messages.PUBLISHED: F.concat(F.lit("2018-10-23 10:"), F.lpad((F.col("member_id") % 60).cast("string"), 2, "0"), F.lit(":00"))})
+    for _ in range(2):
+        messages.to_messages(members.drop("member_id")).write.mode("append").parquet(landed)
+        stream = messages.first_deliveries(messages.read_message_stream(spark, landed, files_per_batch=1))
+        streams.stream_feed(streams.message_records(stream, FEEDS["house_members"]), "house_members",
+                            lambda: dims(spark, sf, "states", "politicians"), root, checkpoint, RUN_DATE).awaitTermination()
+    return spark.read.parquet(f"{root}/house").drop(streams.RUN, streams.BATCH)
+
+
 @query
 def stream_bills_clean(spark, sf):
     root = shared_dir(spark, "stream")

@@ -110,3 +110,42 @@ def test_topics(spark):
 def test_topic_values(spark):
     df = spark.createDataFrame([({"topic_name": "t", "x": "1"},)], "m map<string,string>")
     assert df.select(sinks.topic_values(F.col("m"))).first()[0] == {"x": "1"}
+
+
+def test_redelivered_messages_are_stored_once(spark):
+    """Across batches and a restart; messages without an id all stay; what comes after its delay is counted."""
+    landed, root, checkpoint = (shared_dir(spark, x) for x in ("messages", "out", "checkpoint"))
+
+    def send(*sent):
+        made = [(b"x", {"last_name": name, **({"message_id": i} if i else {}), **({"publish_time": t} if t else {})}) for name, i, t in sent]
+        spark.createDataFrame(made, MESSAGE).coalesce(1).write.mode("append").parquet(landed)
+
+    def run():
+        stream = messages.first_deliveries(messages.read_message_stream(spark, landed, files_per_batch=1), "10 minutes")
+        query = streams.message_records(stream, ("last_name",)).drop("errors").writeStream.format("parquet") \
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start(root)
+        query.awaitTermination()
+        return messages.late_messages(query)
+
+    noon = lambda minute: f"2018-10-24 12:{minute:02d}:00"
+    send(("A", "1", noon(0)), ("A", "1", noon(0)), ("B", "2", noon(1)))
+    send(("B", "2", noon(1)), ("C", "3", noon(2)), ("bad time", "4", "noon"), ("bad time", "4", "noon"))
+    assert run() == 0
+    send(("A", "1", noon(0)), ("D", "5", noon(3)), ("C", "3", noon(2)))
+    assert run() == 0
+    seen = lambda: sorted(r[0] for r in spark.read.parquet(root).select("last_name").collect())
+    assert seen() == ["A", "B", "C", "D", "bad time", "bad time"]
+
+
+def test_messages_after_their_delay_are_counted(spark):
+    landed, root, checkpoint = (shared_dir(spark, x) for x in ("messages", "out", "checkpoint"))
+    late = 0
+    for name, i, minute in (("A", "1", 0), ("B", "2", 40), ("C", "3", 41), ("late", "4", 1), ("D", "5", 42)):
+        message = {"last_name": name, "message_id": i, "publish_time": f"2018-10-24 12:{minute:02d}:00"}
+        spark.createDataFrame([(b"x", message)], MESSAGE).coalesce(1).write.mode("append").parquet(landed)
+        stream = messages.first_deliveries(messages.read_message_stream(spark, landed, files_per_batch=1), "10 minutes")
+        query = streams.message_records(stream, ("last_name",)).drop("errors").writeStream.format("parquet") \
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start(root)
+        query.awaitTermination()
+        late += messages.late_messages(query)
+    assert sorted(r[0] for r in spark.read.parquet(root).select("last_name").collect()) == ["A", "B", "C", "D"] and late == 1
