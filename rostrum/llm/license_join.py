@@ -1,6 +1,6 @@
 """License scan: an exact set-similarity join of text blocks with license templates.
 
-Blocks are runs of ``BLOCK_WORDS`` words, each half overlapping the next, so every run of half as many
+Blocks are runs of ``BLOCK_WORDS`` words (more for long templates), each half overlapping the next, so every run of half as many
 words lies in one block. A block matches a template when it contains at least ``CONTAINMENT`` of the
 template's different words. Template words are ordered by the number of documents that have them, over
 all documents, the rarest first. A match needs one of a template's first words in that order (prefix
@@ -27,7 +27,7 @@ from rostrum.sources.sinks import stored
 BLOCK_WORDS = 64
 CONTAINMENT = 0.8
 PHRASES = {"mit": "mit license", "apache": "apache license", "gpl": "general public license"}
-#: Label and words of each template, at most half a block long.
+#: Label and words of each template.
 TEMPLATES = [
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files"),
     ("mit", "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability"),
@@ -121,7 +121,11 @@ def matches(blocks: DataFrame, templates: list[tuple[str, list[int], int]]) -> D
 
 def scan_documents(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, phrases: Mapping[str, str] = PHRASES,
                    containment: float = CONTAINMENT, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """One row per document with its phrase places, labels and the best containment."""
+    """One row per document with its phrase places, labels and the best containment.
+
+    Blocks have ``block_words`` words, or twice those of the longest template, so that each template fits half a block.
+    """
+    block_words = max([block_words, *(2 * len(words_of(text.encode())) for _, text in templates)])
     sets = [(label, set(words_of(text.encode()))) for label, text in templates]
     number = word_documents(docs, set().union(*(s for _, s in sets)))
     order = sorted(set().union(*(s for _, s in sets)), key=lambda w: (number.get(w, 0), w))

@@ -245,3 +245,12 @@ def test_phrases_count_every_place(session):
     text = "MIT license; mit-license (the GNU General Public LICENSE) mit éa license mit license"
     r = license_join.scan_documents(session.createDataFrame([(1, text)], "doc_id bigint, text string")).first()
     assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) == (14, 4, 0, 12, "gpl,mit")
+
+
+def test_templates_longer_than_a_block(session):
+    """A template of more different words than a block holds is found wherever it starts."""
+    template = " ".join(f"term{i}" for i in range(150))
+    texts = ["filler " * k + template + " more" * (k % 5) for k in (0, 1, 31, 32, 63, 100, 149, 150, 299)] + ["filler " * 400, " ".join(f"term{i}" for i in range(100))]
+    docs = session.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = {r.doc_id: (r.labels, r.score) for r in license_join.scan_documents(docs, [("long", template), ("mit", "short words here")]).collect()}
+    assert found == {i: ("long", 1.0) if i < 9 else ("", 0.0) for i in range(11)}
