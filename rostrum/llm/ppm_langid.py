@@ -1,46 +1,53 @@
 """Language identification by partial matching: byte context trees with escape probabilities.
 
 For every language the counts of what follows each context of up to three bytes are frozen after
-training. A byte costs -log2 of its probability: where its context has seen it, its share (method C: the
+training, all of them, as sorted arrays of the byte strings and contexts that the sample holds. A byte costs -log2 of its probability: where its context has seen it, its share (method C: the
 count over counts and different successors together); else the escape's share and the cost under the
 next shorter context, down to 1/256 for every byte. A text's code length is exact under the frozen
 counts; the language with the shortest code is predicted, the score is its posterior probability with
 equal priors.
 
 The classifier is fitted on whole texts of about ``DOCS_PER_LANGUAGE`` documents per language, chosen
-by a hash of the id; that is the bound of its sample. Predictions read all bytes of all texts.
+by a hash of the id; that is the bound of its sample and so of its trees, each of which is built in a task
+of its own. Predictions read all bytes of all texts.
 
 Null texts, texts without a letter, and all texts where nothing was learned are ``und`` with score 0.
 Null languages teach nothing. Equal code lengths go to the smaller name. Repeated rows are each
-predicted; an empty table gives no rows; extra columns stay.
+predicted; an empty table gives no rows; extra columns stay, but those named as a result
+(``held_out``, ``lang_pred``, ``score``) give way to it.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ORDER = 3
 DOCS_PER_LANGUAGE = 2000
-#: Longest contexts that the frozen trees keep together, the most frequent ones.
-CONTEXTS = 20_000
-#: Successors kept per language and context length, the most frequent ones.
-GRAMS = 60_000
 LEAD = b"\n" * ORDER  # what stands before a text
-STEP = 1 << 20  # bytes priced at once
+STEP = 1 << 22  # bytes priced at once
+
+
+@dataclass
+class Tree:
+    """The frozen tree of a language; byte strings are numbers with the last byte lowest."""
+    grams: list[np.ndarray]  # sorted byte strings of one to ``ORDER + 1`` bytes, by length
+    bits: list[np.ndarray]  # of the last byte of each, where its context has seen it
+    contexts: list[np.ndarray]  # sorted contexts of none to ``ORDER`` bytes, by length
+    escape: list[np.ndarray]  # bits of leaving each for the next shorter one
 
 
 @dataclass
 class Model:
     languages: list[str]
-    symbol: np.ndarray  # of each byte; 0: never seen
-    state: np.ndarray  # of each triple of symbols: the longest context kept
-    bits: np.ndarray  # float16, a row per state and symbol, a column per language
+    trees: list[Tree]
 
 
 def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -64,47 +71,42 @@ def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                      pa.array(found.astype(np.int64)), pa.array(n)], ["lang", "size", "gram", "n"])
 
 
-def _priced(counts: np.ndarray, shorter: np.ndarray) -> np.ndarray:
-    """Bits of each successor (last axis) under contexts with these counts, escapes included."""
-    total, kinds = counts.sum(-1, keepdims=True), (counts > 0).sum(-1, keepdims=True)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        seen, escape = np.log2(total + kinds) - np.log2(counts), np.log2(total + kinds) - np.log2(kinds)
-    return np.where(total == 0, shorter, np.where(counts > 0, seen, escape + shorter))
-
-
-def build(counted: pa.Table, contexts: int = CONTEXTS) -> Model:
-    """The frozen trees as tables."""
-    size, gram, n = (counted[c].to_numpy() for c in ("size", "gram", "n"))
-    names = np.array(counted["lang"].to_pylist(), dtype=object)
-    languages = sorted(set(names))
-    symbol = np.zeros(256, np.int64)
-    alphabet = np.unique(gram[size == 1])
-    symbol[alphabet] = np.arange(1, len(alphabet) + 1)
-    a = len(alphabet) + 1
-    parts = [symbol[(gram >> 8 * k) & 255] for k in range(ORDER + 1)]  # the last byte first
-    context = np.where(size == ORDER + 1, (parts[3] * a + parts[2]) * a + parts[1], -1)
-    longest, where = np.unique(context[size == ORDER + 1], return_inverse=True)
-    weight = np.bincount(where, n[size == ORDER + 1], len(longest))
-    longest = np.sort(longest[np.argsort(-weight, kind="stable")[:contexts]])
-    state = np.tile(np.arange(a * a, dtype=np.int32), a)  # the last two symbols
-    state[longest] = a * a + np.arange(len(longest))
-    bits = np.empty(((a * a + len(longest)) * a, len(languages)), np.float16)
-    for k, lang in enumerate(languages):
-        own = names == lang
-
-        def counts(length: int, shape: tuple[int, ...], index: np.ndarray) -> np.ndarray:
-            mine = own & (size == length) & (index >= 0)
-            return np.bincount(index[mine], n[mine], int(np.prod(shape))).reshape(shape)
-
-        zero = _priced(counts(1, (a,), parts[0]), np.full(a, 8.0))
-        one = _priced(counts(2, (a, a), parts[1] * a + parts[0]), zero)
-        two = _priced(counts(3, (a, a, a), (parts[2] * a + parts[1]) * a + parts[0]), one)
-        place = np.searchsorted(longest, context)
-        kept = (place < len(longest)) & (longest[np.minimum(place, len(longest) - 1)] == context) if len(longest) else np.zeros(len(n), bool)
-        three = _priced(counts(4, (len(longest), a), np.where(kept, place * a + parts[0], -1)),
-                        two.reshape(-1, a)[longest % (a * a)])
-        bits[:, k] = np.concatenate([two.reshape(-1), three.reshape(-1)])
-    return Model(languages, symbol.astype(np.int32), state, bits)
+def tree(size: np.ndarray, gram: np.ndarray, n: np.ndarray) -> Tree:
+    """A language's tree from the counts of its byte strings."""
+    found = Tree([], [], [], [])
+    for length in range(1, ORDER + 2):
+        order = np.flatnonzero(size == length)
+        order = order[np.argsort(gram[order])]
+        codes, counts = gram[order], n[order].astype(np.float64)
+        contexts, where = np.unique(codes >> 8, return_inverse=True)
+        kinds = np.bincount(where)
+        whole = np.log2(np.bincount(where, counts) + kinds)
+        found.grams.append(codes.astype(np.uint32))
+        found.bits.append(whole[where] - np.log2(counts))
+        found.contexts.append(contexts.astype(np.uint32))
+        found.escape.append(whole - np.log2(kinds))
+    return found
+
+
+def _look_up(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether each is among the sorted ``keys``, and its value, else 0."""
+    place = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    known = keys[place] == wanted
+    return known, np.where(known, values[place], 0.0)
+
+
+def costs(code: np.ndarray, tree: Tree) -> np.ndarray:
+    """Bits of the last byte of each string of ``ORDER + 1`` bytes."""
+    total = np.zeros(len(code))
+    left = np.arange(len(code))
+    for length in range(ORDER, -1, -1):
+        wanted = code[left] & np.uint32((1 << 8 * (length + 1)) - 1)
+        known, bits = _look_up(tree.grams[length], tree.bits[length], wanted)
+        total[left] += bits
+        left, wanted = left[~known], wanted[~known]
+        total[left] += _look_up(tree.contexts[length], tree.escape[length], wanted >> np.uint32(8))[1]
+    total[left] += 8.0
+    return total
 
 
 def train(docs: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE) -> Model | None:
@@ -117,29 +119,36 @@ def train(docs: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE) -> Model
     chosen = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 20)) < F.element_at(share, F.col("lang")) * (1 << 20)
     found = docs.filter(chosen).select("lang", "text").mapInArrow(grams, "lang string, size int, gram bigint, n bigint")
     found = found.groupBy("lang", "size", "gram").agg(F.sum("n").alias("n"))
-    nth = F.row_number().over(Window.partitionBy("lang", "size").orderBy(F.desc("n"), "gram"))
-    return build(found.withColumn("nth", nth).filter(F.col("nth") <= GRAMS).drop("nth").toArrow())
+
+    def grown(counted: pa.Table) -> pa.Table:
+        made = tree(*(counted[c].to_numpy() for c in ("size", "gram", "n")))
+        return pa.table({"lang": counted["lang"][:1], "tree": pa.array([pickle.dumps(made)], pa.binary())})
+
+    trees = found.groupBy("lang").applyInArrow(grown, "lang string, tree binary").collect()
+    trees = sorted((r["lang"], pickle.loads(r["tree"])) for r in trees)
+    return Model([lang for lang, _ in trees], [made for _, made in trees]) if trees else None
 
 
 def code_lengths(texts: list[bytes], model: Model) -> np.ndarray:
-    """Bits of every text (rows) under every language (columns)."""
-    a = int(model.symbol.max()) + 1
+    """Bits of every text (rows) under every language (columns). A step's different byte strings are priced once each."""
     starts = np.cumsum([0, *(len(t) + ORDER for t in texts)])
     raw = np.frombuffer(b"".join([x for t in texts for x in (LEAD, t)]), np.uint8)
     total = np.zeros((len(texts), len(model.languages)))
     for p in range(0, len(raw), STEP):
         q = min(len(raw), p + STEP)
-        s = model.symbol[raw[max(0, p - ORDER):q]]
+        s = raw[max(0, p - ORDER):q].astype(np.uint32)
         s = s if p else np.concatenate([np.zeros(ORDER, s.dtype), s])
-        state = model.state[(s[:-3] * a + s[1:-2]) * a + s[2:-1]]
-        cost = model.bits[state * np.int64(a) + s[3:]].astype(np.float32)
+        code = s[3:] | s[2:-1] << np.uint32(8) | s[1:-2] << np.uint32(16) | s[:-3] << np.uint32(24)
+        which, different = pd.factorize(code)
         first = int(np.searchsorted(starts, p, "right")) - 1
         last = int(np.searchsorted(starts, q, "left"))
-        for k in range(ORDER):  # what stands before a text is not coded
-            lead = starts[first:last] + k - p
-            cost[lead[(lead >= 0) & (lead < q - p)]] = 0
+        lead = (starts[first:last, None] + np.arange(ORDER) - p).ravel()  # what stands before a text is not coded
+        lead = lead[(lead >= 0) & (lead < q - p)]
         bounds = np.maximum(starts[first:last] - p, 0)
-        total[first:last] += np.add.reduceat(cost, bounds, axis=0, dtype=np.float64)
+        for k, tree in enumerate(model.trees):
+            cost = costs(different, tree)[which]
+            cost[lead] = 0
+            total[first:last, k] += np.add.reduceat(cost, bounds)
     return total
 
 

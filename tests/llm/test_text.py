@@ -54,7 +54,7 @@ def test_code_lengths_are_exact(session):
     for text in (b"abracadabra", b"the bat", b"", "thé zzz".encode(), b"\n\nthe"):
         found = ppm_langid.code_lengths([b"x", text, b"cat"], model)[1]
         expected = [brute_bits(text, [t.encode() for t in training[lang]]) for lang in model.languages]
-        assert np.allclose(found, expected, rtol=2e-3, atol=0.02)
+        assert np.allclose(found, expected, rtol=1e-9, atol=1e-9)
 
 
 def test_long_texts_are_priced_in_steps(session, monkeypatch):
@@ -65,6 +65,18 @@ def test_long_texts_are_priced_in_steps(session, monkeypatch):
     assert np.allclose(whole, ppm_langid.code_lengths(texts, model))
 
 
+def test_trees_keep_every_byte_string(session):
+    """Texts of some 250 byte values: all byte strings of the sample stay, however many there are."""
+    rng = np.random.default_rng(4)
+    rows = [(i, "".join(map(chr, rng.integers(32, 0x2000, 4000))), "ab"[i % 2]) for i in range(16)]
+    model = ppm_langid.train(session.createDataFrame(rows, "doc_id bigint, text string, lang string"))
+    for k, lang in enumerate(model.languages):
+        own = [ppm_langid.LEAD + t.encode() for _, t, at in rows if at == lang]
+        assert len(model.trees[k].grams[3]) == len({t[i - 3:i + 1] for t in own for i in range(3, len(t))}) > 60_000
+        found = ppm_langid.code_lengths([rows[0][1].encode()], model)[0, k]
+        assert np.isclose(found, brute_bits(rows[0][1].encode(), [t[3:] for t in own]), rtol=1e-9)
+
+
 def test_languages_held_out(session):
     found = queries.QUERIES["op3_ppm_langid"](session, SF).join(table(session, "documents").select("doc_id", "lang"), "doc_id").collect()
     assert len(found) == 1000 and all(r.held_out == held(r.doc_id) and 0 <= r.score <= 1 for r in found)
@@ -77,6 +89,9 @@ def test_languages_of_odd_rows(session, odd, none):
     assert ppm_langid.predict_languages(odd).columns == ["doc_id", "text", "lang", "held_out", "lang_pred", "score"]
     assert all(found[t].lang_pred == "und" and found[t].score == 0 for t in (None, "", " \n\t "))
     assert found["x"].lang_pred != "und"
+    named = odd.withColumns({"held_out": F.lit("a"), "score": F.lit("b"), "other": F.lit("c")})
+    assert {r.text: (r.lang_pred, r.score, r.other) for r in ppm_langid.predict_languages(named).collect()} \
+        == {t: (r.lang_pred, r.score, "c") for t, r in found.items()}
     assert ppm_langid.predict_languages(none).count() == 0
     nothing = ppm_langid.predict_languages(odd.withColumn("lang", F.lit(None).cast("string")))
     assert {r.lang_pred for r in nothing.collect()} == {"und"}
