@@ -2,9 +2,10 @@
 
 A row is dealt to a node by its id, and a node's rows form a run sorted by digest. In each round the
 nodes that differ in one digit exchange: every node sends each digest to the one whose digit is the
-digest's, receives as many runs as the digit has values, and merges them, keeping for a text the id that
-stays and the number of rows. After the last digit a digest is on one node only. What a hot text sends
-shrinks to one row per node in the first round.
+digest's, receives as many sorted runs as the digit has values, and merges them: Spark sorts what the runs
+bring by node and digest, and an aggregation that walks the sorted rows keeps for a text the id that stays and
+the number of rows, which leaves the node a sorted run again. After the last digit a digest is on one node
+only. What a hot text sends shrinks to one row per node in the first round.
 
 Texts are equal when SHA-256, length in bytes and XXH64 all agree; every merge compares all three. The
 texts themselves are not moved.
@@ -37,11 +38,15 @@ def merge_runs(runs: DataFrame, keep: str = "largest", node_bits: int | None = N
         *TEXT, F.col("doc_id").alias("keep_id"), F.col("copies").alias("group_size"),
         F.pmod(F.xxhash64("doc_id"), F.lit(nodes)).cast("int").alias("node"),
         F.pmod(F.xxhash64("digest"), F.lit(nodes)).cast("int").alias("home"))
+    # a null id comes last either way; a struct is aggregated over sorted rows, never in a hash table
+    known = F.col("keep_id").isNotNull() if keep == "largest" else F.col("keep_id").isNull()
+    ranked = F.struct(known.alias("known"), F.col("keep_id").alias("keep_id"))
     for low in range(0, node_bits, round_bits):
         digit = ((1 << min(round_bits, node_bits - low)) - 1) << low
         target = F.col("node").bitwiseAND(F.lit(nodes - 1 - digit)).bitwiseOR(F.col("home").bitwiseAND(F.lit(digit)))
-        sent = runs.withColumn("node", target).repartitionById(nodes, "node").sortWithinPartitions("node", *TEXT)
-        runs = sent.groupBy("node", "home", *TEXT).agg(pick("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size"))
+        sent = runs.withColumn("node", target).repartitionById(nodes, "node")
+        merged = sent.groupBy("node", *TEXT, "home").agg(pick(ranked).alias("kept"), F.sum("group_size").alias("group_size"))
+        runs = merged.select("node", *TEXT, "home", F.col("kept.keep_id").alias("keep_id"), "group_size")
     return runs.select(*TEXT, "keep_id", "group_size")
 
 

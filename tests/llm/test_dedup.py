@@ -36,6 +36,23 @@ def test_tree_merge_equals_group_by(session, bits):
         assert found == {k: (pick(m), len(m)) for k, m in members.items()}
 
 
+def test_rounds_merge_sorted_runs(session):
+    """Every round sorts what its runs bring and merges it in order; no round hashes."""
+    rows = [(i, bytes([i % 5]), 1, i % 5, 1) for i in range(50)]
+    runs = session.createDataFrame(rows, "doc_id bigint, digest binary, bytes int, _llm_hash bigint, copies bigint")
+    for bits in (2, 6):
+        plan = tree_dedup.merge_runs(runs, node_bits=bits, round_bits=2)._jdf.queryExecution().executedPlan().toString()
+        assert "HashAggregate" not in plan and plan.count("SortAggregate") >= bits // 2 and plan.count("Sort [node") >= bits // 2
+
+
+def test_null_ids_stay_last(session):
+    rows = [(i, b"a", 1, 0, 1) for i in (None, 3, 5)] + [(None, b"b", 1, 1, 2)]
+    runs = session.createDataFrame(rows, "doc_id bigint, digest binary, bytes int, _llm_hash bigint, copies bigint")
+    for keep, kept in (("largest", 5), ("smallest", 3)):
+        found = {bytes(r.digest): (r.keep_id, r.group_size) for r in tree_dedup.merge_runs(runs, keep, 3).collect()}
+        assert found == {b"a": (kept, 3), b"b": (None, 2)}
+
+
 def test_groups_of_odd_rows(odd, none):
     found = Counter((r.doc_id, r.keep_id, r.group_size, r.kept) for r in tree_dedup.groups(odd).collect())
     assert found == Counter([
