@@ -221,6 +221,7 @@ ORACLE["new_politicians"] = _unknown(
     f"SELECT * REPLACE (replace(state, 'NATION_', 'S') AS state) FROM ({_both})",
     "member_id, first_name, last_name, party, state")
 ORACLE["new_politicians_shuffled"] = ORACLE["new_politicians"]
+ORACLE["new_politicians_by_bitmap"] = ORACLE["new_politicians"]
 ORACLE["house_rows_before"] = f"SELECT * FROM {f('house')} WHERE date < DATE '1998-05-31'"
 _BILL_URL = "'https://www.congress.gov/bill/115/hr/' || CAST(o_custkey AS VARCHAR) || '/amendments?pageSort=asc'"
 ORACLE["bill_url_carry"] = f"""
@@ -530,6 +531,8 @@ SELECT p.id, coalesce(k.full_name, p.first_name) AS first_name, p.last_name, p.p
 FROM ({_STORED}) p LEFT JOIN (SELECT nickname AS nk, min(full_name) AS full_name FROM {f('nicknames')} GROUP BY 1) k
   ON p.first_name = k.nk"""
 
+ORACLE["revise_names_touched"] = ORACLE["revise_names"]
+
 # ---- streams ---------------------------------------------------------------------------------
 
 ORACLE["stream_votes_clean"] = ORACLE["votes_clean"]

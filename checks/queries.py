@@ -9,13 +9,13 @@ from pyspark.sql import functions as F
 
 from checks.fixtures import RUN_DATE, documents, feed, nested_documents, read
 from rostrum.functions import casts, markup, names, text
-from rostrum.operators import errors, extract, filters, lookup, project, scrub
+from rostrum.operators import errors, extract, filters, lookup, membership, project, scrub
 from rostrum.plans import crawl, feeds
 from rostrum.schemas import FEEDS, TABLES, csv_schema
 from rostrum.session import shared_dir
 from rostrum.sources import documents as landed_documents
 from rostrum.sources import feeds as csv_feeds
-from rostrum.sources import messages, sinks, tables
+from rostrum.sources import messages, sinks, tables, versions
 from rostrum.streaming import feeds as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -344,6 +344,13 @@ def new_politicians_shuffled(spark, sf):
     return new.select("member_id", "first_name", "last_name", "party", "state")
 
 
+@query
+def new_politicians_by_bitmap(spark, sf):
+    """The same; only members who may be stored are shuffled."""
+    new = membership.new_politicians_by_bitmap(_bare_members(spark, sf), feed(spark, sf, "politicians"))
+    return new.select("member_id", "first_name", "last_name", "party", "state")
+
+
 @query
 def house_rows_before(spark, sf):
     return lookup.house_before(feed(spark, sf, "house"), "1998-06-01")
@@ -834,16 +841,28 @@ def senate_new(spark, sf):
     return feeds.new_rows(clean, dims(spark, sf, "politicians"))
 
 
+def _stored_politicians(spark, sf) -> DataFrame:
+    stored = feed(spark, sf, "politicians")
+    return stored.withColumn("first_name", F.when(F.col("first_name") == "Joseph", "Joe").otherwise(F.col("first_name")))
+
+
 @query
 def revise_names(spark, sf):
-    stored = feed(spark, sf, "politicians")
-    stored = stored.withColumn("first_name", F.when(F.col("first_name") == "Joseph", "Joe")
-                               .otherwise(F.col("first_name")))
+    stored = _stored_politicians(spark, sf)
     path = shared_dir(spark, "politicians")
     tables.rewrite_table(tables.revise_names(stored, feed(spark, sf, "nicknames")), path)
     return spark.read.parquet(path)
 
 
+@query
+def revise_names_touched(spark, sf):
+    """The same in a table of buckets, of which those with a nickname are written."""
+    path = shared_dir(spark, "politicians")
+    versions.create_table(_stored_politicians(spark, sf), path, ["id"], 64)
+    versions.update_touched(spark, path, lambda rows: tables.revise_names(rows, feed(spark, sf, "nicknames")))
+    return versions.read_version(spark, path)
+
+
 # ---- streams ---------------------------------------------------------------------------------
 
 def _run(spark, sf, name: str, source: DataFrame, wanted: tuple[str, ...], root: str,

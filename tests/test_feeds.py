@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -12,7 +14,7 @@ from rostrum.operators import project
 from rostrum.schemas import FEEDS, TABLES, table_schema
 from rostrum.session import shared_dir
 from rostrum.sources import feeds as csv_feeds
-from rostrum.sources import messages, sinks, tables
+from rostrum.sources import messages, sinks, tables, versions
 
 
 @pytest.fixture(scope="module")
@@ -218,6 +220,52 @@ def test_revise_names(spark, dims):
         tables.rewrite_table(stored, path)
 
 
+def _bucket_files(path):
+    return {f.relative_to(path): (f.stat().st_mtime_ns, f.stat().st_size) for f in Path(path, "data").rglob("*.parquet")}
+
+
+def test_update_of_touched_buckets(spark, dims):
+    schema = "id int, first_name string, nickname string"
+    people = [(i, "Joe" if i in (3, 4) else f"N{i}", None) for i in range(200)] + [(None, "Joe", None), (None, "Kim", "K"), (3, "Joe", None)]
+    path = shared_dir(spark, "versions")
+    versions.create_table(spark.createDataFrame(people, schema), path, ["id"], 32)
+    first, before = versions.read_version(spark, path), _bucket_files(path)
+
+    def revise(rows):
+        return tables.revise_names(rows, dims.nicknames)
+
+    touched = versions.update_touched(spark, path, revise)
+    expected = sorted([(i, "Joseph", "Joe") if n == "Joe" else (i, n, k) for i, n, k in people], key=repr)
+    after = _bucket_files(path)
+    assert rows(versions.read_version(spark, path)) == expected and 1 <= len(touched) <= 3
+    assert {f: after[f] for f in before} == before and len(after) - len(before) == len(touched)
+    assert rows(first) == rows(versions.read_version(spark, path, 1)) == sorted(people, key=repr)
+    assert versions.update_touched(spark, path, revise) == [] and versions.versions(spark, path) == [1, 2]
+
+
+def test_update_that_stops_before_its_manifest(spark, dims, monkeypatch):
+    path = shared_dir(spark, "versions")
+    people = spark.createDataFrame([(1, "Joe", None), (2, "Kim", "K")], "id int, first_name string, nickname string")
+    versions.create_table(people, path, ["id"], 4)
+
+    def revise(rows):
+        return tables.revise_names(rows, dims.nicknames)
+
+    with monkeypatch.context() as m, pytest.raises(OSError):
+        m.setattr(versions, "_publish", lambda *_: (_ for _ in ()).throw(OSError("stopped")))
+        versions.update_touched(spark, path, revise)
+    assert rows(versions.read_version(spark, path)) == rows(people)
+    versions.update_touched(spark, path, revise)
+    assert rows(versions.read_version(spark, path)) == [(1, "Joseph", "Joe"), (2, "Kim", "K")]
+    with pytest.raises(ValueError):
+        versions.update_touched(spark, path, lambda rows: rows.drop("nickname"))
+    with pytest.raises(ValueError):
+        versions.create_table(people, path, ["id"])
+    empty = shared_dir(spark, "versions")
+    versions.create_table(people.limit(0), empty, ["id"], 4)
+    assert versions.read_version(spark, empty).count() == 0 and versions.update_touched(spark, empty, revise) == []
+
+
 def test_routing(spark):
     df = spark.createDataFrame([({"bill_id": "1", "x": "2"},), ({"bill_id": "1"},)], "r map<string,string>")
     assert rows(df.select(csv_feeds.belongs_to(F.map_keys("r"), ("bill_id", "amdt_id")))) == [(False,), (True,)]

@@ -5,8 +5,8 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from rostrum_testing import rows
-from rostrum.operators import errors, lookup
+from rostrum_testing import rows, shuffled_rows
+from rostrum.operators import errors, lookup, membership
 from rostrum.session import shared_dir
 
 LIMITS = [lookup.BROADCAST_LIMIT, 0]
@@ -159,3 +159,43 @@ def test_intervals_say_what_days_say(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(date" in pruned._jdf.queryExecution().executedPlan().toString()
     assert 0 < pruned.select(F.input_file_name().alias("f")).distinct().count() <= 9
     assert lookup.within_feed(house, votes.limit(0)).count() == 0
+
+
+def test_bitmap_spares_the_shuffle(spark, crowded):
+    """Mostly new people: the same rows as by the anti-join alone, a fraction of them shuffled."""
+    path = shared_dir(spark, "people")
+    crowded.write.parquet(path)
+    people = spark.read.parquet(path)
+    known = people.filter("first_name = 'Joe' or length(first_name) = 2").select(*lookup.PERSON) \
+        .unionByName(people.filter("first_name is null").select(*lookup.PERSON).limit(3))
+    plain = lookup.new_politicians(people, known, broadcast_limit=0)
+    new = membership.new_politicians_by_bitmap(people, known)
+    assert rows(new) == rows(plain) and 0 < new.count() < people.count()
+    others = people.filter("first_name is null or first_name <> 'Joe'")
+    limits = [f"spark.sql.{part}autoBroadcastJoinThreshold" for part in ("", "adaptive.")]
+    for limit in limits:  # as if the stored table were too large for Spark to broadcast by itself
+        spark.conf.set(limit, "-1")
+    before = shuffled_rows(lookup.new_politicians(others, known, broadcast_limit=0))
+    after = shuffled_rows(membership.new_politicians_by_bitmap(others, known))
+    for limit in limits:
+        spark.conf.unset(limit)
+    assert before >= others.count() and after < before / 3
+
+
+def test_bitmap_of_any_size_gives_the_same_rows(spark):
+    schema = "first_name string, last_name string, party string, state string"
+    known = spark.createDataFrame([(f"n{i}", "L", "R", "MA") for i in range(3000)] + [(None, "L", "R", "MA")], schema)
+    people = spark.createDataFrame([(f"n{i}", "L", "R", "MA") for i in range(2990, 3500)] + [(None, "L", "R", "MA")] * 2, schema)
+    expected = rows(lookup.new_politicians(people, known))
+    for limit in (0, 64 << 20):  # one part whatever the limit: nearly a tenth of its bits are set
+        found = membership.membership(known, lookup.PERSON, limit=limit)
+        assert found.bits == (membership.PART_BITS if limit == 0 else 2 * membership.PART_BITS)
+        assert 0.02 < membership.error_rate(found) < 0.1
+        assert rows(membership.not_stored(people, known, lookup.PERSON, found)) == expected
+    marked = membership.maybe_known(people, found, "maybe")
+    assert marked.filter("maybe and first_name is null").count() == 0
+    assert marked.filter("not maybe and first_name < 'n3000'").count() == 0
+    assert rows(membership.not_stored(people, known.limit(0), lookup.PERSON)) == rows(people)
+    assert membership.not_stored(people.limit(0), known, lookup.PERSON).count() == 0
+    with pytest.raises(ValueError):
+        membership.not_stored(people.withColumn("party", F.lit(1)), known, lookup.PERSON)
