@@ -585,3 +585,16 @@ ORACLE["load_repeated"] = f"""
 SELECT first_name, last_name, party, state, district, date, CASE party WHEN 'D' THEN 'first' ELSE 'second' END AS run_id
 FROM ({ORACLE['house_clean']}) WHERE party IN ('D', 'R')"""
 ORACLE["stream_redelivered"] = ORACLE["house_clean"]
+
+
+def _counts(source: str, failed: str) -> str:
+    """Observed counts: all rows, clean ones, and the failed ones by step."""
+    return f"""
+SELECT step, CAST(n AS BIGINT) AS n FROM (
+  SELECT 'rows' AS step, count(*) AS n FROM ({source})
+  UNION ALL SELECT 'clean', (SELECT count(*) FROM ({source})) - (SELECT count(*) FROM ({failed}))
+  UNION ALL SELECT ptransform, count(*) FROM ({failed}) GROUP BY 1) WHERE n > 0"""
+
+
+ORACLE["house_counts"] = _counts(f"SELECT * FROM {f('members')}", ORACLE["house_errors"])
+ORACLE["stream_cosponsors_counts"] = _counts(f"SELECT * FROM {f('cosponsors')}", ORACLE["stream_cosponsors_errors"])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from checks.fixtures import RUN_DATE, documents, feed, nested_documents, read
@@ -820,6 +820,15 @@ def house_errors(spark, sf):
     return sinks.error_record(_house_branches(spark, sf).errors, TABLES["politicians"])
 
 
+@query
+def house_counts(spark, sf):
+    """Rows of the house feed, clean ones, and those that each step failed, observed while the feed is staged."""
+    counts = Observation()
+    feeds.outputs("house_members", feed(spark, sf, "members").drop("member_id"), dims(spark, sf, "states", "politicians"),
+                  RUN_DATE, counts=counts)
+    return streams.count_rows(spark, counts).filter("n > 0")
+
+
 @query
 def house_dated_clean(spark, sf):
     """The variant whose feed brings the date; quotes stripped."""
@@ -866,7 +875,7 @@ def revise_names_touched(spark, sf):
 # ---- streams ---------------------------------------------------------------------------------
 
 def _run(spark, sf, name: str, source: DataFrame, wanted: tuple[str, ...], root: str,
-         absent: bool = False, stored: dict[str, str] | None = None) -> None:
+         absent: bool = False, stored: dict[str, str] | None = None, counted: bool = False) -> None:
     """Land a feed as messages, then run its stream to the end. ``absent`` leaves NULLs out of the
     messages instead of sending them as text."""
     landed = shared_dir(spark, "messages")
@@ -876,7 +885,7 @@ def _run(spark, sf, name: str, source: DataFrame, wanted: tuple[str, ...], root:
     sent.write.parquet(landed)
     stream = streams.message_records(messages.read_message_stream(spark, landed), FEEDS[name])
     streams.stream_feed(stream, name, lambda: dims(spark, sf, *wanted), root,
-                        shared_dir(spark, "checkpoint"), RUN_DATE, tables=stored).awaitTermination()
+                        shared_dir(spark, "checkpoint"), RUN_DATE, tables=stored, counted=counted).awaitTermination()
 
 
 @query
@@ -894,6 +903,14 @@ def stream_cosponsors_errors(spark, sf):
     return spark.read.option("header", True).option("escape", '"').csv(f"{root}/errors").drop(streams.RUN, streams.BATCH)
 
 
+@query
+def stream_cosponsors_counts(spark, sf):
+    """What each step failed, summed over the batches of a stream."""
+    root = shared_dir(spark, "stream")
+    _run(spark, sf, "cosponsors", feed(spark, sf, "cosponsors").drop("bill_key"), (), root, absent=True, counted=True)
+    return spark.read.parquet(f"{root}/counts").groupBy("step").agg(F.sum("n").alias("n")).filter("n > 0")
+
+
 @query
 def stream_house_new(spark, sf):
     root = shared_dir(spark, "stream")

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 ERRORS = "errors"
+#: Names of the observed counts of all rows and of those without an error.
+ROWS, CLEAN = "rows", "clean"
 _TYPE = "array<struct<error_msg:string,ptransform:string>>"
 
 # Step names recorded in the error branch.
@@ -20,6 +22,7 @@ HOUSE_NAME = "FixHouseFirstNameFn"
 STATE = "StateMapFn"
 NORMALIZE = "NormalizeAttributesFn"
 REVERT = "RevertAttributesFn"
+STEPS = (SPLIT, ISOLATE, TYPES, FIRST_NAME, LAST_NAME, HOUSE_NAME, STATE, NORMALIZE, REVERT)
 
 
 class Branches(NamedTuple):
@@ -76,3 +79,17 @@ def error_rows(df: DataFrame, script: str) -> DataFrame:
 
 def split_errors(df: DataFrame, script: str) -> Branches:
     return Branches(clean_rows(df), error_rows(df, script))
+
+
+def observed(df: DataFrame, counts: Observation) -> DataFrame:
+    """Count rows, clean rows and the rows that each step fails while ``df`` is written or read for the first time.
+
+    A row counts for its deciding error, so the counts are those of the error branch; ``other`` counts errors of steps
+    that are not among ``STEPS``. The counts travel with the tasks' results: no pass of their own, nothing shuffled.
+    """
+    df = with_errors(df)
+    step = deciding_error()["ptransform"]
+    return df.observe(
+        counts, F.count(F.lit(1)).alias(ROWS), F.count_if(~has_errors()).alias(CLEAN),
+        *[F.count_if(step == name).alias(name) for name in STEPS],
+        F.count_if(has_errors() & ~F.coalesce(step.isin(*STEPS), F.lit(False))).alias("other"))

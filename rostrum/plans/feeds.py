@@ -11,12 +11,12 @@ from dataclasses import dataclass
 from datetime import date
 from urllib.parse import quote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from rostrum.functions.casts import date_column
 from rostrum.operators import lookup, project, scrub
-from rostrum.operators.errors import Branches, split_errors, with_errors
+from rostrum.operators.errors import Branches, observed, split_errors, with_errors
 from rostrum.operators.lookup import BROADCAST_LIMIT
 from rostrum.schemas import TABLES
 from rostrum.sources.feeds import CSV_WRITE
@@ -161,13 +161,15 @@ RESOLVERS = {
 
 
 def outputs(feed: str, df: DataFrame, dims: Dimensions, run_date: date | str | None = None,
-            add_politicians: bool = True,
-            staging: str | None = None) -> tuple[dict[str, DataFrame], DataFrame]:
+            add_politicians: bool = True, staging: str | None = None,
+            counts: Observation | None = None) -> tuple[dict[str, DataFrame], DataFrame]:
     """Everything one feed writes: rows by target table, and the error rows.
 
-    The resolved feed is staged once, since several branches read it.
+    The resolved feed is staged once, since several branches read it. ``counts`` observes that writing.
     """
-    clean, failed = staged_branches(stage(RESOLVERS[feed](df, dims), feed, staging), feed)
+    resolved = RESOLVERS[feed](df, dims)
+    resolved = resolved if counts is None else observed(resolved, counts)
+    clean, failed = staged_branches(stage(resolved, feed, staging), feed)
     table, _ = TARGETS[feed]
     if table == "house":
         rows = {table: house_rows(clean, run_date)}
@@ -181,9 +183,10 @@ def outputs(feed: str, df: DataFrame, dims: Dimensions, run_date: date | str | N
 
 
 def load_feed(feed: str, df: DataFrame, dims: Dimensions, error_path: str,
-              run_date: date | str | None = None, add_politicians: bool = True) -> None:
-    """One batch run: append the clean branches to their tables, write the error file."""
-    rows, failed = outputs(feed, df, dims, run_date, add_politicians)
+              run_date: date | str | None = None, add_politicians: bool = True, counts: Observation | None = None) -> None:
+    """One batch run: append the clean branches to their tables, write the error file. ``counts`` holds the rows that
+    each step failed afterwards."""
+    rows, failed = outputs(feed, df, dims, run_date, add_politicians, counts=counts)
     for table, branch in rows.items():
         append_to_table(branch, table)
     write_error_csv(failed, TARGETS[feed][1], f"{error_path}/{feed}")

@@ -12,7 +12,7 @@ import json
 from collections.abc import Callable, Mapping, Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql.streaming.query import StreamingQuery
 
 from rostrum.plans.feeds import TARGETS, Dimensions, outputs
@@ -40,6 +40,11 @@ def write_batch(rows: Mapping[str, DataFrame], failed: DataFrame, columns: Seque
         .csv(f"{root}/errors/{RUN}={run}/{BATCH}={batch_id}")
 
 
+def count_rows(spark: SparkSession, counts: Observation) -> DataFrame:
+    """``step, n`` of an observation that is complete: a row for each of its few counts."""
+    return spark.createDataFrame(list(counts.get.items()), "step string, n bigint")
+
+
 def message_records(messages: DataFrame, columns: Sequence[str]) -> DataFrame:
     return isolate_attributes(messages, columns)
 
@@ -47,17 +52,23 @@ def message_records(messages: DataFrame, columns: Sequence[str]) -> DataFrame:
 def stream_feed(stream: DataFrame, feed: str, dims: Callable[[], Dimensions], root: str,
                 checkpoint: str, run_date: date | str | None = None,
                 add_politicians: bool = True, trigger: Mapping | None = None,
-                tables: Mapping[str, str] | None = None) -> StreamingQuery:
+                tables: Mapping[str, str] | None = None, counted: bool = False) -> StreamingQuery:
     """Start a feed: rows of each table under ``root/table`` or in the catalog table that ``tables``
-    gives for it, failed rows under ``root/errors``.
+    gives for it, failed rows under ``root/errors``; where ``counted``, the rows that each step of a batch
+    failed under ``root/counts``.
 
     Batches are staged in two folders in turn, so staging does not grow with the stream.
     """
     staging = shared_dir(stream.sparkSession, f"staged-{feed}")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows, failed = outputs(feed, batch, dims(), run_date, add_politicians, f"{staging}/{batch_id % 2}")
-        write_batch(rows, failed, TARGETS[feed][1], root, run_id(batch.sparkSession, checkpoint), batch_id, tables)
+        counts = Observation() if counted else None
+        rows, failed = outputs(feed, batch, dims(), run_date, add_politicians, f"{staging}/{batch_id % 2}", counts)
+        run = run_id(batch.sparkSession, checkpoint)
+        write_batch(rows, failed, TARGETS[feed][1], root, run, batch_id, tables)
+        if counts is not None:
+            count_rows(batch.sparkSession, counts).coalesce(1).write.mode("overwrite") \
+                .parquet(f"{root}/counts/{RUN}={run}/{BATCH}={batch_id}")
 
     return (
         stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)

@@ -5,12 +5,13 @@ from __future__ import annotations
 from pathlib import Path
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from rostrum_testing import SF, rows
 from checks.fixtures import feed as driver_feed
 from rostrum.plans import feeds
-from rostrum.operators import project
+from rostrum.operators import errors, project
 from rostrum.schemas import FEEDS, TABLES, table_schema
 from rostrum.session import shared_dir
 from rostrum.sources import feeds as csv_feeds
@@ -374,3 +375,18 @@ def test_a_load_that_stops_anywhere_can_be_repeated(spark, tmp_path, monkeypatch
     assert seen("senate") == seen("politicians") == 3
     assert rows(tables.read_published(spark, made["senate"], f"{tmp_path}/published"), "last_name", "run_id") == [("Lee", "2018/10 a"), ("Ng", "2018/10 a"), ("Ng", "2018/10 a")]
     assert spark.read.option("header", True).csv(f"{tmp_path}/errors/senate_members").count() == 0
+
+
+def test_observed_counts_equal_the_error_branch(spark, dims):
+    records = spark.createDataFrame([("Kim", None), ("Lee", "R"), (None, None), ("Lee", "R")], "first_name string, party string")
+    flagged = errors.flag(records, F.col("party").isNull(), "no party", errors.STATE)
+    flagged = errors.flag(flagged, F.col("first_name").isNull(), "no name", "a step of one's own")
+    for df in (flagged, flagged.limit(0)):
+        counts = Observation()
+        path = shared_dir(spark, "counted")
+        errors.observed(df, counts).write.parquet(path)
+        found = counts.get
+        failed = dict(rows(errors.error_rows(spark.read.schema(df.schema).parquet(path), "s").groupBy("ptransform").count()))
+        assert found["rows"] == df.count() and found["clean"] == errors.clean_rows(df).count()
+        assert found["other"] == failed.pop("a step of one's own", 0)
+        assert {k: v for k, v in found.items() if v and k in errors.STEPS} == failed
