@@ -48,16 +48,21 @@ STEP = 1 << 20  # letters scored at once
 SPELLED = re.compile(r"(?<!\w)\w(?:[ .*_-]\w(?!\w)){2,}")
 
 
+#: Code points told apart; the planes above hold no letters in use.
+POINTS = 0x32400
+
+
 def _symbols() -> np.ndarray:
-    """Symbol of each code point below 0x250; 255 for signs that are skipped."""
-    table = np.full(0x251, 255, np.uint8)
-    for c in range(0x251):
+    """Symbol of each code point; 255 for signs that are skipped. Letters beyond a to z share 36 symbols by their value, so
+    those of an alphabet, which stand side by side, mostly differ. Dashes part words, full stops of any script sentences."""
+    table = np.full(POINTS + 1, 255, np.uint8)  # the last: everything above
+    for c in range(POINTS):
         if chr(c).isalpha():
             table[c] = c - 97 if 97 <= c < 123 else 26 + c % 36
-        elif chr(c).isspace():
+        elif chr(c).isspace() or 0x2013 <= c <= 0x2015:
             table[c] = GAP
-    table[0x250] = 26  # all further letters
-    table[[ord(c) for c in ".!?\n"]] = STOP
+    # Full stops, exclamation and question marks of Latin, Arabic, Devanagari and Chinese texts.
+    table[[ord(c) for c in ".!?\n\u2026\u061f\u06d4\u0964\u3002\uff01\uff0e\uff1f"]] = STOP
     return table
 
 
@@ -67,10 +72,10 @@ SYMBOLS = _symbols()
 def letters(text: str) -> np.ndarray:
     """A text as symbols; ends with ``STOP``. Signs between two letters are skipped, full stops too."""
     text = SPELLED.sub(lambda m: re.sub(r"\W", "", m.group()), text.lower())
-    points = np.minimum(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4"), 0x250)
+    points = np.minimum(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4"), POINTS)
     found = SYMBOLS[points]
-    if len(found) > 2:  # a stop between letters is a sign like any other
-        inner = np.flatnonzero((found[1:-1] == STOP) & (found[:-2] < GAP) & (found[2:] < GAP) & (points[1:-1] != 10)) + 1
+    if len(found) > 2:  # an ASCII stop between letters is a sign like any other
+        inner = np.flatnonzero((found[1:-1] == STOP) & (found[:-2] < GAP) & (found[2:] < GAP) & (points[1:-1] != 10) & (points[1:-1] < 128)) + 1
         found[inner] = 255
     found = np.append(found[found != 255], np.uint8(STOP))
     ends = np.flatnonzero((found >= GAP) & np.append(found[1:] < GAP, True))  # the last of several in a row

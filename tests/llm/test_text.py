@@ -141,6 +141,26 @@ def test_letters():
     assert (s("we " * 40) == string_kernel.STOP).sum() >= 3  # long sentences are cut
 
 
+def test_letters_of_other_scripts():
+    s = string_kernel.letters
+    for a, b in (("\u0441\u043b\u043e\u0432\u043e", "\u043c\u0435\u0441\u0442\u043e"), ("\u03bb\u03cc\u03b3\u03bf\u03c2", "\u03c4\u03cc\u03c0\u03bf\u03c2"),
+                 ("\u0643\u0644\u0645\u0629", "\u0645\u0643\u0627\u0646"), ("\u8a00\u8449\u4e8c\u5b57", "\u5834\u6240\u4e8c\u5b57")):
+        assert s(a).tolist() != s(b).tolist() and len(s(a)) == len(a) + 1
+    assert (s("\u0421\u041b\u041e\u0412\u041e") == s("\u0441\u043b\u043e\u0432\u043e")).all()
+    assert (s("don\u2019t \u201cgo\u201d") == s("dont go")).all() and (s("one\u2014two") == s("one two")).all()
+    assert (s("\u4e00\u4e01\u3002\u4e02") == string_kernel.STOP).tolist() == [False, False, True, False, True] and s("\U000e0041x").tolist() == s("x").tolist()
+
+
+def test_toxicity_learns_other_scripts(session):
+    """Half the documents insult with one Cyrillic word, the others hold another of its length in that place."""
+    rows = [(i, f"\u044d\u0442\u043e {'\u0434\u0443\u0440\u0430\u043a' if i % 2 else '\u0433\u043e\u0440\u043e\u0434'} \u043d\u043e\u043c\u0435\u0440 {i}", None) for i in range(200)]
+    docs = session.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    labels = docs.selectExpr("doc_id", "cast(doc_id % 2 as int) as toxic")
+    found = string_kernel.score_documents(docs, labels).collect()
+    toxic, clean = ([r.score for r in found if r.held_out and r.doc_id % 2 == k] for k in (1, 0))
+    assert min(toxic) > max(clean)
+
+
 def test_long_texts_are_scored_in_steps(monkeypatch):
     rng = np.random.default_rng(0)
     table = rng.normal(size=1 << string_kernel.TABLE_BITS).astype(np.float32)
