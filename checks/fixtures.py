@@ -246,8 +246,10 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "pages", "conversations")
 
 
-def _names(sf_dir: str) -> dict[str, str]:
-    names = {t: f"parquet.`{sf_dir}/{t}.parquet`" for t in TABLES}
+def _names(sf_dir: str, parts: int = 0) -> dict[str, str]:
+    """What stands for a table's name; with ``parts``, its rows are dealt over so many tasks."""
+    table = f"(SELECT /*+ REPARTITION({parts}) */ * FROM parquet.`%s`)" if parts else "parquet.`%s`"
+    names = {t: table % f"{sf_dir}/{t}.parquet" for t in TABLES}
     names["raw_bills"] = FEEDS["raw_bills"].format(**names)
     return names
 
@@ -257,7 +259,10 @@ def feed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.sql(DOCUMENTS[name].format(**_names(sf_dir)))
+    """Documents, one per row. A few MB of a table's rows are read by one task, but parsing their pages takes hours:
+    the rows are dealt over the tasks of the cluster while they are short, so that no page is shuffled."""
+    parts = max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return spark.sql(DOCUMENTS[name].format(**_names(sf_dir, parts)))
 
 
 def nested_documents(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import time
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from rostrum_testing import rows
+from checks import fixtures
 from rostrum.functions import markup
 from rostrum.operators import extract
 from rostrum.plans import crawl
@@ -220,3 +223,21 @@ def test_index_rows_within_layout_tables(spark):
     page = "<table><tr><td><a href='/home'>menu</a><td><table><tr><th>Roll" + "".join(map(row.format, (5, 6))) + "</table></table>"
     found = extract.house_roll_index(docs(spark, page), 2017, "2018-10-24")
     assert rows(found, F.col("bill_date").cast("string"), F.size("errors")) == [("2017-12-05", 0), ("2017-12-06", 0)]
+
+
+def _one_task_tables(spark, path):
+    """Driver tables of 256 rows in one file, which one task reads."""
+    ids = spark.range(256, numPartitions=1)
+    ids.selectExpr("id AS c_custkey", "CAST(id % 25 AS INT) AS c_nationkey").write.parquet(f"{path}/customer.parquet")
+    ids.selectExpr("id AS p_partkey", "'p' AS p_name", "'t' AS p_type", "CAST(id % 50 AS INT) AS p_size").write.parquet(f"{path}/part.parquet")
+    ids.selectExpr("id AS o_orderkey", "id AS o_custkey", "'O' AS o_orderstatus", "TIMESTAMP'1998-03-02' AS o_orderdate") \
+        .write.parquet(f"{path}/orders.parquet")
+    return path
+
+
+@pytest.mark.parametrize("name", sorted(fixtures.DOCUMENTS))
+def test_pages_of_one_file_are_parsed_by_many_tasks(spark, tmp_path, name):
+    path = _one_task_tables(spark, str(tmp_path))
+    docs = (fixtures.nested_documents if name in fixtures.NESTED else fixtures.documents)(spark, path, name)
+    pages = docs.groupBy(F.spark_partition_id()).count().collect()
+    assert len(pages) > 8 and max(n for _, n in pages) < 256 // 4
