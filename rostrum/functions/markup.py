@@ -26,6 +26,8 @@ _REFERENCE = r"^(#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);"
 _REST = r"""(?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')?+)*+>"""
 _HIDDEN = r"<!--.*?(?:-->|\z)|<(script|style)(?=[\s>]).*?(?:</\1\s*>|\z)"
 _ANY_TAG = rf"(?is){_HIDDEN}|</?[a-z]{_REST}"
+# Set around the tags of a page, which is then split without a pattern.
+_EDGE = "\x01"
 
 # Elements that hold nothing, and those that end a paragraph.
 _VOID = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr")
@@ -79,13 +81,19 @@ def _bound(value: str, name: str, body: str) -> str:
 def _sums(steps: str) -> str:
     """Running sums, in as many passes as the length has binary digits."""
     passes = "cast(ceil(log2(greatest(size(steps), 1))) AS int)"
-    reach = f"slice(transform(sequence(0, 30), k -> shiftleft(1, k)), 1, {passes})"
+    reach = f"slice(array({', '.join(str(1 << k) for k in range(31))}), 1, {passes})"
     return _bound(steps, "steps", f"aggregate({reach}, steps, (s, by) -> transform(s, (x, i) -> x + if(i >= by, get(s, i - by), 0)))")
 
 
 def _cut(c: Column, pattern: str) -> Column:
-    """The tags that match, and the markup before, between and after them."""
-    return F.struct(F.regexp_extract_all(c, F.lit(pattern), F.lit(0)).alias("heads"), F.split(c, pattern, -1).alias("texts"))
+    """The markup before, between and after the tags that match, and in turn with it the tags: tag ``i`` is at ``2 i + 1``."""
+    marked = F.split(F.regexp_replace(c, pattern, f"{_EDGE}$0{_EDGE}"), _EDGE, -1)
+    heads, texts = F.regexp_extract_all(c, F.lit(pattern), F.lit(0)), F.split(c, pattern, -1)
+    paired = F.flatten(F.zip_with(texts, heads, lambda t, h: F.array(t, F.coalesce(h, F.lit("")))))
+    return F.when(F.contains(c, F.lit(_EDGE)), paired).otherwise(marked)
+
+
+_TAGS = "((size(page) - 1) DIV 2)"
 
 
 def elements(c: Column, tag: str, with_attributes: str = "") -> Column:
@@ -101,15 +109,16 @@ def elements(c: Column, tag: str, with_attributes: str = "") -> Column:
     own = tag in kind.within
     shift = f"CASE WHEN m.name IN {closing} THEN {0 if own else 1} WHEN m.name IN {opening} THEN {-1 if own or kind.opens else 0} ELSE 0 END"
     step = f"CASE WHEN m.name IN {opening} THEN 1 WHEN m.name IN {closing} THEN -1 ELSE 0 END"
-    marks = ("filter(transform(page.heads, (h, i) -> struct(i AS pos, lower(regexp_extract(h, '^<(/?[A-Za-z][A-Za-z0-9]*)', 1)) AS name)), "
+    # a page without tags has one mark without a name, which is left out
+    marks = (f"filter(transform(sequence(0, greatest({_TAGS} - 1, 0)), i -> struct(cast(i AS int) AS pos, "
+             "lower(regexp_extract(get(page, cast(2 * i + 1 AS int)), '^<(/?[A-Za-z][A-Za-z0-9]*)', 1)) AS name)), "
              "m -> m.name NOT IN ('', 'script', 'style'))")
     events = f"sort_array(transform(marks, (m, k) -> struct(get(sums, k) + {shift} AS depth, m.pos AS pos, m.name AS name)))"
-    reach = ("transform(events, (e, k) -> struct(e.pos AS pos, if(get(events, k + 1).depth = e.depth, get(events, k + 1).pos, size(page.heads)) AS stop, "
+    reach = (f"transform(events, (e, k) -> struct(e.pos AS pos, if(get(events, k + 1).depth = e.depth, get(events, k + 1).pos, cast({_TAGS} AS int)) AS stop, "
              "e.depth AS depth, e.name AS name))")
-    wanted = f"e.name = {_text(tag)}" + (f" AND get(page.heads, e.pos) RLIKE {_text('(?is)' + with_attributes)}" if with_attributes else "")
-    inner = ("array_join(transform(slice(page.texts, e.pos + 2, e.stop - e.pos), (t, i) -> "
-             "if(i < e.stop - e.pos - 1, concat(t, get(page.heads, e.pos + 1 + i)), t)), '')")
-    found = f"transform(sort_array(filter({reach}, e -> {wanted})), e -> struct(get(page.heads, e.pos) AS head, {inner} AS inner, e.depth AS depth))"
+    wanted = f"e.name = {_text(tag)}" + (f" AND get(page, 2 * e.pos + 1) RLIKE {_text('(?is)' + with_attributes)}" if with_attributes else "")
+    inner = "array_join(slice(page, 2 * e.pos + 3, 2 * (e.stop - e.pos) - 1), '')"
+    found = f"transform(sort_array(filter({reach}, e -> {wanted})), e -> struct(get(page, 2 * e.pos + 1) AS head, {inner} AS inner, e.depth AS depth))"
     body = _bound(marks, "marks", _bound(_sums(f"transform(marks, m -> {step})"), "sums", _bound(events, "events", found)))
     pattern = rf"(?is){_HIDDEN}|</?(?:{'|'.join(names)})(?=[\s/>]){_REST}"
     return F.when(c.isNotNull(), let(_cut(c, pattern), f"page -> {body}"))
@@ -130,7 +139,10 @@ def blocks(c: Column, tag: str, with_attributes: str = "", own: bool = False) ->
         every = elements(c, tag, with_attributes)
         if own:
             every = F.filter(every, lambda e: e["depth"] == 0)
-        return F.when(_is_plain(c, tag, own), flat_blocks(c, tag, with_attributes)).otherwise(F.transform(every, lambda e: e["inner"]))
+        flat = F.when(_is_plain(c, tag, own), flat_blocks(c, tag, with_attributes))
+        if not with_attributes and tag not in _KINDS.get(tag, _Kind((tag,), ())).within:
+            flat = flat.when(_is_open(c, tag), _open_blocks(c, tag))
+        return flat.otherwise(F.transform(every, lambda e: e["inner"]))
 
     return let(c, found)
 
@@ -138,10 +150,13 @@ def blocks(c: Column, tag: str, with_attributes: str = "", own: bool = False) ->
 def own_element(c: Column, tag: str) -> Column:
     """``struct<head, inner>`` of the first element of a tag in no container of its kind, else NULL."""
     def found(c: Column) -> Column:
-        every = first(F.filter(elements(c, tag), lambda e: e["depth"] == 0))
+        # the first tag of all, with nothing but text up to its end tag
+        sole = rf"(?is)^[^<]*+(<{tag}(?=[\s/>]){_REST})([^<]*+)</{tag}(?=[\s/>]){_REST}"
+        led = F.struct(F.regexp_extract(c, sole, 1).alias("head"), F.regexp_extract(c, sole, 2).alias("inner"))
         plain = F.struct(F.regexp_substr(c, F.lit(rf"(?is)<{tag}(?=[\s/>]){_REST}")).alias("head"), first(flat_blocks(c, tag)).alias("inner"))
-        tree = F.struct(every["head"].alias("head"), every["inner"].alias("inner"))
-        return let(F.when(_is_plain(c, tag, True), plain).otherwise(tree), lambda e: F.when(e["head"].isNotNull(), e))
+        tree = let(first(F.filter(elements(c, tag), lambda e: e["depth"] == 0)),
+                   lambda e: F.struct(e["head"].alias("head"), e["inner"].alias("inner")))
+        return let(F.when(c.rlike(sole), led).when(_is_plain(c, tag, True), plain).otherwise(tree), lambda e: F.when(e["head"].isNotNull(), e))
 
     return let(c, found)
 
@@ -159,6 +174,19 @@ def _is_plain(c: Column, tag: str, own: bool) -> Column:
     return plain
 
 
+def _is_open(c: Column, tag: str) -> Column:
+    """Whether markup has no container of a tag, hides nothing and starts no tag in another: then an element ends at the
+    next tag that ends one."""
+    containers = rf"|</?(?:{'|'.join(_KINDS[tag].within)})[\s/>]" if _KINDS[tag].within else ""
+    return ~c.rlike(rf"(?i)<!--|<script|<style|<[^<>]*+<{containers}")
+
+
+def _open_blocks(c: Column, tag: str) -> Column:
+    """:func:`blocks` of markup that :func:`_is_open`, end tags left out or not."""
+    names = "|".join(sorted({tag, *_KINDS[tag].within, *_KINDS[tag].ends}))
+    return F.regexp_extract_all(c, F.lit(rf"(?is)<{tag}(?=[\s/>]){_REST}(.*?)(?=</?(?:{names})(?=[\s/>]){_REST}|\z)"), 1)
+
+
 def flat_blocks(c: Column, tag: str, with_attributes: str = "") -> Column:
     """:func:`blocks` of markup whose elements are known to be flat."""
     start = rf"<{tag}(?=[\s/>])" + (rf"(?=[^>]*?{with_attributes})" if with_attributes else "") + _REST
@@ -167,8 +195,9 @@ def flat_blocks(c: Column, tag: str, with_attributes: str = "") -> Column:
 
 def _texts_at_depth_zero(step: str) -> str:
     """Of a page cut at its tags, the texts outside all elements; ``step`` is what a tag ``h`` adds to the depth."""
-    return _bound(_sums(f"transform(page.heads, h -> {step})"), "sums",
-                  "transform(page.texts, (t, i) -> if(i = 0 OR get(sums, i - 1) <= 0, t, ''))")
+    heads = _bound("filter(page, (h, i) -> i % 2 = 1)", "heads", f"transform(heads, h -> {step})")
+    return _bound(_sums(heads), "sums",
+                  "transform(filter(page, (t, i) -> i % 2 = 0), (t, i) -> if(i = 0 OR get(sums, i - 1) <= 0, t, ''))")
 
 
 def outside(c: Column, tag: str) -> Column:

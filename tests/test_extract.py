@@ -241,3 +241,14 @@ def test_pages_of_one_file_are_parsed_by_many_tasks(spark, tmp_path, name):
     docs = (fixtures.nested_documents if name in fixtures.NESTED else fixtures.documents)(spark, path, name)
     pages = docs.groupBy(F.spark_partition_id()).count().collect()
     assert len(pages) > 8 and max(n for _, n in pages) < 256 // 4
+
+
+def test_unclosed_elements_by_pattern_and_by_tree(spark):
+    bodies = ["<td>a<td>b</td>c<th>d<tr><td e='>'>f", "</td</td\n<td>x<td>y", "<td>a\x01b<td>c<table><td>d</table>", "<td>a<!-- <td> -->b", "<td", "", None,
+              "\x01<tr><td>\x01</td>\x01"]
+    df = docs(spark, *bodies)
+    for tag in ("td", "tr", "li", "p", "a"):
+        tree = F.transform(markup.elements(F.col("body"), tag), lambda e: e["inner"])
+        assert rows(df, "doc_id", markup.blocks(F.col("body"), tag)) == rows(df, "doc_id", tree), tag
+    cells = {r[0]: r[1] for r in df.select("doc_id", markup.blocks(F.col("body"), "td")).collect()}
+    assert cells[0] == ["a", "b", "f"] and cells[2] == ["a\x01b", "c<table><td>d</table>"] and cells[7] == ["\x01"]
