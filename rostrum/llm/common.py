@@ -3,17 +3,14 @@
 from __future__ import annotations
 
 import pickle
-import tempfile
-import zipfile
 from collections.abc import Callable, Iterator
-from pathlib import Path
 from typing import Any
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-import rostrum
+from rostrum.session import ship  # noqa: F401, operators take it from here
 
 #: Stands for a null id in row keys.
 NULL_ID = -(1 << 63)
@@ -35,20 +32,6 @@ def keep_keys(docs: DataFrame, keys: DataFrame) -> DataFrame:
     return one.filter(F.col("_llm_nth") == 1).select(*[f"`{c}`" for c in docs.columns])
 
 
-def ship(spark: SparkSession) -> None:
-    """Gives the package to the Python workers, once per context, so that none needs it installed."""
-    context = spark.sparkContext
-    if getattr(context, "_rostrum_shipped", False):
-        return
-    root = Path(rostrum.__file__).resolve().parent
-    path = Path(tempfile.mkdtemp(prefix="rostrum-")) / "rostrum_package.zip"  # the context serves it from the driver
-    with zipfile.ZipFile(path, "w") as z:
-        for f in sorted(root.rglob("*.py")):
-            z.write(f, f.relative_to(root.parent))
-    context.addPyFile(str(path))
-    context._rostrum_shipped = True
-
-
 def fit_in_task(sample: DataFrame, fit: Callable[[pa.Table], Any]) -> Any:
     """``fit`` of a sample of bounded size, in one task: the driver only receives the fitted model."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

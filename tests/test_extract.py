@@ -251,4 +251,4 @@ def test_unclosed_elements_by_pattern_and_by_tree(spark):
         tree = F.transform(markup.elements(F.col("body"), tag), lambda e: e["inner"])
         assert rows(df, "doc_id", markup.blocks(F.col("body"), tag)) == rows(df, "doc_id", tree), tag
     cells = {r[0]: r[1] for r in df.select("doc_id", markup.blocks(F.col("body"), "td")).collect()}
-    assert cells[0] == ["a", "b", "f"] and cells[2] == ["a\x01b", "c<table><td>d</table>"] and cells[7] == ["\x01"]
+    assert cells[0] == ["a", "b", "f"] and cells[2] == ["a\x01b", "c<table><td>d</table>", "d"] and cells[7] == ["\x01"]

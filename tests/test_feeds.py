@@ -8,14 +8,14 @@ import pytest
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
-from rostrum_testing import SF, rows
+from rostrum_testing import SF, rows, shuffled_rows
 from checks.fixtures import feed as driver_feed
 from rostrum.plans import feeds
 from rostrum.operators import errors, project
 from rostrum.schemas import FEEDS, TABLES, table_schema
 from rostrum.session import shared_dir
 from rostrum.sources import feeds as csv_feeds
-from rostrum.sources import messages, sinks, tables, versions
+from rostrum.sources import messages, records, sinks, tables, versions
 
 
 @pytest.fixture(scope="module")
@@ -325,6 +325,20 @@ def test_split_files_give_the_rows_of_whole_ones(spark, tmp_path):
                 spark.conf.set(c, v)
 
 
+def test_split_files_shuffle_pieces_of_blocks_only(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("idx,v\n" + "".join(f'{i},"a\n{i}"\n' for i in range(20000)) + '9,"' + "long\n" * 5000 + '"\n')
+    held = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "16384")
+        found = records.read_records(spark, str(tmp_path))
+        blocks = spark.read.text(str(tmp_path)).rdd.getNumPartitions()
+        assert blocks > 10 and shuffled_rows(found) < 8 * blocks
+        texts = sorted((r.record for r in found.collect()), key=len)
+        assert len(texts) == 20001 and set(texts[:-1]) == {f'{i},"a\n{i}"' for i in range(20000)} and texts[-1] == '9,"' + "long\n" * 5000 + '"'
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", held)
+
+
 def with_errors_text(df):
     """Good rows as they are, of broken ones that they are broken."""
     broken = F.size("errors") > 0
