@@ -67,17 +67,22 @@ def keyed_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str,
 
 
 def count_matches(df: DataFrame, dim: DataFrame, on: Mapping[str, Column | str], value: str,
-                  broadcast_limit: int = BROADCAST_LIMIT) -> DataFrame:
+                  broadcast_limit: int = BROADCAST_LIMIT, once: bool = False) -> DataFrame:
     """Add the number of matches in ``dim``, NULL for none, and the smallest matching ``value``.
 
-    ``on`` maps each key column of ``dim`` to a column of ``df``. NULL keys match nothing.
+    ``on`` maps each key column of ``dim`` to a column of ``df``. NULL keys match nothing. ``once``: equal
+    matches count once, and any number of different ones as two, so the same aggregation finds them.
     """
     temp = {f"lookup__key{i}": (F.col(c) if isinstance(c, str) else c, key)
             for i, (key, c) in enumerate(on.items())}
     narrow = dim.select(*[F.col(key).alias(name) for name, (_, key) in temp.items()],
                         F.col(value).alias(FOUND)).dropna(subset=list(temp))
     small = fits_broadcast(narrow, broadcast_limit)
-    single = narrow.groupBy(*temp).agg(F.count(F.lit(1)).alias(MATCHES), F.min(FOUND).alias(FOUND))
+    matches = F.count(F.lit(1))
+    if once:
+        alike = F.min(FOUND).eqNullSafe(F.max(FOUND)) & F.count(FOUND).isin(0, matches)
+        matches = F.when(alike, 1).otherwise(2).cast("bigint")
+    single = narrow.groupBy(*temp).agg(matches.alias(MATCHES), F.min(FOUND).alias(FOUND))
     with_keys = df.withColumns({name: c for name, (c, _) in temp.items()})
     return keyed_join(with_keys, single, list(temp), "left", small).drop(*temp)
 
@@ -243,6 +248,6 @@ def attach(df: DataFrame, other: DataFrame, on: Mapping[str, Column | str], valu
            step: str, broadcast_limit: int = BROADCAST_LIMIT) -> DataFrame:
     """Carry one column over from a table; NULL where it has no row for the key, or rows with
     different values, which also flags the row. Equal rows count once."""
-    df = count_matches(df, other.select(*on, value).distinct(), on, value, broadcast_limit)
+    df = count_matches(df, other, on, value, broadcast_limit, once=True)
     df = errors.flag(df, F.col(MATCHES) > 1, f"several values of {value} for one key", step)
     return _done(df.withColumn(name, F.when(_sole(), F.col(FOUND))))

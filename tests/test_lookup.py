@@ -123,6 +123,22 @@ def test_attach(spark, limit):
         [("a", "1", 0), ("b", None, 1), ("c", None, 0), (None, None, 0)], key=repr)
 
 
+@pytest.mark.parametrize("limit", LIMITS)
+def test_attach_counts_equal_rows_once(spark, limit):
+    df = spark.createDataFrame([(k,) for k in (1, 2, 3, 4, 5, None)], "k int")
+    pairs = [(1, None), (1, None), (2, None), (2, "a"), (3, "a"), (3, "a"), (4, "a"), (4, "b"), (None, "c")]
+    found = lookup.attach(df, spark.createDataFrame(pairs, "x int, v string"), {"x": "k"}, "v", "w", "step", limit)
+    assert rows(found.select("k", "w", F.size("errors"))) == sorted(
+        [(1, None, 0), (2, None, 1), (3, "a", 0), (4, None, 1), (5, None, 0), (None, None, 0)], key=repr)
+
+
+def test_attach_aggregates_the_other_table_once(spark):
+    df = spark.createDataFrame([(1,)], "k int")
+    other = spark.createDataFrame([(1, "a"), (1, "a")], "x int, v string")
+    plan = lookup.attach(df, other, {"x": "k"}, "v", "w", "step", 0)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate [") == 1
+
+
 def test_size_is_measured(spark, nicknames, crowded):
     assert lookup.measured_bytes(nicknames) < 1000
     assert not lookup.fits_broadcast(crowded, 10_000)
