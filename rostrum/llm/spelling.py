@@ -1,15 +1,16 @@
-"""Spelling variants: words one edit apart, found by walking tries with joins, level by level.
-
-The trie is a table: a row per node, which is a prefix that several words share, with its continuations by up
-to two letters. A continuation that one word only has carries the rest of that word. The frontier
-holds states (word, position in it, node, edits). At each level it is joined to the nodes of that depth: a
-state without an edit goes down its own word's path, and turns into states with one edit by replacing,
-inserting or leaving out the letter at hand; a state with one edit follows its word's letters. What reaches the
-end of a word with one edit is a neighbour. Two words one edit apart agree on a prefix, or on a suffix, of
-half their length at least, so there are two tries, of the words and of the words reversed, and edits are
-made in a word's second half, where few words share a node.
-
-The tries hold words of up to ``LONG`` code points, so there are at most as many levels. Pairs with a
+"""Spelling variants: words one edit apart, found by walking tries with joins.
+
+The trie is a table: a row per way on from a node, which is a prefix that several words share, by a letter and
+the ``STRIDE`` after it. A way that one word only goes carries the rest of that word. In sorted order
+neighbours tell how far a word's path is shared, so only such nodes are made. The frontier holds states (word, position in
+it, node). A state without an edit is on its own word's path, so these are known for all depths at once; they are joined to the
+ways with the word's own letters behind another first one, which replaces the word's letter or is put before it. A state
+with one edit follows its word's letters, one way a round; most come to a word's end in the first. What gets there is
+a neighbour, and a longer one has its word as neighbour in turn. Two words one edit apart agree on a prefix, or on a suffix,
+of half their length at least, so there are two tries, of the words and of the words reversed, and edits are
+made in a word's second half, where few words share a node; a pair is found in one of the two.
+
+The tries hold words of up to ``LONG`` code points, which bounds the rounds. Pairs with a
 longer word are found through the digests of the word without each of its code points, in one join.
 
 A null text has no words; a null id counts as empty in the hash. Repeated rows count as often as they
@@ -21,13 +22,14 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import reduce
+from itertools import pairwise
+from os.path import commonprefix
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rostrum.session import shared_dir
 from rostrum.sources.sinks import stored
 
 LETTERS = r"[A-Za-zÀ-ÿ]"
@@ -36,6 +38,8 @@ OCCURRENCES = 2
 SLIP = 31
 FACTOR = 10
 LONG = 64
+#: Letters of a way behind its first.
+STRIDE = 4
 #: A form occurs ``FACTOR`` times as often as its word, so 64-bit counts allow fewer steps than 2 ** this.
 ROUNDS = 5
 
@@ -68,105 +72,90 @@ def words(docs: DataFrame) -> DataFrame:
 # ---- the tries -------------------------------------------------------------------------------
 
 def sided(listed: DataFrame) -> DataFrame:
-    """Every word forwards (``side`` 0) and backwards (1), with the depth from which edits are made, ``half``."""
-    both = F.explode(F.array(F.struct(F.lit("0").alias("side"), F.col("word").alias("path")),
-                             F.struct(F.lit("1").alias("side"), F.reverse("word").alias("path"))))
-    half = F.floor((F.length("word") - 1) / 2).cast("int")
-    return listed.withColumn("half", half).select("n", "half", both.alias("both")).select("n", "half", "both.*")
-
-
-def nodes(paths: DataFrame) -> DataFrame:
-    """``depth, node`` of nodes of several words, with their ways on by two letters, empty beyond a word's end.
-
-    A way's ``tail`` is the rest of the only word that goes this way, and ``n`` its count, else NULL. For
-    lookups without a scan, ``pairs`` lists the two letters and ``ends`` what is at the end of each; ``seconds`` lists the
-    second letters, and ``firsts`` the ways of each by first letter; ``shared`` are the first letters of several
-    words. Nodes hold the words that can be one edit away from another one at their depth.
-    """
-    depths = F.explode(F.sequence(F.greatest(F.col("half") - 1, F.lit((LEAST - 1) // 2)), F.length("path")))
-    rows = paths.select("side", "path", "n", depths.alias("depth"))
-    depth, path = F.col("depth"), F.col("path")
-    rows = rows.select("depth", F.concat("side", F.substring(path, F.lit(1), depth)).alias("node"), letter(path, depth).alias("first"),
-                       letter(path, depth + 1).alias("second"), after(path, depth + 2).alias("tail"), "n")
-    ways = rows.groupBy("depth", "node", "first", "second").agg(F.count("*").alias("words"), F.min("tail").alias("tail"), F.min("n").alias("n"))
+    """Every word forwards (``path`` begins with 0) and backwards (1), with the number of code points it shares with
+    another path, ``most``, and the depth from which its nodes are held, ``half``; the mark counts as one."""
+    both = F.explode(F.array(F.concat(F.lit("0"), "word"), F.concat(F.lit("1"), F.reverse("word"))))
+    paths = listed.select(both.alias("path"), "n").repartitionByRange("path").sortWithinPartitions("path")
+
+    def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """In order, a path shares most with the one before or after; the ends of a batch count as shared whole."""
+        for batch in batches:
+            alike = [len(commonprefix(two)) for two in pairwise(batch.column(0).to_pylist())]
+            most = [max(x, y) for x, y in zip([LONG + 1, *alike], [*alike, LONG + 1])]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(most, pa.int32())], ["path", "n", "most"])
+
+    paths = paths.mapInArrow(shared, "path string, n bigint, most int")
+    most = F.least("most", F.length("path"))
+    return paths.select("path", "n", most.alias("most"), half(F.length("path") - 1).alias("half")).filter("half <= most")
+
+
+def half(size: Column) -> Column:
+    """Of a path of ``size`` letters: from here on its letters are replaced; letters are inserted from the half of a path one longer.
+    A place in a word's middle belongs to one of its two paths."""
+    return F.floor((size + F.substring("path", F.lit(1), F.lit(1)).cast("int")) / 2).cast("int") + 1
+
+
+def ways(paths: DataFrame, least: int) -> DataFrame:
+    """``node, first, next``: the ways on from nodes of ``least`` code points or more that several words share, by a letter and
+    the ``STRIDE`` after it, empty or fewer at a word's end. A way's ``tail`` is the rest of the only word that goes
+    this way, and ``n`` its count, else NULL. ``key`` stands for node and next, by which ways are looked up."""
+    path, at = F.col("path"), F.col("at")
+    node, next_ = F.substring(path, F.lit(1), at), F.substring(path, at + 2, F.lit(STRIDE))
+    rows = paths.filter(F.col("most") >= least).select("path", "n", F.explode(F.sequence(F.greatest("half", F.lit(least)), "most")).alias("at"))
+    rows = rows.select(F.xxhash64(node, next_).alias("key"), "path", "n", "at").repartition("key", node, next_)
+    rows = rows.select("key", node.alias("node"), letter(path, at).alias("first"), next_.alias("next"), after(path, at + 1 + STRIDE).alias("tail"), "n")
+    held = rows.groupBy("key", "node", "next", "first").agg(F.count("*").alias("words"), F.min("tail").alias("tail"), F.min("n").alias("n"))
     only = F.col("words") == 1
-    way = F.struct("first", "second", F.when(only, F.col("tail")).alias("tail"), F.when(only, F.col("n")).alias("n"))
-    held = ways.groupBy("depth", "node").agg(F.sum("words").alias("words"), F.collect_list(way).alias("ways"))
-    held = held.filter(F.col("words") > 1)
-    seconds = F.array_distinct(F.transform("ways", lambda w: w["second"]))
-    held = held.select("depth", "node", "ways", seconds.alias("seconds"))
-    firsts = F.transform("seconds", lambda x: F.transform(
-        F.filter("ways", lambda w: (w["second"] == x) & (w["first"] != "")), lambda w: F.struct(w["first"], w["tail"], w["n"])))
-    weight = lambda w, x: F.when(w["first"] == x, F.when(w["tail"].isNull(), 2).otherwise(1)).otherwise(0)
-    several = F.filter(F.array_distinct(F.transform("ways", lambda w: w["first"])), lambda x: F.aggregate(
-        "ways", F.lit(0), lambda total, w: total + weight(w, x)) > 1)
-    return held.select(
-        "depth", "node", F.transform("ways", lambda w: F.concat(w["first"], w["second"])).alias("pairs"),
-        F.transform("ways", lambda w: F.struct(w["tail"], w["n"])).alias("ends"), "seconds", firsts.alias("firsts"), several.alias("shared"))
+    return held.select("key", "node", "next", "first", F.when(only, F.col("tail")).alias("tail"), F.when(only, F.col("n")).alias("n"))
+
 
+def fresh(paths: DataFrame) -> DataFrame:
+    """``path, own, at, on, node``: states without an edit at the nodes of each word's path, ``node`` NULL. ``on`` is the place from
+    which the word goes on behind another letter, which replaces the one at ``at`` or is put before it."""
+    size = F.length("path")
 
-NODES = """node string, pairs array<string>, ends array<struct<tail:string,n:bigint>>, seconds array<string>,
-    firsts array<array<struct<first:string,tail:string,n:bigint>>>, shared array<string>, depth int"""
+    def states(low: Column, high: Column, on: int) -> DataFrame:
+        rows = paths.filter(low <= high).select("path", F.col("n").alias("own"), F.explode(F.sequence(low, high)).alias("at"))
+        return rows.select("path", "own", "at", (F.col("at") + on).alias("on"), F.lit(None).cast("string").alias("node"))
+
+    return states(F.col("half"), F.least("most", size - 1), 1).unionAll(states(half(size), F.col("most"), 0))
 
 
 def steps(frontier: DataFrame, held: DataFrame) -> DataFrame:
-    """What becomes of states at nodes of one depth: ``path, node, at, edits`` and, with two ``edits``, the
-    neighbour's remaining letters and count (``tail, n``)."""
-    path, at, node = F.col("path"), F.col("at"), F.col("node")
-    joined = frontier.join(held.drop("depth"), "node")
-    fresh = F.col("edits") == 0
-    c, c1, on = letter(path, at), letter(path, at + 1), F.when(fresh, at + 1).otherwise(at)
-    joined = joined.select("path", "node", "at", "edits", "shared", "firsts", c.alias("c"), c1.alias("c1"), on.alias("on"), "ends",
-                           F.substring(path, on + 1, F.lit(2)).alias("pair"), "pairs", "seconds")
-    none = F.array().cast("array<struct<node:string,at:int,edits:int,tail:string,n:bigint>>")
-
-    def to(letters: Column, end: Column, place: Column) -> Column:
-        return F.struct(F.concat(node, letters).alias("node"), place.alias("at"), F.when(end["tail"].isNotNull(), 2).otherwise(1).alias("edits"),
-                        end["tail"].alias("tail"), end["n"].alias("n"))
-
-    def aside(second: Column, place: Column) -> Column:
-        """Another first letter than the word's, and then the word from ``place``."""
-        ways = F.get("firsts", F.array_position("seconds", second).cast("int") - 1)
-        fits = F.filter(ways, lambda w: (w["first"] != F.col("c")) & (w["tail"].isNull() | (w["tail"] == after(path, place + 1))))
-        return F.coalesce(F.transform(fits, lambda w: to(F.concat(w["first"], second), w, place + 1)), none)
-
-    end = F.get("ends", F.array_position("pairs", F.col("pair")).cast("int") - 1)
-    goes_on = end.isNotNull() & (end["tail"].isNull() | (end["tail"] == after(path, F.col("on") + 2)))
-    followed = F.when(goes_on, F.array(to(F.col("pair"), end, F.col("on") + 2))).otherwise(none)
-    inside = F.col("c") != ""
-    own = F.array(F.struct(F.concat(node, F.col("c")).alias("node"), (at + 1).alias("at"), F.lit(0).alias("edits"),
-                           F.lit(None).cast("string").alias("tail"), F.lit(None).cast("bigint").alias("n")))
-    made = F.when(~fresh, followed).otherwise(F.concat(
-        F.when(inside, aside(F.col("c1"), at + 1)).otherwise(none), aside(F.col("c"), at),
-        F.when(inside & (F.col("c") != F.col("c1")), followed).otherwise(none),
-        F.when(inside & F.array_contains("shared", F.col("c")), own).otherwise(none)))
-    return joined.select("path", F.explode(made).alias("s")).select("path", "s.*")
+    """What becomes of states: ``path, own, at, node`` with an edit and, at a word's end, the neighbour's remaining letters and count
+    (``tail, n``), else NULL."""
+    path, at, on, first = F.col("path"), F.col("at"), F.col("on"), F.col("first")
+    node, next_ = F.coalesce("state", F.substring(path, F.lit(1), at)), F.substring(path, on + 1, F.lit(STRIDE))
+    frontier = frontier.withColumnRenamed("node", "state").withColumn("key", F.xxhash64(node, next_))
+    joined = frontier.join(held, (frontier["key"] == held["key"]) & (node == held["node"]) & (next_ == held["next"]))
+    c = letter(path, at)
+    # a letter put into a run of itself stands at the run's end on either path: the first path has it if it can
+    size = F.length(path) - 1
+    run = at - F.length(F.rtrim("node", first))
+    late = (on > at) | path.startswith("0") | (letter(path, at - 1) != first) | (size - at + 1 + run < F.floor((size + 1) / 2))
+    fits = F.when(F.col("state").isNull(), (first != "") & (first != c) & late).otherwise(first == c)
+    joined = joined.filter(fits & (F.col("tail").isNull() | (F.col("tail") == after(path, on + STRIDE))))
+    return joined.select("path", "own", (on + STRIDE).alias("at"), F.concat("node", "first", "next").alias("node"), "tail", "n")
 
 
 def trie_neighbours(listed: DataFrame) -> list[DataFrame]:
-    """``word, other, n`` of near pairs, ``n`` the other's count, each pair once from either trie; one table per level."""
-    spark = listed.sparkSession
+    """``word, other, n`` of near pairs, ``n`` the other's count, each pair once each way; one table per round."""
     paths = stored(sided(listed), "paths")
-    root = shared_dir(spark, "trie")
-    nodes(paths).write.partitionBy("depth").parquet(f"{root}/nodes")
-    held = spark.read.schema(NODES).parquet(f"{root}/nodes")
-    least, most = held.agg(F.min("depth"), F.max("depth")).first()
-    states = "path string, node string, at int, tail string, n bigint, edits int"
-    read = lambda level: spark.read.schema(states).parquet(f"{root}/states/{level}")
-    found = []
-    for level in range(least, most + 1) if least is not None else ():
-        start = paths.filter(F.col("half") == level)
-        depth = F.col("half")
-        frontier = [start.select("path", F.concat("side", F.substring("path", F.lit(1), depth)).alias("node"), depth.alias("at"), F.lit(0).alias("edits"))]
-        for before, edits in ((level - 1, 0), (level - 2, 1)):
-            if before >= least:
-                frontier.append(read(before).filter(F.col("edits") == edits).select("path", "node", "at", "edits"))
-        made = steps(reduce(DataFrame.unionAll, frontier), held.filter(F.col("depth") == level))
-        made.write.partitionBy("edits").parquet(f"{root}/states/{level}")
-        found.append(read(level).filter("edits = 2"))
-    forward = F.substring("node", F.lit(1), F.lit(1)) == "0"
-    turn = lambda c: F.when(forward, c).otherwise(F.reverse(c))
-    return [f.select(turn(F.col("path")).alias("word"), turn(F.concat(after(F.col("node"), F.lit(1)), "tail")).alias("other"), "n") for f in found]
+    least = (LEAST // 2) + 1
+    frontier, found = fresh(paths), []
+    while True:
+        made = stored(steps(frontier, ways(paths, least)), "states")
+        found.append(made.filter("tail IS NOT NULL"))
+        frontier = made.filter("tail IS NULL").select("path", "own", "at", (F.col("at") + 1).alias("on"), "node")
+        if not frontier.take(1):
+            break
+        least += 1 + STRIDE
+    bare = lambda c: F.when(F.col("path").startswith("0"), after(c, F.lit(1))).otherwise(F.reverse(after(c, F.lit(1))))
+    # letters are only put in: a longer neighbour stands for the pair both ways
+    there, back = F.struct("word", "other", "n"), F.struct(F.col("other").alias("word"), F.col("word").alias("other"), F.col("own").alias("n"))
+    both = F.when(F.length("other") > F.length("word"), F.array(there, back)).otherwise(F.array(there))
+    return [f.select(bare(F.col("path")).alias("word"), bare(F.concat("node", "tail")).alias("other"), "n", "own", "path")
+            .select(F.explode(both).alias("pair")).select("pair.*") for f in found]
 
 
 # ---- words beyond the tries ------------------------------------------------------------------
@@ -233,7 +222,7 @@ def variants(docs: DataFrame) -> DataFrame:
     """``word, form, root, n, n_near, form_n`` of every word of the documents."""
     listed = stored(words(docs), "words")
     pairs = [*trie_neighbours(listed.filter(F.length("word") <= LONG)), long_neighbours(listed)]
-    pairs = reduce(DataFrame.unionAll, pairs).repartition("word").groupBy("word", "other").agg(F.min("n").alias("n"))
+    pairs = reduce(DataFrame.unionAll, pairs).repartition("word")
     best = F.min(F.struct((-F.col("n")).alias("less"), F.col("other").alias("form")))
     near = pairs.groupBy("word").agg(F.count("*").alias("n_near"), best.alias("best"))
     form_n = -F.col("best.less")

@@ -75,3 +75,18 @@ def test_digests_of_words_lacking_a_letter():
     word = "abracadabra" * 9
     whole, lacking = spelling.lacking(word), [spelling.lacking(word[:i] + word[i + 1:]) for i in range(len(word))]
     assert all(whole[m][i + 1] == lacking[i][m][0] for m in range(2) for i in range(len(word)))
+
+
+def test_pairs_come_once_each_way_and_in_few_rounds(session):
+    """Runs of one letter, where an inserted letter can stand in several places, and words that part late."""
+    rng = random.Random(11)
+    words = {"".join(rng.choice("ab") for _ in range(rng.choice((7, 8, 9, 10)))) for _ in range(150)}
+    words |= {"a" * size for size in range(7, 30)} | {"b" + "a" * size for size in range(7, 30)} | {"a" * 15 + c + "a" * 12 for c in "bcd"}
+    listed = session.createDataFrame([(w, k + 2) for k, w in enumerate(sorted(words))], "word string, n bigint").repartition(3)
+    n = {r.word: r.n for r in listed.collect()}
+    lacking = {w: {w[:i] + w[i + 1:] for i in range(len(w))} for w in n}
+    holed = {w: {(i, w[:i] + w[i + 1:]) for i in range(len(w))} for w in n}
+    near = lambda a, b: a != b and (a in lacking[b] or b in lacking[a] or bool(holed[a] & holed[b]))
+    found = spelling.trie_neighbours(listed)
+    assert sorted((r.word, r.other, r.n) for f in found for r in f.collect()) == sorted((a, b, n[b]) for a in n for b in n if near(a, b))
+    assert len(found) <= 1 + 15 // (1 + spelling.STRIDE)  # 29 letters had a round for each of 16 depths
